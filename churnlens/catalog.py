@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.plans import core as core_plans
-from churnlens.plans import lifecycle, marts
+from churnlens.plans import lifecycle, marts, present, quality, verified
 from churnlens.plans.layers import layers_for
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,202 @@ def q_churn_by_tenure_enhanced(spark, sf):
 @register("churn_by_tenure_segment")
 def q_churn_by_tenure_segment(spark, sf):
     return lifecycle.churn_by_tenure_segment(_c360(spark, sf))
+
+
+# --- RAW data quality (S1-S2, D1-D12) and CORE validation (V1-V5) -------------
+
+def _raw(spark, sf):
+    return layers_for(spark, sf).raw
+
+
+@register("raw_load_counts")
+def q_raw_load_counts(spark, sf):
+    from churnlens.sources.readers import load_report
+    return load_report(_raw(spark, sf))
+
+
+@register("dq_row_counts")
+def q_dq_row_counts(spark, sf):
+    return quality.row_counts(_raw(spark, sf))
+
+
+@register("dq_uniqueness")
+def q_dq_uniqueness(spark, sf):
+    r = _raw(spark, sf)
+    return quality.uniqueness({t: r[t] for t in quality.KEYED})
+
+
+@register("dq_null_ids")
+def q_dq_null_ids(spark, sf):
+    r = _raw(spark, sf)
+    return quality.null_keys({t: r[t] for t in quality.KEYED})
+
+
+@register("dq_join_completeness")
+def q_dq_join_completeness(spark, sf):
+    r = _raw(spark, sf)
+    return quality.completeness(r["churn_demographics"], {
+        "location": r["churn_location"], "services": r["churn_services"],
+        "status": r["churn_status"]})
+
+
+@register("dq_zip_reconciliation")
+def q_dq_zip_reconciliation(spark, sf):
+    r = _raw(spark, sf)
+    return quality.zip_reconciliation(r["churn_location"], r["churn_population"])
+
+
+@register("dq_churn_distribution")
+def q_dq_churn_distribution(spark, sf):
+    return quality.distribution(_raw(spark, sf)["churn_status"], ["churn_label", "churn_value"])
+
+
+@register("dq_status_distribution")
+def q_dq_status_distribution(spark, sf):
+    return quality.distribution(_raw(spark, sf)["churn_status"], ["customer_status"])
+
+
+@register("dq_label_consistency")
+def q_dq_label_consistency(spark, sf):
+    return quality.distribution(_raw(spark, sf)["churn_status"], ["churn_label", "churn_value"],
+                                pct=False)
+
+
+@register("dq_numeric_ranges")
+def q_dq_numeric_ranges(spark, sf):
+    return quality.ranges(_raw(spark, sf)["churn_services"])
+
+
+@register("dq_churn_nulls")
+def q_dq_churn_nulls(spark, sf):
+    return quality.null_profile(_raw(spark, sf)["churn_status"])
+
+
+@register("dq_quarters")
+def q_dq_quarters(spark, sf):
+    r = _raw(spark, sf)
+    return quality.quarters(r["churn_services"], r["churn_status"])
+
+
+@register("dq_domains")
+def q_dq_domains(spark, sf):
+    return quality.domains(_raw(spark, sf))
+
+
+@register("core_grain")
+def q_core_grain(spark, sf):
+    return quality.uniqueness({"customer_360_view": _c360(spark, sf)})
+
+
+@register("core_join_completeness")
+def q_core_join_completeness(spark, sf):
+    return quality.core_join_completeness(_c360(spark, sf))
+
+
+@register("core_churn_recon")
+def q_core_churn_recon(spark, sf):
+    return quality.distribution(_c360(spark, sf), ["churn_label", "churn_value"], pct=False)
+
+
+@register("core_revenue_recon")
+def q_core_revenue_recon(spark, sf):
+    return quality.revenue_reconciliation(_c360(spark, sf), _raw(spark, sf)["churn_services"])
+
+
+@register("core_value_segments")
+def q_core_value_segments(spark, sf):
+    return quality.value_segments(_c360(spark, sf))
+
+
+# --- Verified questions (Q1-Q8), ad hoc (A1, A3), dashboard (B1-B6) ----------
+
+@register("vq_cltv_range")
+def q_vq_cltv_range(spark, sf):
+    return verified.cltv_range(_c360(spark, sf))
+
+
+@register("vq_adopted_products")
+def q_vq_adopted_products(spark, sf):
+    return verified.adopted_products(marts.product_adoption(_c360(spark, sf)))
+
+
+@register("vq_peak_tenure")
+def q_vq_peak_tenure(spark, sf):
+    return verified.peak_tenure(verified.contract_curves(_c360(spark, sf)))
+
+
+@register("vq_segments_by_churned_charge")
+def q_vq_segments_by_churned_charge(spark, sf):
+    return verified.segments_by_churned_charge(marts.churn_segments(_c360(spark, sf)))
+
+
+@register("vq_contract_churn")
+def q_vq_contract_churn(spark, sf):
+    return verified.dimension_churn(verified.one_dimension(_c360(spark, sf), "Contract"),
+                                    "Contract")
+
+
+@register("vq_adoption_gap")
+def q_vq_adoption_gap(spark, sf):
+    return verified.adoption_gap(marts.product_adoption(_c360(spark, sf)))
+
+
+@register("vq_value_churn")
+def q_vq_value_churn(spark, sf):
+    return verified.dimension_churn(
+        verified.one_dimension(_c360(spark, sf), "Customer Value"), "Customer Value")
+
+
+@register("vq_tenure_all_contracts")
+def q_vq_tenure_all_contracts(spark, sf):
+    return verified.tenure_all_contracts(verified.contract_curves(_c360(spark, sf)))
+
+
+@register("adhoc_payment_profile")
+def q_adhoc_payment_profile(spark, sf):
+    return verified.payment_profile(verified.one_dimension(_c360(spark, sf), "Payment Method"))
+
+
+@register("adhoc_above_average")
+def q_adhoc_above_average(spark, sf):
+    c = _c360(spark, sf)
+    return verified.above_average(marts.churn_segments(c), marts.executive_kpis(c))
+
+
+@register("dash_kpis")
+def q_dash_kpis(spark, sf):
+    return present.kpi_strip(marts.executive_kpis(_c360(spark, sf)))
+
+
+@register("dash_contract")
+def q_dash_contract(spark, sf):
+    rows = verified.dimension_churn(verified.one_dimension(_c360(spark, sf), "Contract"),
+                                    "Contract")
+    return present.rate_table(rows, "contract_type")
+
+
+@register("dash_value")
+def q_dash_value(spark, sf):
+    rows = verified.dimension_churn(
+        verified.one_dimension(_c360(spark, sf), "Customer Value"), "Customer Value")
+    return present.rate_table(rows, "value_segment")
+
+
+@register("dash_product_gap")
+def q_dash_product_gap(spark, sf):
+    return present.product_gap_table(
+        verified.adoption_gap(marts.product_adoption(_c360(spark, sf))))
+
+
+@register("dash_tenure")
+def q_dash_tenure(spark, sf):
+    return present.tenure_table(
+        verified.tenure_all_contracts(verified.contract_curves(_c360(spark, sf))))
+
+
+@register("business_format")
+def q_business_format(spark, sf):
+    from churnlens.functions.fmt import business_format
+    c = _c360(spark, sf)
+    gap = verified.adoption_gap(marts.product_adoption(c))
+    return business_format(gap)
