@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.plans import core as core_plans
-from churnlens.plans import lifecycle, marts, present, quality, verified
+from churnlens.plans import lifecycle, marts, metrics, present, quality, reconcile, verified
 from churnlens.plans.layers import layers_for
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,3 +319,134 @@ def q_business_format(spark, sf):
     c = _c360(spark, sf)
     gap = verified.adoption_gap(marts.product_adoption(c))
     return business_format(gap)
+
+
+# --- Metric layer (G1-G7) and A2 -------------------------------------------------
+
+C360_PROFILE_FIELDS = ["AGE_BAND", "CHURN_CATEGORY", "CHURN_FLAG", "CHURN_REASON", "CITY", "CLTV",
+                       "CONTRACT", "CUSTOMER_ID", "CUSTOMER_STATUS", "CUSTOMER_VALUE_SEGMENT",
+                       "INTERNET_SERVICE", "INTERNET_TYPE", "OFFER", "PAYMENT_METHOD",
+                       "PREMIUM_TECH_SUPPORT", "SATISFACTION_SCORE", "STATE", "TENURE_BAND",
+                       "TENURE_IN_MONTHS", "TOTAL_SERVICE_COUNT"]
+
+
+@register("metric_values")
+def q_metric_values(spark, sf):
+    c = _c360(spark, sf)
+    return metrics.metric_values(marts.executive_kpis(c), marts.churn_segments(c),
+                                 marts.product_adoption(c), lifecycle.churn_by_tenure(c))
+
+
+@register("product_adoption_rate")
+def q_product_adoption_rate(spark, sf):
+    return metrics.product_adoption_rate(marts.product_adoption(_c360(spark, sf)))
+
+
+@register("metric_query_contract")
+def q_metric_query_contract(spark, sf):
+    return metrics.metric_query(
+        _c360(spark, sf), "CUSTOMER_360_VIEW",
+        metrics=["TOTAL_CUSTOMERS", "CHURNED_CUSTOMERS", "CHURN_RATE", "AVG_CLTV",
+                 "AVG_MONTHLY_CHARGE", "AVG_TENURE_MONTHS", "TOTAL_MONTHLY_CHARGES",
+                 "TOTAL_HISTORICAL_REVENUE"],
+        dimensions=["CONTRACT"])
+
+
+@register("metric_query_two_dims")
+def q_metric_query_two_dims(spark, sf):
+    """Synonyms resolved within the table: 'attrition rate' → CHURN_RATE, etc."""
+    return metrics.metric_query(
+        _c360(spark, sf), "CUSTOMER_360_VIEW",
+        metrics=["attrition rate", "lost customers", "TOTAL_CUSTOMERS"],
+        dimensions=["product depth", "value segment"], sum_facts=["MONTHLY_CHARGE"])
+
+
+@register("metric_query_segments_facts")
+def q_metric_query_segments_facts(spark, sf):
+    """Additive facts of the segment mart summed per dimension under no filter."""
+    return metrics.metric_query(
+        marts.churn_segments(_c360(spark, sf)), "VW_CHURN_SEGMENTS",
+        dimensions=["DIMENSION_NAME"],
+        sum_facts=["CHURNED_MONTHLY_REVENUE", "CHURNED_HISTORICAL_REVENUE"])
+
+
+@register("metric_query_tenure_filtered")
+def q_metric_query_tenure_filtered(spark, sf):
+    """Named filter CONTRACT_CHURN_BY_TENURE + summed facts by tenure month (Q8's parts)."""
+    return metrics.metric_query(
+        lifecycle.churn_by_tenure_segment(_c360(spark, sf)), "VW_CHURN_BY_TENURE_SEGMENT",
+        dimensions=["lifecycle month"], filters=["CONTRACT_CHURN_BY_TENURE"],
+        sum_facts=["CHURNED_AT_TENURE", "customers reaching tenure"])
+
+
+@register("named_filters")
+def q_named_filters(spark, sf):
+    c = _c360(spark, sf)
+    return metrics.named_filter_counts({
+        "VW_CHURN_BY_TENURE_SEGMENT": lifecycle.churn_by_tenure_segment(c),
+        "VW_CHURN_SEGMENTS": marts.churn_segments(c),
+        "VW_PRODUCT_ADOPTION": marts.product_adoption(c)})
+
+
+@register("field_profile")
+def q_field_profile(spark, sf):
+    return metrics.field_profile(_c360(spark, sf), C360_PROFILE_FIELDS)
+
+
+@register("adhoc_payment_contract")
+def q_adhoc_payment_contract(spark, sf):
+    """A2: payment × contract, all combinations, no size cut-off (through G2)."""
+    return metrics.metric_query(
+        _c360(spark, sf), "CUSTOMER_360_VIEW",
+        metrics=["TOTAL_CUSTOMERS", "CHURNED_CUSTOMERS", "CHURN_RATE"],
+        dimensions=["PAYMENT_METHOD", "CONTRACT"])
+
+
+# --- Reconciliation (R1, R2, R4) ---------------------------------------------------
+
+# Metric layer name → (KPI mart column, tolerance of the mart's rounding).
+RECON_PAIRS = [("TOTAL_CUSTOMERS", "total_customers", 0.0),
+               ("CHURNED_CUSTOMERS", "churned_customers", 0.0),
+               ("CHURN_RATE", "churn_rate", 0.00005),
+               ("AVG_CLTV", "avg_cltv", 0.005),
+               ("AVG_MONTHLY_CHARGE", "avg_monthly_charge", 0.005),
+               ("AVG_TENURE_MONTHS", "avg_tenure_months", 0.005),
+               ("TOTAL_MONTHLY_CHARGES", "total_monthly_charges", 0.005),
+               ("TOTAL_HISTORICAL_REVENUE", "total_revenue", 0.005)]
+
+
+@register("metric_reconciliation")
+def q_metric_reconciliation(spark, sf):
+    """The metric layer against the executive KPI mart, within rounding tolerance."""
+    c = _c360(spark, sf)
+    names = [m for m, _, _ in RECON_PAIRS]
+    actual = metrics.metric_query(c, "CUSTOMER_360_VIEW", metrics=names).select(
+        *[F.col(m.lower()).cast("double").alias(m) for m in names]).unpivot(
+        [], names, "metric", "actual")
+    k = marts.executive_kpis(c)
+    expected = k.select(*[F.col(col).cast("double").alias(m) for m, col, _ in RECON_PAIRS]
+                        ).unpivot([], names, "metric", "expected")
+    tol = F.create_map(*[x for m, _, t in RECON_PAIRS for x in (F.lit(m), F.lit(t))])
+    expected = expected.withColumn("tolerance", tol[F.col("metric")])
+    return reconcile.reconcile(actual, expected)
+
+
+@register("result_match")
+def q_result_match(spark, sf):
+    """R2: the pruned one-dimension mart vs the full mart filtered afterwards."""
+    c = _c360(spark, sf)
+    left = verified.dimension_churn(verified.one_dimension(c, "Contract"), "Contract")
+    right = verified.dimension_churn(marts.churn_segments(c), "Contract")
+    return reconcile.result_match(left, right)
+
+
+@register("cross_layer_agreement")
+def q_cross_layer_agreement(spark, sf):
+    c = _c360(spark, sf)
+    mq = metrics.metric_query(c, "CUSTOMER_360_VIEW",
+                              metrics=["CHURNED_CUSTOMERS", "TOTAL_MONTHLY_CHARGES"],
+                              dimensions=["CHURN_FLAG"]).filter(F.col("churn_flag") == 1)
+    mq = mq.select("churned_customers",
+                   F.col("total_monthly_charges").alias("total_monthly_charges_churned"))
+    return reconcile.cross_layer(marts.executive_kpis(c), marts.churn_segments(c),
+                                 marts.customer_value(c), mq)

@@ -37,7 +37,9 @@ PRODUCTS = [
     ("Unlimited Data", "unlimited_data"),
 ]
 
-_ALL = Window.partitionBy()
+
+def _all():
+    return Window.partitionBy()
 
 
 def with_cents(c360: DataFrame) -> DataFrame:
@@ -180,7 +182,7 @@ def product_depth(c360: DataFrame) -> DataFrame:
         F.count_if(_churned()).alias("churned_customers"),
         *_avg_parts("tenure_in_months", "ten"), *_avg_parts("mc_cents", "mc"),
         *_avg_parts("rev_cents", "rev"), *_avg_parts("cltv", "cltv"),
-    ).withColumn("_sum_customers", F.sum("customers").over(_ALL))
+    ).withColumn("_sum_customers", F.sum("customers").over(_all()))
     g = g.crossJoin(F.broadcast(overall))
     return g.select(
         "total_service_count", "customers",
@@ -208,9 +210,9 @@ def customer_value(c360: DataFrame) -> DataFrame:
         F.sum(F.when(_churned(), F.col("mc_cents")).otherwise(0)).alias("_ch_mc"),
         *_avg_parts("tenure_in_months", "ten"),
     ).withColumns({
-        "_all_churned": F.sum("churned_customers").over(_ALL),
-        "_all_rev": F.sum("_s_rev").over(_ALL),
-        "_all_ch_mc": F.sum("_ch_mc").over(_ALL),
+        "_all_churned": F.sum("churned_customers").over(_all()),
+        "_all_rev": F.sum("_s_rev").over(_all()),
+        "_all_ch_mc": F.sum("_ch_mc").over(_all()),
     })
     return g.select(
         "customer_value_segment", "cltv_quartile", "customers", "churned_customers",
@@ -236,7 +238,7 @@ def churn_reasons(c360: DataFrame) -> DataFrame:
         *_avg_parts("tenure_in_months", "ten"), *_avg_parts("mc_cents", "mc"),
         *_avg_parts("rev_cents", "rev"), *_avg_parts("cltv", "cltv"),
         *_avg_parts("satisfaction_score", "sat"),
-    ).withColumn("_all_rows", F.sum("_rows").over(_ALL))
+    ).withColumn("_all_rows", F.sum("_rows").over(_all()))
     return g.select(
         "churn_category", "churn_reason", "churned_customers",
         ratio4("churned_customers", "_all_rows").alias("churn_share"),
