@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.plans import core as core_plans
-from churnlens.plans import lifecycle, marts, metrics, present, quality, reconcile, verified
+from churnlens.plans import (lifecycle, marts, metrics, present, quality, reconcile,
+                             responses, triage, verified)
 from churnlens.plans.layers import layers_for
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -450,3 +451,60 @@ def q_cross_layer_agreement(spark, sf):
                    F.col("total_monthly_charges").alias("total_monthly_charges_churned"))
     return reconcile.cross_layer(marts.executive_kpis(c), marts.churn_segments(c),
                                  marts.customer_value(c), mq)
+
+
+# --- Response logs (J1-J8) and triage (J9) ---------------------------------------
+
+def _docs(spark, sf):
+    from churnlens.sources.responses import response_documents
+    return response_documents(_star(spark, sf)["conversations"])
+
+
+def _star(spark, sf):
+    return layers_for(spark, sf).star
+
+
+@register("json_safe_parse")
+def q_json_safe_parse(spark, sf):
+    s = _star(spark, sf)
+    return responses.safe_parse_report(s["events"], s["conversations"])
+
+
+@register("log_items")
+def q_log_items(spark, sf):
+    return responses.items(_docs(spark, sf))
+
+
+@register("json_paths")
+def q_json_paths(spark, sf):
+    return responses.paths(_docs(spark, sf))
+
+
+@register("log_last_item")
+def q_log_last_item(spark, sf):
+    return responses.last_items(_docs(spark, sf))
+
+
+@register("log_sql_details")
+def q_log_sql_details(spark, sf):
+    return responses.sql_details(_docs(spark, sf))
+
+
+@register("log_usage")
+def q_log_usage(spark, sf):
+    return responses.usage(_docs(spark, sf))
+
+
+@register("log_wide")
+def q_log_wide(spark, sf):
+    return responses.wide(_docs(spark, sf))
+
+
+@register("log_result_rows")
+def q_log_result_rows(spark, sf):
+    return responses.result_rows(_docs(spark, sf))
+
+
+@register("question_triage")
+def q_question_triage(spark, sf):
+    return triage.triage_summary(_star(spark, sf)["conversations"])
