@@ -26,7 +26,7 @@ RULES = [
         "biggest churn problem", "worst churn problem", "main churn issue",
         "largest churn issue"]),
     ("forward_revenue_risk", False, [
-        "revenue at risk", "future revenue loss", "expected revenue loss",
+        "revenue at risk", "at risk", "future revenue loss", "expected revenue loss",
         "forecasted churn revenue", "future churn impact", "revenue we may lose"]),
     ("cohort_retention", False, [
         "historical cohort retention", "cohort retention curves", "cohort retention",
