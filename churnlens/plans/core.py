@@ -51,6 +51,34 @@ C360_COLS = [
 ]
 
 
+UNIQUE_META = "churnlens.unique"
+
+
+def mark_unique_ids(df: DataFrame, col: str = "customer_id") -> DataFrame:
+    """Record in the schema that ``col`` was verified unique and non-NULL.
+
+    Set only after a check (``plans.layers`` does it once per build). The flag
+    survives projections and filters; an operation that can duplicate rows must
+    not be applied to a flagged DataFrame before a mart, or the flag must be
+    cleared with ``df.withMetadata(col, {})``.
+    """
+    return df.withMetadata(col, {UNIQUE_META: True})
+
+
+def ids_unique(df: DataFrame, col: str = "customer_id") -> bool:
+    return bool(df.schema[col].metadata.get(UNIQUE_META, False))
+
+
+def customer_count(df: DataFrame, col: str = "customer_id"):
+    """COUNT(DISTINCT id), or COUNT(id) when ids are verified unique.
+
+    Equal results; the plain count is a partial aggregation, whereas a distinct
+    count shuffles every (group, id) pair — after an unpivot, 8-11 rows per
+    customer.
+    """
+    return F.count(col) if ids_unique(df, col) else F.count_distinct(col)
+
+
 def customer_profile(demographics: DataFrame) -> DataFrame:
     """Profile projection with the age band; ``count`` is dropped."""
     return demographics.select(*PROFILE_COLS, bands.age_band("age").alias("age_band"))

@@ -16,6 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from churnlens.plans import core
 from churnlens.session import ensure_checkpoint_dir
@@ -45,6 +46,12 @@ class ChurnLayers:
         if checkpoint:
             # Every mart reads the 360; materialise the view's content once.
             c360 = c360.checkpoint(eager=True)
+            # One aggregate over the ids (a single-row result): if they are unique and
+            # non-NULL, distinct counts in the marts become plain counts.
+            dup = c360.agg((F.count("customer_id") - F.count_distinct("customer_id")
+                            + F.count_if(F.col("customer_id").isNull())).alias("d")).first()
+            if dup is not None and dup.d == 0:
+                c360 = core.mark_unique_ids(c360)
         return cls(raw, profile, location, services, snapshot, c360, star or {})
 
     @classmethod

@@ -69,14 +69,19 @@ def _churned() -> Column:
     return F.col("churn_flag") == 1
 
 
-def c360_metrics() -> dict[str, Metric]:
-    """Metrics of CUSTOMER_360_VIEW (the only logical table with metrics)."""
+def c360_metrics(unique_ids: bool = False) -> dict[str, Metric]:
+    """Metrics of CUSTOMER_360_VIEW (the only logical table with metrics).
+
+    With ids verified unique (``core.mark_unique_ids``) the distinct count is a
+    plain count — same value, partial aggregation instead of an id shuffle.
+    """
+    ids = F.count("customer_id") if unique_ids else F.count_distinct("customer_id")
     return {m.name: m for m in [
-    Metric("TOTAL_CUSTOMERS", {"n": F.count_distinct("customer_id")}, "n",
+    Metric("TOTAL_CUSTOMERS", {"n": ids}, "n",
            "Count of unique customers."),
     Metric("CHURNED_CUSTOMERS", {"c": F.count_if(_churned())}, "c",
            "Customers identified as churned in the snapshot."),
-    Metric("CHURN_RATE", {"c": F.count_if(_churned()), "n": F.count_distinct("customer_id")},
+    Metric("CHURN_RATE", {"c": F.count_if(_churned()), "n": ids},
            "CAST(c AS DOUBLE) / NULLIF(n, 0)",
            "Churned customers / unique customers; snapshot-based, not period churn."),
     Metric("AVG_CLTV", {"s": F.sum("cltv"), "k": F.count("cltv")},
@@ -105,7 +110,7 @@ def _cols(names: list[str]) -> dict[str, Column]:
     return {n: F.col(n.lower()) for n in names}
 
 
-def semantic_model() -> dict[str, LogicalTable]:
+def semantic_model(unique_ids: bool = False) -> dict[str, LogicalTable]:
     """The four logical tables of the semantic view (fixed names from the reference)."""
     c360 = LogicalTable(
         "CUSTOMER_360_VIEW",
@@ -118,7 +123,7 @@ def semantic_model() -> dict[str, LogicalTable]:
                "TOTAL_REVENUE": _cents("total_revenue")},
         additive_facts={"MONTHLY_CHARGE", "TOTAL_REVENUE"},
         money_facts={"MONTHLY_CHARGE", "TOTAL_REVENUE"},
-        metrics=c360_metrics(),
+        metrics=c360_metrics(unique_ids),
         synonyms=_syn({
             "CUSTOMER_VALUE_SEGMENT": ["CLTV segment", "customer value tier", "value segment"],
             "TENURE_IN_MONTHS": ["customer age in months", "customer tenure",
@@ -187,7 +192,9 @@ def metric_query(source: DataFrame, table: str, metrics=(), dimensions=(), filte
     field names or synonyms of that table. ``sum_facts`` lists facts to SUM;
     only facts with a default aggregation (additive) may be summed.
     """
-    lt = (model or semantic_model()).get(table.upper())
+    from churnlens.plans.core import ids_unique
+    unique = "customer_id" in source.columns and ids_unique(source)
+    lt = (model or semantic_model(unique)).get(table.upper())
     if lt is None:
         raise MetricError(f"unknown logical table {table!r}")
     m_names = [lt.resolve(w) for w in metrics]

@@ -36,21 +36,28 @@ def reconcile(actual: DataFrame, expected: DataFrame) -> DataFrame:
 def result_match(left: DataFrame, right: DataFrame) -> DataFrame:
     """R2: one row describing how two result sets differ.
 
-    Columns are compared by name (order ignored); rows by multiset over the
-    shared columns (``exceptAll`` both ways keeps duplicates). Missing /
-    extra columns are listed; ``match`` is true only when both schemas and
-    both bags are equal.
+    Columns are compared by name (order ignored); rows as multisets over the
+    shared columns: both sides are grouped by all shared columns with their
+    multiplicities, joined, and the surplus on each side is summed. This is a
+    partial aggregation plus one join of distinct rows — unlike ``exceptAll``,
+    which re-generates every surplus copy of a row inside one task.
+    ``match`` is true only when both schemas and both bags are equal.
     """
     lc, rc = set(left.columns), set(right.columns)
     shared = sorted(lc & rc)
     missing = sorted(rc - lc)   # expected (right) columns absent from left
     extra = sorted(lc - rc)
-    lp, rp = left.select(*shared), right.select(*shared)
-    only_left = lp.exceptAll(rp).agg(F.count(F.lit(1)).alias("extra_rows"))
-    only_right = rp.exceptAll(lp).agg(F.count(F.lit(1)).alias("missing_rows"))
-    counts = (left.agg(F.count(F.lit(1)).alias("left_rows"))
-              .crossJoin(right.agg(F.count(F.lit(1)).alias("right_rows"))))
-    r = counts.crossJoin(only_left).crossJoin(only_right)
+    lg = left.groupBy(*shared).agg(F.count(F.lit(1)).alias("_l"))
+    rg = right.groupBy(*shared).agg(F.count(F.lit(1)).alias("_r"))
+    cond = [lg[c].eqNullSafe(rg[c]) for c in shared]
+    j = lg.join(rg, cond, "full_outer") if shared else lg.crossJoin(rg)
+    l_n, r_n = F.coalesce(F.col("_l"), F.lit(0)), F.coalesce(F.col("_r"), F.lit(0))
+    r = j.agg(
+        F.sum(l_n).alias("left_rows"), F.sum(r_n).alias("right_rows"),
+        F.sum(F.greatest(r_n - l_n, F.lit(0))).alias("missing_rows"),
+        F.sum(F.greatest(l_n - r_n, F.lit(0))).alias("extra_rows"))
+    r = r.select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+                   for c in ["left_rows", "right_rows", "missing_rows", "extra_rows"]])
     return r.select(
         "left_rows", "right_rows", "missing_rows", "extra_rows",
         F.lit(", ".join(missing)).alias("missing_columns"),

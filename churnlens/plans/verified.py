@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.plans import lifecycle, marts
+from churnlens.plans.core import customer_count
 
 
 def cltv_range(c360: DataFrame) -> DataFrame:
     """Q1: customers, min / average / max CLTV per value segment (average unrounded)."""
     return c360.groupBy("customer_value_segment").agg(
-        F.count_distinct("customer_id").alias("customers"),
+        customer_count(c360).alias("customers"),
         F.min("cltv").alias("min_cltv"),
         (F.sum("cltv").cast("double") / F.count("cltv")).alias("avg_cltv"),
         F.max("cltv").alias("max_cltv"),
