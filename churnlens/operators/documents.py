@@ -5,9 +5,10 @@
                      0-based index and type (``posexplode_outer`` over
                      ``array<variant>``; documents without the array keep a row)
 * ``get``            typed path extraction (string, boolean, number, array index)
-* ``last_per_type``  the last item of each type per document — a grouped
-                     ``max_by`` on the index, so it is a partial aggregation
-                     per document, never a global sort
+* ``last_per_type``  count and index of the last item of each type per
+                     document (a group-by on the document key)
+* ``last_of_type``   the last item of a type inside the row (higher-order
+                     ``filter`` + last element) — a projection, no shuffle
 
 All work is per document; a document is one row, so nothing depends on how
 many documents there are.
@@ -45,7 +46,17 @@ def last_per_type(items: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def last_value(value: Column, item_type: str, pos: str = "pos") -> Column:
-    """Aggregate: ``value`` of the last item of ``item_type`` (max_by on the index)."""
-    is_t = F.col("item_type") == item_type
-    return F.max_by(F.when(is_t, value), F.when(is_t & value.isNotNull(), F.col(pos)))
+def items_array(v: str | Column, path: str = "$.content") -> Column:
+    return get(v, path, "array<variant>")
+
+
+def last_of_type(arr: Column, item_type: str, extra=None) -> Column:
+    """Row-wise: the last element of ``arr`` whose ``$.type`` is ``item_type``.
+
+    A higher-order ``filter`` plus ``try_element_at(-1)`` inside the row — no
+    explode, no grouping, no shuffle; works unchanged on a stream.
+    """
+    def keep(x):
+        cond = get(x, "$.type", "string") == item_type
+        return cond if extra is None else cond & extra(x)
+    return F.try_element_at(F.filter(arr, keep), F.lit(-1))

@@ -2,8 +2,9 @@
 
 The reference parses one live reply and CROSS JOINs six one-row CTEs, so a
 reply without, say, a chart loses its whole row. ``wide`` keeps every response
-(conditional aggregation per response); ``require_all=True`` restores the
-reference's behaviour.
+(row-wise "last item of a type" over the content array); ``require_all=True``
+restores the reference's behaviour. Only J2/J4/J8, whose output is per item,
+explode the array; the rest are projections of the document row.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.operators.documents import flatten, get, last_per_type, last_value, safe_parse
+from churnlens.operators.documents import (flatten, get, items_array, last_of_type,
+                                            last_per_type, safe_parse)
 from churnlens.sources.responses import SQL_TOOL
 
 KEYS = ["conv_id", "turn"]
@@ -60,23 +62,20 @@ def last_items(docs: DataFrame) -> DataFrame:
     return last_per_type(flatten(parsed(docs), KEYS, "v", "$.content"), KEYS)
 
 
-def _sql_items(docs: DataFrame) -> DataFrame:
-    it = flatten(parsed(docs), KEYS, "v", "$.content")
-    return it.filter((F.col("item_type") == "tool_result")
-                     & (get("item", "$.tool_result.name", "string") == SQL_TOOL))
-
-
 def sql_details(docs: DataFrame) -> DataFrame:
-    """The last executed-SQL tool result of each response."""
+    """The last executed-SQL tool result of each response (row-wise, no shuffle)."""
+    p = parsed(docs).withColumn("_sql", _last_sql(items_array("v")))
     base = "$.tool_result.content[0].json"
-    it = _sql_items(docs).select(
-        *KEYS, "pos",
-        F.struct(get("item", f"{base}.sql", "string").alias("generated_sql"),
-                 get("item", f"{base}.verified_query_used", "boolean")
-                 .alias("verified_query_used"),
-                 get("item", f"{base}.query_id", "string").alias("query_id")).alias("d"))
-    g = it.groupBy(*KEYS).agg(F.max_by("d", "pos").alias("d"))
-    return g.select(*KEYS, "d.generated_sql", "d.verified_query_used", "d.query_id")
+    return p.filter(F.col("_sql").isNotNull()).select(
+        *KEYS,
+        get("_sql", f"{base}.sql", "string").alias("generated_sql"),
+        get("_sql", f"{base}.verified_query_used", "boolean").alias("verified_query_used"),
+        get("_sql", f"{base}.query_id", "string").alias("query_id"))
+
+
+def _last_sql(arr):
+    return last_of_type(arr, "tool_result",
+                        extra=lambda x: get(x, "$.tool_result.name", "string") == SQL_TOOL)
 
 
 def usage(docs: DataFrame) -> DataFrame:
@@ -97,36 +96,29 @@ def usage(docs: DataFrame) -> DataFrame:
 def wide(docs: DataFrame, require_all: bool = False) -> DataFrame:
     """One row per response with the last artifact of each kind and the usage.
 
-    One flatten and one group-by per response (conditional ``max_by``), instead
-    of six single-row CTEs cross-joined.
+    Row-wise over the content array (higher-order ``filter`` + last element),
+    so it is a projection: no explode, no group-by, no shuffle, no state when
+    run on a stream. A response lacking an artifact keeps its row with NULLs;
+    ``require_all=True`` drops it as the reference's CROSS JOIN of one-row
+    CTEs does.
     """
-    p = parsed(docs)
-    it = flatten(p, KEYS, "v", "$.content", keep=["v"])
-    is_sql = (F.col("item_type") == "tool_result") & (
-        get("item", "$.tool_result.name", "string") == SQL_TOOL)
+    arr = items_array("v")
     sqlj = "$.tool_result.content[0].json"
-    sql_struct = F.when(is_sql, F.struct(
-        get("item", f"{sqlj}.sql", "string").alias("sql"),
-        get("item", f"{sqlj}.verified_query_used", "boolean").alias("verified"),
-        get("item", f"{sqlj}.query_id", "string").alias("qid")))
-    g = it.groupBy(*KEYS).agg(
-        last_value(get("item", "$.text", "string"), "text").alias("final_answer"),
-        last_value(get("item", "$.table.title", "string"), "table").alias("table_title"),
-        last_value(get("item", "$.chart.chart_spec", "string"), "chart").alias("chart_spec"),
-        last_value(get("item", "$.suggested_queries[0].query", "string"), "suggested_queries")
+    p = parsed(docs).select(*KEYS, "v", _last_sql(arr).alias("_sql"))
+    out = p.select(
+        *KEYS,
+        get(last_of_type(arr, "text"), "$.text", "string").alias("final_answer"),
+        get(last_of_type(arr, "table"), "$.table.title", "string").alias("table_title"),
+        get(last_of_type(arr, "chart"), "$.chart.chart_spec", "string").alias("chart_spec"),
+        get(last_of_type(arr, "suggested_queries"), "$.suggested_queries[0].query", "string")
         .alias("suggested_query"),
-        F.max_by(sql_struct, F.when(is_sql, F.col("pos"))).alias("_sql"),
-        F.first(get("v", f"{USAGE}.model_name", "string"), ignorenulls=True).alias("model_name"),
-        F.first(get("v", f"{USAGE}.input_tokens.total", "bigint"), ignorenulls=True)
-        .alias("input_tokens"),
-        F.first(get("v", f"{USAGE}.output_tokens.total", "bigint"), ignorenulls=True)
-        .alias("output_tokens"),
+        get("_sql", f"{sqlj}.sql", "string").alias("generated_sql"),
+        get("_sql", f"{sqlj}.verified_query_used", "boolean").alias("verified_query_used"),
+        get("_sql", f"{sqlj}.query_id", "string").alias("query_id"),
+        get("v", f"{USAGE}.model_name", "string").alias("model_name"),
+        get("v", f"{USAGE}.input_tokens.total", "bigint").alias("input_tokens"),
+        get("v", f"{USAGE}.output_tokens.total", "bigint").alias("output_tokens"),
     )
-    out = g.select(*KEYS, "final_answer", "table_title", "chart_spec", "suggested_query",
-                   F.col("_sql.sql").alias("generated_sql"),
-                   F.col("_sql.verified").alias("verified_query_used"),
-                   F.col("_sql.qid").alias("query_id"),
-                   "model_name", "input_tokens", "output_tokens")
     if require_all:
         needed = ["final_answer", "table_title", "chart_spec", "suggested_query",
                   "generated_sql", "model_name"]
