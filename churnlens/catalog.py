@@ -131,8 +131,17 @@ def _raw(spark, sf):
 
 @register("raw_load_counts")
 def q_raw_load_counts(spark, sf):
-    from churnlens.sources.readers import load_report
-    return load_report(_raw(spark, sf))
+    """Raw tables written as header CSV (source-style headers), read back
+    typed with header normalisation; rows and type failures per table."""
+    import hashlib
+    import os
+
+    from churnlens.session import ensure_checkpoint_dir
+    from churnlens.sources.readers import load_report, read_raw, write_raw
+    tag = hashlib.sha1(f"{spark.sparkContext.applicationId}:{sf}".encode()).hexdigest()[:12]
+    folder = os.path.join(ensure_checkpoint_dir(spark), "raw-csv", tag)
+    write_raw(_raw(spark, sf), folder, "csv")
+    return load_report(read_raw(spark, folder, "csv", keep_failures=True))
 
 
 @register("dq_row_counts")

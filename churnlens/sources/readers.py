@@ -90,9 +90,25 @@ def load_star(spark: SparkSession, sf_dir: str, tables=None) -> dict[str, DataFr
             for t in (tables or STAR_TABLES)}
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                fmt: str = "parquet") -> None:
     """CTAS-like materialisation: the previous content is replaced."""
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if fmt == "csv":
+        w.option("header", True).csv(path)
+    else:
+        w.format(fmt).save(path)
+
+
+def source_header(name: str) -> str:
+    """'customer_id' → 'Customer ID': the spaced, capitalised headers of the source files."""
+    return " ".join(w.upper() if w == "id" else w.capitalize() for w in name.split("_"))
+
+
+def write_raw(raw: dict[str, DataFrame], directory: str, fmt: str = "csv") -> None:
+    """Write the five raw tables as ``<directory>/<table>.<fmt>`` with source-style headers."""
+    for t, df in raw.items():
+        out = df.toDF(*[source_header(c) for c in df.columns]) if fmt == "csv" else df
+        write_table(out, _path(directory, t, fmt), fmt=fmt)
