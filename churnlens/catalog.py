@@ -136,9 +136,9 @@ def q_raw_load_counts(spark, sf):
     import hashlib
     import os
 
-    from churnlens.session import ensure_checkpoint_dir
+    from churnlens.session import application_id, ensure_checkpoint_dir
     from churnlens.sources.readers import load_report, read_raw, write_raw
-    tag = hashlib.sha1(f"{spark.sparkContext.applicationId}:{sf}".encode()).hexdigest()[:12]
+    tag = hashlib.sha1(f"{application_id(spark)}:{sf}".encode()).hexdigest()[:12]
     folder = os.path.join(ensure_checkpoint_dir(spark), "raw-csv", tag)
     write_raw(_raw(spark, sf), folder, "csv")
     return load_report(read_raw(spark, folder, "csv", keep_failures=True))

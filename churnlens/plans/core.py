@@ -8,11 +8,14 @@ for the snapshot, whose value quartile is computed in range order.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.functions import bands
-from churnlens.operators.ranking import scalable_ntile
+from churnlens.operators.ranking import ntile_by_boundaries, scalable_ntile
+from churnlens.session import materialize
 
 PROFILE_COLS = ["customer_id", "gender", "age", "under_30", "senior_citizen", "married",
                 "dependents", "number_of_dependents"]
@@ -141,6 +144,46 @@ def customer_snapshot(status: DataFrame, services: DataFrame, *, checkpoint: boo
     )
 
 
+SNAPSHOT_COLS = ["customer_id", "snapshot_quarter", "tenure_in_months", "tenure_band",
+                 "customer_status", "churn_label", "churn_value", "churn_flag", "churn_score",
+                 "satisfaction_score", "satisfaction_band", "cltv", "cltv_quartile",
+                 "customer_value_segment", "high_value_flag", "churn_category", "churn_reason"]
+
+
+def customer_360_single(flat: DataFrame, population: DataFrame, *,
+                        checkpoint: bool = True) -> DataFrame:
+    """C1-C15 as ONE projection when all raw tables are projections of one row per customer.
+
+    With verified-unique, non-NULL customer ids and a population table unique
+    on ZIP, the reference's three inner joins of four projections of the same
+    row are the identity, and ``status LEFT JOIN services`` is that row too.
+    So the 360 is the row itself plus the derived columns (the same column
+    functions as the joined path). The value quartile uses
+    ``ntile_by_boundaries``: only (cltv, customer_id) is ranked; the wide rows
+    are never shuffled. The population join is a ZIP-sized table (AQE
+    broadcasts it after measuring it).
+    """
+    pop = population.select("zip_code", "population")
+    if checkpoint:   # one row per ZIP; keeps its aggregation out of every mart
+        pop = materialize(pop, f"population-{uuid.uuid4().hex[:12]}")
+    j = flat.join(pop, "zip_code", "left").withColumnRenamed("quarter", "snapshot_quarter")
+    ranked = ntile_by_boundaries(j, 4, ["cltv", "customer_id"], "cltv_quartile",
+                                 checkpoint=checkpoint)
+    derived = {
+        "age_band": bands.age_band("age"),
+        "core_service_count": bands.yes_count(bands.CORE_SERVICES),
+        "add_on_service_count": bands.yes_count(bands.ADD_ON_SERVICES),
+        "total_service_count": bands.yes_count(bands.CORE_SERVICES + bands.ADD_ON_SERVICES),
+        "tenure_band": bands.tenure_band("tenure_in_months"),
+        "churn_flag": bands.churn_flag("churn_value"),
+        "satisfaction_band": bands.satisfaction_band("satisfaction_score"),
+        "customer_value_segment": bands.value_segment("cltv_quartile"),
+        "high_value_flag": bands.high_value_flag("cltv_quartile"),
+    }
+    return ranked.select(*[derived[c].alias(c) if c in derived else F.col(c)
+                           for c in C360_COLS])
+
+
 def customer_360(profile: DataFrame, location: DataFrame, services: DataFrame,
                  snapshot: DataFrame) -> DataFrame:
     """INNER JOIN of the four CORE tables on customer_id (61 columns)."""

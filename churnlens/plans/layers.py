@@ -2,24 +2,30 @@
 
 The reference materialises RAW and CORE as tables and reads the 360 as a view.
 Here the adapter's one-row-per-customer output (the expensive part: the only
-step that reads line-level data) is cut from its lineage with a reliable
-``checkpoint`` into the cluster's ``spark.checkpoint.dir``; the raw and CORE
-tables are projections of it, and the 360 is a join over them. The snapshot's
-value quartile checkpoints its own range-ordered ranks (see ``ranking``).
-
-The 360 itself is also checkpointed: every mart, check and metric reads it,
-so its three joins run once per build instead of once per query.
+step that reads line-level data) is written once as a Parquet table under the
+cluster's ``spark.checkpoint.dir`` and read back (``session.materialize``):
+lineage is cut as with a checkpoint, and later scans prune columns. The raw
+and CORE tables are projections of it.
+
+* star input with unique customer ids: the 360 is one projection of the
+  materialised rows plus the value quartile (only the narrow key is ranked and
+  checkpointed) — no joins and no wide shuffle after the adapter — written once
+  as Parquet, so each mart is a pruned columnar scan plus its aggregation;
+* raw files (``from_raw``): the reference's joins; the ranked snapshot and the
+  360 are checkpointed so every mart reads the joined result.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.plans import core
-from churnlens.session import ensure_checkpoint_dir
+from churnlens.session import application_id, ensure_checkpoint_dir, materialize
 from churnlens.sources import adapter
 from churnlens.sources.readers import load_star
 
@@ -44,27 +50,53 @@ class ChurnLayers:
                                           checkpoint=checkpoint)
         c360 = core.customer_360(profile, location, services, snapshot)
         if checkpoint:
-            # Every mart reads the 360; materialise the view's content once.
-            c360 = c360.checkpoint(eager=True)
-            # One aggregate over the ids (a single-row result): if they are unique and
-            # non-NULL, distinct counts in the marts become plain counts.
-            dup = c360.agg((F.count("customer_id") - F.count_distinct("customer_id")
-                            + F.count_if(F.col("customer_id").isNull())).alias("d")).first()
-            if dup is not None and dup.d == 0:
+            # Every mart reads the 360; materialise the view's content once, as Parquet
+            # so that each mart scans only its columns.
+            c360 = materialize(c360, f"c360-{uuid.uuid4().hex[:12]}")
+            # If ids are unique and non-NULL, distinct counts in the marts become plain counts.
+            if _ids_unique(c360):
                 c360 = core.mark_unique_ids(c360)
         return cls(raw, profile, location, services, snapshot, c360, star or {})
 
     @classmethod
     def from_star(cls, spark: SparkSession, sf_dir: str, *,
                   checkpoint: bool = True) -> "ChurnLayers":
+        """Adapter → raw → CORE → 360 from the star schema.
+
+        The adapter's rows are checkpointed once. When customer ids are
+        verified unique and non-NULL (one aggregate over the ids), the 360 is a
+        single projection of those rows (``core.customer_360_single``) —
+        no joins, no wide shuffle — and the ids are flagged unique for the
+        marts. Otherwise the generic joined path of ``from_raw`` is used.
+        """
         star = load_star(spark, sf_dir)
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wide = adapter.customer_wide(star, partitions=parts)
-        if checkpoint:
-            ensure_checkpoint_dir(spark)
-            wide = wide.checkpoint(eager=True)
-        raw = adapter.raw_tables(wide, star["supplier"])
-        return cls.from_raw(raw, checkpoint=checkpoint, star=star)
+        wide = adapter.customer_wide(star)
+        if not checkpoint:
+            flat = adapter.raw_flat(wide)
+            return cls.from_raw(adapter.raw_tables(flat, star["supplier"]), checkpoint=False,
+                                star=star)
+        ensure_checkpoint_dir(spark)
+        tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+        flat = materialize(adapter.raw_flat(wide), f"flat-{tag}")
+        raw = adapter.raw_tables(flat, star["supplier"])
+        if not _ids_unique(flat):
+            return cls.from_raw(raw, checkpoint=checkpoint, star=star)
+        # population is grouped by ZIP (nation) in the adapter, so the ZIP join cannot fan out
+        c360 = materialize(core.customer_360_single(flat, raw["churn_population"]),
+                           f"c360-{tag}")
+        c360 = core.mark_unique_ids(c360)
+        profile = core.customer_profile(raw["churn_demographics"])
+        location = core.customer_location(raw["churn_location"], raw["churn_population"])
+        services = core.customer_services(raw["churn_services"])
+        snapshot = c360.select(*core.SNAPSHOT_COLS)
+        return cls(raw, profile, location, services, snapshot, c360, star)
+
+
+def _ids_unique(df: DataFrame, col: str = "customer_id") -> bool:
+    """One aggregate over the ids (a one-row result): unique and non-NULL?"""
+    r = df.agg((F.count(col) - F.count_distinct(col)
+                + F.count_if(F.col(col).isNull())).alias("d")).first()
+    return r is not None and r.d == 0
 
 
 _CACHE: dict[tuple[str, str], ChurnLayers] = {}
@@ -72,7 +104,7 @@ _CACHE: dict[tuple[str, str], ChurnLayers] = {}
 
 def layers_for(spark: SparkSession, sf_dir: str) -> ChurnLayers:
     """The layers of one input directory, built once per Spark application."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (application_id(spark), sf_dir.rstrip("/"))
     if key not in _CACHE:
         _CACHE[key] = ChurnLayers.from_star(spark, sf_dir)
     return _CACHE[key]

@@ -42,15 +42,55 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
     is. Only when nothing is configured (tests, local runs) a fresh folder under
-    the system temp directory is created for this session.
+    the system temp directory is created for this session. Works without a
+    ``SparkContext`` handle (Spark Connect) because the library only writes
+    tables there; with a classic session the context's checkpoint folder is set
+    too, for callers that use ``DataFrame.checkpoint``.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    global _LOCAL_DIR
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="churnlens-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        if _LOCAL_DIR is None:
+            _LOCAL_DIR = tempfile.mkdtemp(prefix="churnlens-ckpt-")
+        configured = _LOCAL_DIR
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
+
+
+_LOCAL_DIR: str | None = None
+
+
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 — Spark Connect sessions have no SparkContext
+        return None
+
+
+def application_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table under the checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` (the files live on the cluster's
+    shared ``spark.checkpoint.dir`` and survive lost executors) but, unlike a
+    checkpointed RDD of whole rows, later scans are columnar: column pruning,
+    predicate pushdown and the vectorised reader apply. ``name`` must be unique
+    within the application (the folder is the application's checkpoint folder).
+    """
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -13,8 +13,8 @@ Shuffle budget (the adapter is the only step that touches line-level data):
 5. customer ⋈ per-customer results on the customer key; nation and region are
    25 and 5 rows and joined by AQE's size check.
 
-The result is one wide row per customer, hash-partitioned by ``customer_id``;
-the five raw tables are projections of it.
+The result is one wide row per customer; the five raw tables are
+projections of it (population aside, which comes from ``supplier``).
 """
 
 from __future__ import annotations
@@ -101,7 +101,7 @@ def _share_rule(n_class: str, n_all: str):
 
 
 def customer_wide(star: dict[str, DataFrame], partitions: int | None = None) -> DataFrame:
-    """One row per customer with every raw column (hash-partitioned by customer_id)."""
+    """One row per customer with every raw column the star schema can supply."""
     orders, lineitem = star["orders"], star["lineitem"]
     per_order = _per_order_lines(lineitem, star["part"])
     per_cust = _per_customer_orders(orders, per_order)
@@ -185,9 +185,8 @@ def customer_wide(star: dict[str, DataFrame], partitions: int | None = None) ->
     ]
     out = w.select(*cols)
     if partitions:
+        # Only useful when the caller keeps the partitioning (a checkpoint drops it).
         out = out.repartition(partitions, "customer_id")
-    else:
-        out = out.repartition("customer_id")
     return out
 
 
@@ -195,25 +194,38 @@ def _typed_null(dtype: str):
     return F.lit(None).cast(dtype)
 
 
-def raw_tables(wide: DataFrame, supplier: DataFrame) -> dict[str, DataFrame]:
-    """Project the wide customer rows onto the reference's five raw tables."""
-    from churnlens.sources.schema import RAW_SCHEMAS
+# Raw columns the star schema has no source for: typed NULLs.
+NULL_COLUMNS = {"married": "string", "dependents": "string", "number_of_dependents": "bigint",
+                "city": "string", "lat_long": "string", "latitude": "double",
+                "longitude": "double", "referred_a_friend": "string",
+                "number_of_referrals": "bigint",
+                "avg_monthly_long_distance_charges": "decimal(18,2)",
+                "paperless_billing": "string", "total_extra_data_charges": "bigint",
+                "total_long_distance_charges": "decimal(18,2)"}
 
-    fill = {"married": "string", "dependents": "string", "number_of_dependents": "bigint",
-            "city": "string", "lat_long": "string", "latitude": "double",
-            "longitude": "double", "referred_a_friend": "string",
-            "number_of_referrals": "bigint", "avg_monthly_long_distance_charges": "decimal(18,2)",
-            "paperless_billing": "string", "total_extra_data_charges": "bigint",
-            "total_long_distance_charges": "decimal(18,2)"}
-    out = {}
-    for table in ["churn_demographics", "churn_location", "churn_services", "churn_status"]:
-        cols = []
+
+def raw_flat(wide: DataFrame) -> DataFrame:
+    """The wide rows with every column of every customer-keyed raw table, typed."""
+    from churnlens.sources.schema import CUSTOMER_TABLES, RAW_SCHEMAS
+
+    cols, seen = [], set()
+    for table in CUSTOMER_TABLES:
         for field in RAW_SCHEMAS[table].fields:
-            if field.name in fill:
-                cols.append(_typed_null(fill[field.name]).alias(field.name))
+            if field.name in seen:
+                continue
+            seen.add(field.name)
+            if field.name in NULL_COLUMNS:
+                cols.append(_typed_null(NULL_COLUMNS[field.name]).alias(field.name))
             else:
                 cols.append(F.col(field.name).cast(field.dataType).alias(field.name))
-        out[table] = wide.select(*cols)
+    return wide.select(*cols)
+
+
+def raw_tables(flat: DataFrame, supplier: DataFrame) -> dict[str, DataFrame]:
+    """Project the flat customer rows onto the reference's five raw tables."""
+    from churnlens.sources.schema import CUSTOMER_TABLES, RAW_SCHEMAS
+
+    out = {t: flat.select(*[f.name for f in RAW_SCHEMAS[t].fields]) for t in CUSTOMER_TABLES}
     pop = supplier.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("population"))
     out["churn_population"] = pop.select(
         F.col("s_nationkey").cast("bigint").alias("id"),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from churnlens.operators.ranking import scalable_ntile
+from churnlens.operators.ranking import ntile_by_boundaries, scalable_ntile
 
 
 def _check(spark, rows, k=4, partitions=5):
@@ -57,3 +57,16 @@ def test_no_single_partition_exchange_over_the_rows(spark):
             above = [ln for ln in ours[:i] if "BroadcastExchange" in ln and depth(ln) < depth(line)]
             assert above, "a SinglePartition exchange outside the broadcast of the counts"
     assert out.count() == 1000
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 17, 1501])
+def test_boundary_ntile_matches_sql_ntile_for_unique_keys(spark, n):
+    rnd = random.Random(100 + n)
+    rows = [(f"c{i:05d}", None if rnd.random() < 0.05 else rnd.randint(-5, 40)) for i in range(n)]
+    df = spark.createDataFrame(rows, "customer_id string, cltv long")
+    order = [F.col("cltv").asc_nulls_last(), F.col("customer_id").asc_nulls_last()]
+    ours = ntile_by_boundaries(df, 4, ["cltv", "customer_id"], "q", partitions=3)
+    ref = df.withColumn("q_ref", F.ntile(4).over(Window.orderBy(*order)))
+    j = ours.join(ref, "customer_id")
+    assert j.count() == n
+    assert j.filter(F.col("q") != F.col("q_ref")).count() == 0
