@@ -344,7 +344,8 @@ C360_PROFILE_FIELDS = ["AGE_BAND", "CHURN_CATEGORY", "CHURN_FLAG", "CHURN_REASON
 def q_metric_values(spark, sf):
     c = _c360(spark, sf)
     return metrics.metric_values(marts.executive_kpis(c), marts.churn_segments(c),
-                                 marts.product_adoption(c), lifecycle.churn_by_tenure(c))
+                                 marts.product_adoption(c), lifecycle.churn_by_tenure(c),
+                                 marts.product_depth(c), marts.customer_value(c))
 
 
 @register("product_adoption_rate")

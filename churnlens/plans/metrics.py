@@ -269,6 +269,8 @@ LIMITATIONS = {
     "customers_reaching_tenure": "Cross-sectional; not a cohort.",
     "churned_at_tenure": "Cross-sectional; not a cohort.",
     "churn_rate_at_tenure": "Cross-sectional approximation; not retention or survival.",
+    "churn_index": "Segment rate relative to the overall rate; 1.0 = average.",
+    "revenue_share": "Share of accumulated historical revenue.",
 }
 PORTFOLIO_METRICS = ["total_customers", "churned_customers", "churn_rate", "avg_monthly_charge",
                      "total_monthly_charges", "total_revenue", "churned_monthly_revenue",
@@ -285,7 +287,7 @@ def _limitation() -> Column:
 
 
 def metric_values(kpis: DataFrame, segments: DataFrame, adoption: DataFrame,
-                  curve: DataFrame) -> DataFrame:
+                  curve: DataFrame, depth: DataFrame, value: DataFrame) -> DataFrame:
     """G1: (dimension_name, segment_value, metric_name, metric_value, limitation).
 
     Portfolio scalars come from the one-row KPI mart, per-segment metrics from
@@ -308,7 +310,16 @@ def metric_values(kpis: DataFrame, segments: DataFrame, adoption: DataFrame,
                        F.col("tenure_month").cast("string").alias("segment_value"),
                        *[F.col(c).cast("double").alias(c) for c in tcols]).unpivot(
         ["dimension_name", "segment_value"], tcols, "metric_name", "metric_value")
-    out = port.unionByName(seg).unionByName(share).unionByName(ten)
+    index = depth.select(F.lit("Total Service Count").alias("dimension_name"),
+                         F.col("total_service_count").cast("string").alias("segment_value"),
+                         F.lit("churn_index").alias("metric_name"),
+                         F.col("churn_index").cast("double").alias("metric_value"))
+    rshare = value.select(F.lit("Customer Value").alias("dimension_name"),
+                          F.col("customer_value_segment").alias("segment_value"),
+                          F.lit("revenue_share").alias("metric_name"),
+                          F.col("revenue_share").cast("double").alias("metric_value"))
+    out = (port.unionByName(seg).unionByName(share).unionByName(ten).unionByName(index)
+           .unionByName(rshare))
     return out.withColumn("limitation", _limitation())
 
 
@@ -360,7 +371,7 @@ PROFILE_BUCKETS = 64
 
 
 def field_profile(df: DataFrame, fields: list[str], buckets: int = PROFILE_BUCKETS) -> DataFrame:
-    """Per field: rows, NULLs, distinct values and the 3 most frequent values.
+    """Per field: rows, NULLs, distinct values, min, max and the 3 most frequent values.
 
     One unpivot and one group-by (field, value). The top-3 is exact and
     distributed: first the top 3 inside (field, hash(value) mod B) — each
@@ -385,5 +396,13 @@ def field_profile(df: DataFrame, fields: list[str], buckets: int = PROFILE_BUCKE
     top = top.groupBy("field_name").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("_r", "value"))), lambda x: x["value"]), " | ")
         .alias("top_values"))
-    return stats.join(top, "field_name", "left").select(
-        "field_name", "rows", "null_values", "distinct_values", "top_values")
+    # typed min / max (numbers compare as numbers), one pass, then unpivoted
+    mm = df.agg(*[x for f in fields for x in (
+        F.min(f.lower()).cast("string").alias(f"min_{f}"),
+        F.max(f.lower()).cast("string").alias(f"max_{f}"))])
+    mm = mm.select(F.explode(F.array(*[F.struct(
+        F.lit(f).alias("field_name"), F.col(f"min_{f}").alias("min_value"),
+        F.col(f"max_{f}").alias("max_value")) for f in fields])).alias("m")).select("m.*")
+    return stats.join(top, "field_name", "left").join(mm, "field_name", "left").select(
+        "field_name", "rows", "null_values", "distinct_values", "min_value", "max_value",
+        "top_values")
