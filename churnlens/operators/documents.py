@@ -38,11 +38,22 @@ def flatten(df: DataFrame, keys: list[str], vcol: str, path: str,
     return out.withColumn("item_type", get("item", "$.type", "string"))
 
 
+def item_value(item: str | Column = "item") -> Column:
+    """The headline value of an item of any known type (text, title, spec, tool, query)."""
+    return F.coalesce(get(item, "$.text"), get(item, "$.table.title"),
+                      get(item, "$.chart.chart_spec"), get(item, "$.tool_result.name"),
+                      get(item, "$.suggested_queries[0].query"))
+
+
 def last_per_type(items: DataFrame, keys: list[str]) -> DataFrame:
-    """Per document and item type: number of items and index of the last one."""
+    """Per document and item type: number of items, index and value of the last one.
+
+    Grouped per document, so the group size is bounded by one document's items.
+    """
     return items.filter(F.col("item_type").isNotNull()).groupBy(*keys, "item_type").agg(
         F.count(F.lit(1)).alias("items"),
         F.max("pos").alias("last_index"),
+        F.max_by(item_value(), F.col("pos")).alias("last_value"),
     )
 
 

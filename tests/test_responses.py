@@ -57,8 +57,11 @@ def test_items_usage_sql_and_rows(spark):
     rows = [(r.row_index, r.line_no, r.chars) for r in responses.result_rows(d).collect()
             if r.conv_id == 1]
     assert sorted(rows) == [(0, 1, 5), (1, 2, 7)]
-    last = {(r.conv_id, r.item_type): r.last_index for r in responses.last_items(d).collect()}
-    assert last[(1, "text")] == 4
+    last = {(r.conv_id, r.item_type): (r.last_index, r.last_value)
+            for r in responses.last_items(d).collect()}
+    assert last[(1, "text")] == (4, "last")
+    assert last[(1, "tool_result")] == (1, "system_execute_sql")
+    assert last[(5, "tool_result")] == (0, "web")
 
 
 def test_safe_parse_never_fails(spark):
