@@ -117,8 +117,14 @@ def cltv_order():
 
 
 def customer_snapshot(status: DataFrame, services: DataFrame, *, checkpoint: bool = True,
-                      partitions: int | None = None) -> DataFrame:
-    """Status LEFT JOIN services for tenure; bands, flag and value quartile."""
+                      partitions: int | None = None, unique_ids: bool = False) -> DataFrame:
+    """Status LEFT JOIN services for tenure; bands, flag and value quartile.
+
+    With ``unique_ids`` (status and services verified unique on customer_id, so
+    (cltv, customer_id) is a unique key of the snapshot) the quartile ranks only
+    the narrow key (``ntile_by_boundaries``); otherwise the whole rows are range
+    partitioned and ranked (``scalable_ntile``), which splits exact ties like SQL.
+    """
     s = status.alias("s")
     sv = services.select("customer_id", "tenure_in_months").alias("sv")
     base = s.join(sv, F.col("s.customer_id") == F.col("sv.customer_id"), "left").select(
@@ -128,8 +134,12 @@ def customer_snapshot(status: DataFrame, services: DataFrame, *, checkpoint: boo
         "s.customer_status", "s.churn_label", "s.churn_value", "s.churn_score",
         "s.satisfaction_score", "s.cltv", "s.churn_category", "s.churn_reason",
     )
-    ranked = scalable_ntile(base, 4, cltv_order(), "cltv_quartile", partitions=partitions,
-                            checkpoint=checkpoint)
+    if unique_ids:
+        ranked = ntile_by_boundaries(base, 4, ["cltv", "customer_id"], "cltv_quartile",
+                                     partitions=partitions, checkpoint=checkpoint)
+    else:
+        ranked = scalable_ntile(base, 4, cltv_order(), "cltv_quartile", partitions=partitions,
+                                checkpoint=checkpoint)
     return ranked.select(
         "customer_id", "snapshot_quarter", "tenure_in_months",
         bands.tenure_band("tenure_in_months").alias("tenure_band"),

@@ -46,8 +46,10 @@ class ChurnLayers:
         profile = core.customer_profile(raw["churn_demographics"])
         location = core.customer_location(raw["churn_location"], raw["churn_population"])
         services = core.customer_services(raw["churn_services"])
+        unique = checkpoint and _ids_unique(raw["churn_status"]) and _ids_unique(
+            raw["churn_services"])
         snapshot = core.customer_snapshot(raw["churn_status"], raw["churn_services"],
-                                          checkpoint=checkpoint)
+                                          checkpoint=checkpoint, unique_ids=unique)
         c360 = core.customer_360(profile, location, services, snapshot)
         if checkpoint:
             # Every mart reads the 360; materialise the view's content once, as Parquet
