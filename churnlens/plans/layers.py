@@ -78,7 +78,10 @@ class ChurnLayers:
             return cls.from_raw(adapter.raw_tables(flat, star["supplier"]), checkpoint=False,
                                 star=star)
         ensure_checkpoint_dir(spark)
-        tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+        # unique per build: a second build of the same input must not overwrite files an
+        # earlier build's DataFrames still read
+        tag = (hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:8] + "-"
+               + uuid.uuid4().hex[:8])
         flat = materialize(adapter.raw_flat(wide), f"flat-{tag}")
         raw = adapter.raw_tables(flat, star["supplier"])
         if not _ids_unique(flat):
