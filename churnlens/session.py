@@ -94,3 +94,30 @@ def materialize(df, name: str):
     path = os.path.join(ensure_checkpoint_dir(spark), "tables", name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def scale_conf(largest_input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Session settings for a cluster run, from the largest input and the core count.
+
+    The adapter's shuffles carry at most the projected line-level data, so the
+    shuffle partition count aims at ~256 MB per partition of the largest input,
+    at least 3 waves of tasks, and at most 200,000 partitions (beyond that the
+    driver's map-output bookkeeping grows faster than the gain). AQE coalesces
+    the small mart shuffles back down and splits skewed join partitions. Scans
+    read 256 MB splits.
+    """
+    parts = int(largest_input_bytes // target_partition_bytes) + 1
+    parts = min(max(3 * total_cores, parts), max(MAX_SHUFFLE_PARTITIONS, 3 * total_cores))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 ** 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }
