@@ -37,15 +37,18 @@ _MASK = (1 << _LOW_BITS) - 1
 
 
 def global_rank(df: DataFrame, order: list[Column], rank_col: str = "_rank",
-                total_col: str = "_total", partitions: int | None = None,
-                checkpoint: bool = True) -> DataFrame:
-    """Add the 0-based global position under ``order`` and the row total."""
+                total_col: str = "_total", partitions: int | None = None) -> DataFrame:
+    """Add the 0-based global position under ``order`` and the row total.
+
+    The tagged rows are always written (step 2): counting and ranking must read
+    the same partitions, which an unmaterialised range partitioning does not
+    guarantee.
+    """
     spark = df.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = (df.repartitionByRange(p, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
-    if checkpoint:
-        tagged = materialize(tagged, f"rank-{uuid.uuid4().hex[:12]}")
+    tagged = materialize(tagged, f"rank-{uuid.uuid4().hex[:12]}")
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", _LOW_BITS))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
@@ -74,9 +77,9 @@ def ntile_from_rank(k: int, rank_col: str = "_rank", total_col: str = "_total")
 
 
 def scalable_ntile(df: DataFrame, k: int, order: list[Column], out_col: str,
-                   partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+                   partitions: int | None = None) -> DataFrame:
     """``NTILE(k) OVER (ORDER BY order)`` without funnelling rows into one task."""
-    ranked = global_rank(df, order, partitions=partitions, checkpoint=checkpoint)
+    ranked = global_rank(df, order, partitions=partitions)
     return ranked.withColumn(out_col, ntile_from_rank(k)).drop("_rank", "_total")
 
 
@@ -90,7 +93,7 @@ def _order_key(cols: list[str]) -> Column:
 
 
 def ntile_by_boundaries(df: DataFrame, k: int, key_cols: list[str], out_col: str,
-                        partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+                        partitions: int | None = None) -> DataFrame:
     """NTILE(k) ordered by ``key_cols`` (ascending, NULLs last) when the key is unique.
 
     Only the narrow key is range-partitioned and ranked (``global_rank``); the
@@ -103,7 +106,7 @@ def ntile_by_boundaries(df: DataFrame, k: int, key_cols: list[str], out_col: str
     """
     keyed = df.withColumn("_key", _order_key(key_cols))
     narrow = keyed.select("_key")
-    ranked = global_rank(narrow, [F.col("_key")], partitions=partitions, checkpoint=checkpoint)
+    ranked = global_rank(narrow, [F.col("_key")], partitions=partitions)
     q = F.expr(f"_total DIV {k}")
     m = F.expr(f"_total % {k}")
     starts = {b: (F.lit(b - 1) * q + F.least(F.lit(b - 1), m)) for b in range(2, k + 1)}
@@ -114,9 +117,8 @@ def ntile_by_boundaries(df: DataFrame, k: int, key_cols: list[str], out_col: str
     bounds = ranked.filter(is_start).agg(
         *[F.max(F.when(F.col("_rank") == s, F.col("_key"))).alias(f"_b{b}")
           for b, s in starts.items()])
-    if checkpoint:
-        # one row: cut its lineage so later queries do not re-run the ranking stages
-        bounds = materialize(bounds, f"bounds-{uuid.uuid4().hex[:12]}")
+    # one row: cut its lineage so later queries do not re-run the ranking stages
+    bounds = materialize(bounds, f"bounds-{uuid.uuid4().hex[:12]}")
     j = keyed.crossJoin(F.broadcast(bounds))
     bucket = F.lit(1)
     for b in starts:

@@ -1,9 +1,14 @@
 """CORE projections and the customer 360.
 
-Every function is DataFrame → DataFrame. The four CORE tables share the key
-``customer_id``; when their inputs are hash-partitioned on it (the adapter's
-output is), the three inner joins of the 360 need no further shuffle except
-for the snapshot, whose value quartile is computed in range order.
+Every function is DataFrame → DataFrame. Two ways to the 360:
+
+* ``customer_360``: the reference's form — three inner joins of the four CORE
+  tables on ``customer_id`` (raw files with arbitrary keys, duplicates fan out);
+* ``customer_360_single``: one projection of one row per customer, used when the
+  raw tables are projections of the same rows and ids are verified unique.
+
+Both use the same column functions (``functions.bands``), and a test checks
+they give identical rows.
 """
 
 from __future__ import annotations
@@ -116,7 +121,7 @@ def cltv_order():
     return [F.col("cltv").asc_nulls_last(), F.col("customer_id").asc_nulls_last()]
 
 
-def customer_snapshot(status: DataFrame, services: DataFrame, *, checkpoint: bool = True,
+def customer_snapshot(status: DataFrame, services: DataFrame, *,
                       partitions: int | None = None, unique_ids: bool = False) -> DataFrame:
     """Status LEFT JOIN services for tenure; bands, flag and value quartile.
 
@@ -136,10 +141,9 @@ def customer_snapshot(status: DataFrame, services: DataFrame, *, checkpoint: boo
     )
     if unique_ids:
         ranked = ntile_by_boundaries(base, 4, ["cltv", "customer_id"], "cltv_quartile",
-                                     partitions=partitions, checkpoint=checkpoint)
+                                     partitions=partitions)
     else:
-        ranked = scalable_ntile(base, 4, cltv_order(), "cltv_quartile", partitions=partitions,
-                                checkpoint=checkpoint)
+        ranked = scalable_ntile(base, 4, cltv_order(), "cltv_quartile", partitions=partitions)
     return ranked.select(
         "customer_id", "snapshot_quarter", "tenure_in_months",
         bands.tenure_band("tenure_in_months").alias("tenure_band"),
@@ -160,8 +164,7 @@ SNAPSHOT_COLS = ["customer_id", "snapshot_quarter", "tenure_in_months", "tenure_
                  "customer_value_segment", "high_value_flag", "churn_category", "churn_reason"]
 
 
-def customer_360_single(flat: DataFrame, population: DataFrame, *,
-                        checkpoint: bool = True) -> DataFrame:
+def customer_360_single(flat: DataFrame, population: DataFrame) -> DataFrame:
     """C1-C15 as ONE projection when all raw tables are projections of one row per customer.
 
     With verified-unique, non-NULL customer ids and a population table unique
@@ -173,12 +176,11 @@ def customer_360_single(flat: DataFrame, population: DataFrame, *,
     are never shuffled. The population join is a ZIP-sized table (AQE
     broadcasts it after measuring it).
     """
-    pop = population.select("zip_code", "population")
-    if checkpoint:   # one row per ZIP; keeps its aggregation out of every mart
-        pop = materialize(pop, f"population-{uuid.uuid4().hex[:12]}")
+    # one row per ZIP, written once: keeps its aggregation out of every later read
+    pop = materialize(population.select("zip_code", "population"),
+                      f"population-{uuid.uuid4().hex[:12]}")
     j = flat.join(pop, "zip_code", "left").withColumnRenamed("quarter", "snapshot_quarter")
-    ranked = ntile_by_boundaries(j, 4, ["cltv", "customer_id"], "cltv_quartile",
-                                 checkpoint=checkpoint)
+    ranked = ntile_by_boundaries(j, 4, ["cltv", "customer_id"], "cltv_quartile")
     derived = {
         "age_band": bands.age_band("age"),
         "core_service_count": bands.yes_count(bands.CORE_SERVICES),

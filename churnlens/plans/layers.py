@@ -9,10 +9,10 @@ and CORE tables are projections of it.
 
 * star input with unique customer ids: the 360 is one projection of the
   materialised rows plus the value quartile (only the narrow key is ranked and
-  checkpointed) — no joins and no wide shuffle after the adapter — written once
+  written) — no joins and no wide shuffle after the adapter — written once
   as Parquet, so each mart is a pruned columnar scan plus its aggregation;
-* raw files (``from_raw``): the reference's joins; the ranked snapshot and the
-  360 are checkpointed so every mart reads the joined result.
+* raw files (``from_raw``): the reference's joins; the 360 is written once as
+  Parquet so every mart reads the joined result instead of re-joining.
 """
 
 from __future__ import annotations
@@ -43,13 +43,17 @@ class ChurnLayers:
     @classmethod
     def from_raw(cls, raw: dict[str, DataFrame], *, checkpoint: bool = True,
                  star: dict[str, DataFrame] | None = None) -> "ChurnLayers":
+        """The reference's CORE tables and joined 360 from five raw tables.
+
+        ``checkpoint=False`` skips writing the 360 (each mart then re-joins);
+        the value-quartile ranks are written in any case (``operators.ranking``).
+        """
         profile = core.customer_profile(raw["churn_demographics"])
         location = core.customer_location(raw["churn_location"], raw["churn_population"])
         services = core.customer_services(raw["churn_services"])
-        unique = checkpoint and _ids_unique(raw["churn_status"]) and _ids_unique(
-            raw["churn_services"])
+        unique = _ids_unique(raw["churn_status"]) and _ids_unique(raw["churn_services"])
         snapshot = core.customer_snapshot(raw["churn_status"], raw["churn_services"],
-                                          checkpoint=checkpoint, unique_ids=unique)
+                                          unique_ids=unique)
         c360 = core.customer_360(profile, location, services, snapshot)
         if checkpoint:
             # Every mart reads the 360; materialise the view's content once, as Parquet
@@ -65,7 +69,7 @@ class ChurnLayers:
                   checkpoint: bool = True) -> "ChurnLayers":
         """Adapter → raw → CORE → 360 from the star schema.
 
-        The adapter's rows are checkpointed once. When customer ids are
+        The adapter's rows are written once (Parquet). When customer ids are
         verified unique and non-NULL (one aggregate over the ids), the 360 is a
         single projection of those rows (``core.customer_360_single``) —
         no joins, no wide shuffle — and the ids are flagged unique for the

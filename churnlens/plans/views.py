@@ -3,7 +3,7 @@
 ``register_views(spark, layers)`` makes ``spark.sql`` see the raw tables, the
 CORE tables, the 360 and the marts by the names the reference's queries and
 dashboard use. Views are lazy: each is the DataFrame function above, planned
-by Catalyst when queried; the 360 underneath is the checkpointed one.
+by Catalyst when queried; the 360 underneath is the materialised one.
 """
 
 from __future__ import annotations
