@@ -271,6 +271,9 @@ LIMITATIONS = {
     "churn_rate_at_tenure": "Cross-sectional approximation; not retention or survival.",
     "churn_index": "Segment rate relative to the overall rate; 1.0 = average.",
     "revenue_share": "Share of accumulated historical revenue.",
+    "product_adoption_rate": "Adopters over eligible customers; 'Not Applicable' excluded.",
+    "total_service_count": "Customers holding this many services (0-11).",
+    "customer_value_segment": "Customers in this CLTV quartile segment; relative, not currency.",
 }
 PORTFOLIO_METRICS = ["total_customers", "churned_customers", "churn_rate", "avg_monthly_charge",
                      "total_monthly_charges", "total_revenue", "churned_monthly_revenue",
@@ -290,8 +293,10 @@ def metric_values(kpis: DataFrame, segments: DataFrame, adoption: DataFrame,
                   curve: DataFrame, depth: DataFrame, value: DataFrame) -> DataFrame:
     """G1: (dimension_name, segment_value, metric_name, metric_value, limitation).
 
-    Portfolio scalars come from the one-row KPI mart, per-segment metrics from
-    their marts; all are unpivoted and unioned (a few hundred rows).
+    All 21 metrics of the metric dictionary: portfolio scalars from the one-row
+    KPI mart, per-segment metrics from their marts, and the two column metrics
+    (service count, value segment) as customer distributions; all unpivoted
+    and unioned (a few hundred rows).
     """
     port = kpis.select(F.lit("Portfolio").alias("dimension_name"),
                        F.lit("All").alias("segment_value"),
@@ -318,8 +323,22 @@ def metric_values(kpis: DataFrame, segments: DataFrame, adoption: DataFrame,
                           F.col("customer_value_segment").alias("segment_value"),
                           F.lit("revenue_share").alias("metric_name"),
                           F.col("revenue_share").cast("double").alias("metric_value"))
-    out = (port.unionByName(seg).unionByName(share).unionByName(ten).unionByName(index)
-           .unionByName(rshare))
+    rate = product_adoption_rate(adoption).select(
+        F.col("product_name").alias("dimension_name"), F.lit("Yes").alias("segment_value"),
+        F.lit("product_adoption_rate").alias("metric_name"),
+        F.col("adoption_rate").cast("double").alias("metric_value"))
+    # column metrics (service count, value segment): their customer distribution
+    svc = depth.select(F.lit("Total Service Count").alias("dimension_name"),
+                       F.col("total_service_count").cast("string").alias("segment_value"),
+                       F.lit("total_service_count").alias("metric_name"),
+                       F.col("customers").cast("double").alias("metric_value"))
+    vseg = value.select(F.lit("Customer Value").alias("dimension_name"),
+                        F.col("customer_value_segment").alias("segment_value"),
+                        F.lit("customer_value_segment").alias("metric_name"),
+                        F.col("customers").cast("double").alias("metric_value"))
+    out = port
+    for part in (seg, share, ten, index, rshare, rate, svc, vseg):
+        out = out.unionByName(part)
     return out.withColumn("limitation", _limitation())
 
 
