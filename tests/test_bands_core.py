@@ -67,3 +67,38 @@ def test_snapshot_keeps_customer_missing_from_services_but_360_drops_it(spark):
                              core.customer_services(serv), snap)
     assert [r.customer_id for r in c360.collect()] == ["a"]
     assert len(c360.columns) == 61
+
+
+def test_duplicate_status_row_fans_out_through_the_360(spark):
+    from churnlens.plans import core, marts, quality
+    from churnlens.plans.layers import ChurnLayers
+    from churnlens.sources.schema import DEMOGRAPHICS, LOCATION, POPULATION, SERVICES, STATUS
+
+    def rows(schema, data):
+        return spark.createDataFrame(
+            [tuple(d.get(f.name) for f in schema.fields) for d in data], schema)
+
+    ids = ["a", "b", "c"]
+    raw = {
+        "churn_demographics": rows(DEMOGRAPHICS, [{"customer_id": i, "age": 40} for i in ids]),
+        "churn_location": rows(LOCATION, [{"customer_id": i, "zip_code": 1} for i in ids]),
+        "churn_population": rows(POPULATION, [{"id": 1, "zip_code": 1, "population": 9}]),
+        "churn_services": rows(SERVICES, [{"customer_id": i, "tenure_in_months": 3,
+                                           "contract": "M", "quarter": "Q3"} for i in ids]),
+        "churn_status": rows(STATUS, [{"customer_id": "a", "churn_value": 1, "cltv": 5,
+                                       "quarter": "Q3"},
+                                      {"customer_id": "a", "churn_value": 1, "cltv": 6,
+                                       "quarter": "Q3"},
+                                      {"customer_id": "b", "churn_value": 0, "cltv": 7,
+                                       "quarter": "Q3"},
+                                      {"customer_id": "c", "churn_value": 0, "cltv": 8,
+                                       "quarter": "Q3"}]),
+    }
+    d2 = {r.table_name: r.duplicate_rows
+          for r in quality.uniqueness({"churn_status": raw["churn_status"]}).collect()}
+    assert d2 == {"CHURN_STATUS": 1}
+    layers = ChurnLayers.from_raw(raw)
+    assert layers.c360.count() == 4                    # the duplicate fans out
+    assert not core.ids_unique(layers.c360)            # so marts keep COUNT(DISTINCT)
+    k = marts.executive_kpis(layers.c360).first()
+    assert (k.total_customers, k.churned_customers, k.churn_rate) == (3, 2, 0.6667)

@@ -13,6 +13,10 @@ QUESTIONS = [
      "customer churn rates?", "supported"),
     ("At which observed tenure month is churn highest for each contract type, and how many "
      "customers reached those tenure months?", "lifecycle_small_sample"),
+    ("For each product, compare the customer churn rate between customers who adopted the "
+     "product and customers who did not. Calculate the churn rate gap as adopted churn rate "
+     "minus non-adopted churn rate, and rank products from the most negative to the most "
+     "positive gap.", "supported"),
     ("What is our biggest churn problem?", "ambiguous_measure"),
     ("What revenue is at risk from churn?", "forward_revenue_risk"),
     ("Show me the cohort retention curve.", "cohort_retention"),
@@ -21,6 +25,15 @@ QUESTIONS = [
     ("Does Online Security reduce churn?", "causal"),
     ("How is CLTV calculated?", "cltv_methodology"),
     ("Which products are customers canceling the most?", "product_cancellation"),
+    # the documented ad hoc questions, all answerable
+    ("Among customers with different payment methods, which groups have the highest observed "
+     "churn rate and how do they compare in customer count, average monthly charge, and average "
+     "CLTV?", "supported"),
+    ("How does observed churn vary by payment method and contract type? Identify the "
+     "combinations with the highest churn rate and include the customer population supporting "
+     "each result.", "supported"),
+    ("Which customer segments combine above-average monthly charges with above-average observed "
+     "churn, and how large is each customer segment?", "supported"),
 ]
 
 
