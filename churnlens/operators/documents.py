@@ -35,7 +35,8 @@ def flatten(df: DataFrame, keys: list[str], vcol: str, path: str,
     """(keys..., keep..., pos, item, item_type) — one row per array element."""
     arr = get(vcol, path, "array<variant>")
     out = df.select(*keys, *(keep or []), F.posexplode_outer(arr).alias("pos", "item"))
-    return out.withColumn("item_type", get("item", "$.type", "string"))
+    return out.withColumns({"pos": F.col("pos").cast("bigint"),
+                            "item_type": get("item", "$.type", "string")})
 
 
 def item_value(item: str | Column = "item") -> Column:

@@ -137,6 +137,7 @@ def result_rows(docs: DataFrame) -> DataFrame:
                      .alias("first_column_name"),
                      F.posexplode(get("item", "$.table.result_set.data", "array<variant>"))
                      .alias("row_index", "row"))
-    return rows.select(*KEYS, "item_index", "first_column_name", "row_index",
+    return rows.select(*KEYS, "item_index", "first_column_name",
+                       F.col("row_index").cast("bigint").alias("row_index"),
                        get("row", "$[0]", "string").cast("bigint").alias("line_no"),
                        get("row", "$[1]", "string").cast("bigint").alias("chars"))
