@@ -79,19 +79,32 @@ def null_keys(tables: dict[str, DataFrame], key: str = "customer_id") -> DataFra
 
 def completeness(base: DataFrame, others: dict[str, DataFrame],
                  key: str = "customer_id") -> DataFrame:
-    """LEFT JOINs from ``base``; count base rows without a partner in each table.
-
-    Partners are reduced to their distinct keys first only if they are unique;
-    here they are joined as they are, so duplicate keys fan out exactly like
-    the reference's joins.
+    """Rows of ``base`` LEFT JOIN every table in ``others`` on ``key``, and how
+    many of those joined rows miss a partner in each table.
+
+    Computed without the joins: all key columns are unioned with a source tag
+    and counted per key (one partial-aggregated group-by). For a key with
+    ``n_base`` base rows and ``n_t`` rows in table t, the reference's chain of
+    LEFT JOINs yields ``n_base × Π max(n_t, 1)`` rows, and the rows missing t
+    are those of keys with ``n_t = 0``; a NULL key never matches. Exactly the
+    joins' counts, fan-out included, for one shuffle of the keys instead of a
+    shuffle of both sides of every join.
     """
-    j = base.select(F.col(key).alias("_k"))
-    aggs = [F.count(F.lit(1)).alias("demographics_customers")]
-    for name, df in others.items():
-        m = df.select(F.col(key).alias(f"_m_{name}"))
-        j = j.join(m, F.col("_k") == F.col(f"_m_{name}"), "left")
-        aggs.append(F.count_if(F.col(f"_m_{name}").isNull()).alias(f"missing_{name}"))
-    return j.agg(*aggs)
+    parts = [base.select(F.col(key).alias("_k"), F.lit("_base").alias("_src"))]
+    parts += [df.select(F.col(key).alias("_k"), F.lit(name).alias("_src"))
+              for name, df in others.items()]
+    g = _union(parts).groupBy("_k").agg(
+        F.count_if(F.col("_src") == "_base").alias("_n_base"),
+        *[F.count_if(F.col("_src") == name).alias(f"_n_{name}") for name in others])
+    matched = {name: F.when(F.col("_k").isNull(), F.lit(0)).otherwise(F.col(f"_n_{name}"))
+               for name in others}
+    fan = F.col("_n_base").cast("bigint")
+    for m in matched.values():
+        fan = fan * F.greatest(m, F.lit(1))
+    return g.agg(
+        F.coalesce(F.sum(fan), F.lit(0)).cast("bigint").alias("demographics_customers"),
+        *[F.coalesce(F.sum(F.when(m == 0, fan).otherwise(0)), F.lit(0)).cast("bigint")
+          .alias(f"missing_{name}") for name, m in matched.items()])
 
 
 def zip_reconciliation(location: DataFrame, population: DataFrame) -> DataFrame:

@@ -50,3 +50,18 @@ def test_domains_report_out_of_domain_values(spark):
            for r in quality.domains({"churn_status": st}).collect()}
     assert got["customer_status"] == (0, 1) and got["quarter"] == (0, 1)
     assert got["churn_label"] == (2, 0)
+
+
+def test_completeness_equals_the_joins_with_fan_out_and_null_keys(spark):
+    base = _df(spark, STATUS, [{"customer_id": c} for c in ["a", "a", "b", "c", None]])
+    loc = _df(spark, STATUS, [{"customer_id": c} for c in ["a", "a", "a", "c", None]])
+    srv = _df(spark, STATUS, [{"customer_id": c} for c in ["b", "b"]])
+    got = quality.completeness(base, {"location": loc, "services": srv}).first()
+    b, l_, s_ = (x.selectExpr("customer_id AS k") for x in (base, loc, srv))
+    j = (b.join(l_.withColumnRenamed("k", "lk"), F.col("k") == F.col("lk"), "left")
+         .join(s_.withColumnRenamed("k", "sk"), F.col("k") == F.col("sk"), "left"))
+    exp = j.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("lk").isNull()).alias("ml"),
+                F.count_if(F.col("sk").isNull()).alias("ms")).first()
+    assert (got.demographics_customers, got.missing_location, got.missing_services) == (
+        exp.n, exp.ml, exp.ms)
+    assert exp.n == 2 * 3 + 2 + 1 + 1   # 'a' fans out 2 × 3
