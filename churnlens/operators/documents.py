@@ -5,8 +5,8 @@
                      0-based index and type (``posexplode_outer`` over
                      ``array<variant>``; documents without the array keep a row)
 * ``get``            typed path extraction (string, boolean, number, array index)
-* ``last_per_type``  count and index of the last item of each type per
-                     document (a group-by on the document key)
+* ``last_per_type``  count, index and value of the last item of each type per
+                     document, computed inside the row (no group-by)
 * ``last_of_type``   the last item of a type inside the row (higher-order
                      ``filter`` + last element) — a projection, no shuffle
 
@@ -46,16 +46,29 @@ def item_value(item: str | Column = "item") -> Column:
                       get(item, "$.suggested_queries[0].query"))
 
 
-def last_per_type(items: DataFrame, keys: list[str]) -> DataFrame:
+def last_per_type(df: DataFrame, keys: list[str], vcol: str, path: str = "$.content") -> DataFrame:
     """Per document and item type: number of items, index and value of the last one.
 
-    Grouped per document, so the group size is bounded by one document's items.
+    Computed inside each row with higher-order functions — the distinct types
+    of the document's array, then per type the count, the last index and the
+    last item's value — and only that per-type summary is exploded. No
+    group-by, no shuffle: the work is bounded by one document.
     """
-    return items.filter(F.col("item_type").isNotNull()).groupBy(*keys, "item_type").agg(
-        F.count(F.lit(1)).alias("items"),
-        F.max("pos").alias("last_index"),
-        F.max_by(item_value(), F.col("pos")).alias("last_value"),
-    )
+    arr = items_array(vcol, path)
+    typed = F.transform(arr, lambda x, i: F.struct(i.cast("bigint").alias("i"),
+                                                   get(x, "$.type").alias("t"),
+                                                   item_value(x).alias("v")))
+    types = F.array_distinct(F.filter(F.transform(typed, lambda e: e["t"]),
+                                      lambda t: t.isNotNull()))
+
+    def summary(t):
+        of_type = F.filter(typed, lambda e: e["t"] == t)
+        last = F.try_element_at(of_type, F.lit(-1))
+        return F.struct(t.alias("item_type"), F.size(of_type).cast("bigint").alias("items"),
+                        last["i"].alias("last_index"), last["v"].alias("last_value"))
+
+    per = df.select(*keys, F.explode(F.transform(types, summary)).alias("_p"))
+    return per.select(*keys, "_p.*")
 
 
 def items_array(v: str | Column, path: str = "$.content") -> Column:

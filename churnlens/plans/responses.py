@@ -3,8 +3,8 @@
 The reference parses one live reply and CROSS JOINs six one-row CTEs, so a
 reply without, say, a chart loses its whole row. ``wide`` keeps every response
 (row-wise "last item of a type" over the content array); ``require_all=True``
-restores the reference's behaviour. Only J2/J4/J8, whose output is per item,
-explode the array; the rest are projections of the document row.
+restores the reference's behaviour. Only J2/J4/J8, whose output is per item
+or per item type, explode an array; none groups or shuffles.
 """
 
 from __future__ import annotations
@@ -58,8 +58,8 @@ def paths(docs: DataFrame) -> DataFrame:
 
 
 def last_items(docs: DataFrame) -> DataFrame:
-    """Per response and item type, the count and index of the last item."""
-    return last_per_type(flatten(parsed(docs), KEYS, "v", "$.content"), KEYS)
+    """Per response and item type, the count, index and value of the last item."""
+    return last_per_type(parsed(docs), KEYS, "v")
 
 
 def sql_details(docs: DataFrame) -> DataFrame:
