@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from churnlens.functions.exact import avg2, avg_money, index2, money, ratio4
 from churnlens.operators.reshape import unpivot_dimensions
-from churnlens.plans.core import customer_count
+from churnlens.plans.core import customer_count, ids_unique
 
 # Fixed dimension and product names of the reference's marts.
 SEGMENT_DIMENSIONS = ["Contract", "Payment Method", "Tenure Band", "Age Band", "Offer",
@@ -172,19 +172,25 @@ def product_depth(c360: DataFrame) -> DataFrame:
     """M4: by total service count; churn index from unrounded rates.
 
     The overall rate's denominator is the DISTINCT customer count of the whole
-    360 (not the sum of per-group distinct counts), so it comes from a one-row
-    aggregate broadcast to the groups — one row, size-proven.
+    360. With ids verified unique every customer is in exactly one group, so
+    the overall counts are sums over the grouped rows (a window over a dozen
+    rows, no second scan). Otherwise a one-row aggregate of the 360 is
+    broadcast (one row, size-proven).
     """
     b = with_cents(c360)
-    overall = b.agg(F.count_if(_churned()).alias("_all_churned"),
-                    customer_count(b).alias("_all_customers"))
     g = b.groupBy("total_service_count").agg(
         customer_count(b).alias("customers"),
         F.count_if(_churned()).alias("churned_customers"),
         *_avg_parts("tenure_in_months", "ten"), *_avg_parts("mc_cents", "mc"),
         *_avg_parts("rev_cents", "rev"), *_avg_parts("cltv", "cltv"),
     ).withColumn("_sum_customers", F.sum("customers").over(_all()))
-    g = g.crossJoin(F.broadcast(overall))
+    if ids_unique(b):
+        g = g.withColumns({"_all_churned": F.sum("churned_customers").over(_all()),
+                           "_all_customers": F.col("_sum_customers")})
+    else:
+        overall = b.agg(F.count_if(_churned()).alias("_all_churned"),
+                        customer_count(b).alias("_all_customers"))
+        g = g.crossJoin(F.broadcast(overall))
     return g.select(
         "total_service_count", "customers",
         ratio4("customers", "_sum_customers").alias("customer_share"),
