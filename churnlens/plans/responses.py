@@ -27,12 +27,12 @@ def parsed(docs: DataFrame) -> DataFrame:
 def safe_parse_report(events: DataFrame, conversations: DataFrame) -> DataFrame:
     """Validity of JSON columns in the given tables and a typed value from them."""
     ev = events.select(F.lit("events").alias("source"), F.col("event_id").alias("record_id"),
-                       safe_parse("props").alias("v"))
+                       F.lit(None).cast("bigint").alias("sub_id"), safe_parse("props").alias("v"))
     cv = conversations.select(F.lit("conversations").alias("source"),
-                              (F.col("conv_id") * 100000 + F.col("turn")).alias("record_id"),
+                              F.col("conv_id").alias("record_id"), F.col("turn").alias("sub_id"),
                               safe_parse("text").alias("v"))
     both = ev.unionByName(cv)
-    return both.select("source", "record_id", F.col("v").isNotNull().alias("is_valid"),
+    return both.select("source", "record_id", "sub_id", F.col("v").isNotNull().alias("is_valid"),
                        get("v", "$.k", "bigint").alias("k"))
 
 

@@ -71,6 +71,7 @@ def test_safe_parse_never_fails(spark):
                                  "conv_id long, turn long, role string, text string")
     got = {(r.source, r.record_id): (r.is_valid, r.k)
            for r in responses.safe_parse_report(ev, conv).collect()}
+    assert {r.sub_id for r in responses.safe_parse_report(ev, conv).collect()} == {None, 0}
     assert got[("events", 1)] == (True, 5)
     assert got[("events", 2)] == (False, None)
     assert got[("events", 3)] == (True, None)
