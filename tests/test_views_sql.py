@@ -31,3 +31,16 @@ def test_raw_csv_round_trip(spark):
     assert rep["CHURN_STATUS"] == (n, 0) and rep["CHURN_SERVICES"] == (n, 0)
     assert set(rep) == {"CHURN_DEMOGRAPHICS", "CHURN_LOCATION", "CHURN_POPULATION",
                         "CHURN_SERVICES", "CHURN_STATUS"}
+
+
+def test_write_marts_replaces_tables(spark):
+    import tempfile
+
+    from churnlens.plans.views import write_marts
+    layers = layers_for(spark, SF)
+    folder = tempfile.mkdtemp(prefix="churnlens-marts-")
+    names = write_marts(layers, folder)
+    assert "vw_churn_segments" in names and "customer_360_view" in names
+    write_marts(layers, folder)                       # replace, not append
+    seg = spark.read.parquet(f"{folder}/vw_churn_segments")
+    assert seg.count() == REGISTRY["churn_segments"](spark, SF).count()
