@@ -389,15 +389,20 @@ TOP_K = 3
 PROFILE_BUCKETS = 64
 
 
-def field_profile(df: DataFrame, fields: list[str], buckets: int = PROFILE_BUCKETS) -> DataFrame:
+def field_profile(df: DataFrame, fields: list[str], buckets: int | None = None) -> DataFrame:
     """Per field: rows, NULLs, distinct values, min, max and the 3 most frequent values.
 
     One unpivot and one group-by (field, value). The top-3 is exact and
     distributed: first the top 3 inside (field, hash(value) mod B) — each
     bucket a separate window partition — then the top 3 of those ≤ 3·B
     candidates per field. A field with a billion distinct values is therefore
-    never sorted in one task. Ties are broken by the value, ascending.
+    never sorted in one task. B defaults to the session's shuffle partition
+    count (at least 64), so it grows with the cluster. Ties are broken by the
+    value, ascending.
     """
+    if buckets is None:
+        buckets = max(PROFILE_BUCKETS,
+                      int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "64")))
     long = df.select(*[F.col(f.lower()).cast("string").alias(f) for f in fields]).unpivot(
         [], fields, "field_name", "value")
     g = long.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n"))
