@@ -81,7 +81,10 @@ def _last_sql(arr):
 def usage(docs: DataFrame) -> DataFrame:
     """Token usage; missing model → 'N/A', missing counts → 0 (as the app shows them)."""
     p = parsed(docs)
-    n = lambda path: F.coalesce(get("v", f"{USAGE}.{path}", "bigint"), F.lit(0).cast("bigint"))
+
+    def n(path):
+        return F.coalesce(get("v", f"{USAGE}.{path}", "bigint"), F.lit(0).cast("bigint"))
+
     return p.select(
         *KEYS,
         F.coalesce(get("v", f"{USAGE}.model_name", "string"), F.lit("N/A")).alias("model_name"),

@@ -161,7 +161,8 @@ def customer_wide(star: dict[str, DataFrame], partitions: int | None = None) ->
         return (c.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(18,2)")
 
     monthly_cents = F.expr("(rev_cents * 2 + _denom) DIV (_denom * 2)")
-    joined_recent = (_months(F.col("as_of")) - _months(F.col("first_order"))) <= JOINED_WITHIN_MONTHS
+    joined_recent = ((_months(F.col("as_of")) - _months(F.col("first_order")))
+                     <= JOINED_WITHIN_MONTHS)
     status = (F.when(F.col("_churn_value") == 1, "Churned")
               .when(F.col("first_order").isNull(), F.lit(None).cast("string"))
               .when(joined_recent, "Joined").otherwise("Stayed"))
