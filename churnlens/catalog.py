@@ -61,6 +61,14 @@ def q_customer_360(spark, sf):
     return _c360(spark, sf)
 
 
+@register("customer_360_joined")
+def q_customer_360_joined(spark, sf):
+    """C15 in the reference's form: profile ⋈ location ⋈ services ⋈ snapshot (inner joins),
+    snapshot = status ⟕ services; must equal ``customer_360``."""
+    from churnlens.plans.layers import joined_layers_for
+    return joined_layers_for(spark, sf).c360
+
+
 @register("cltv_quartile")
 def q_cltv_quartile(spark, sf):
     """Quartile sizes and CLTV bounds: checks the distributed NTILE against SQL NTILE."""

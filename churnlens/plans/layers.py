@@ -119,5 +119,16 @@ def layers_for(spark: SparkSession, sf_dir: str) -> ChurnLayers:
     return _CACHE[key]
 
 
+_JOINED: dict[tuple[str, str], ChurnLayers] = {}
+
+
+def joined_layers_for(spark: SparkSession, sf_dir: str) -> ChurnLayers:
+    """The reference's joined form (``from_raw``) over the same raw tables, built once."""
+    key = (application_id(spark), sf_dir.rstrip("/"))
+    if key not in _JOINED:
+        _JOINED[key] = ChurnLayers.from_raw(layers_for(spark, sf_dir).raw)
+    return _JOINED[key]
+
+
 def c360_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers_for(spark, sf_dir).c360
