@@ -23,3 +23,26 @@ def test_single_projection_equals_joined_path(spark):
     plain = joined.c360.withMetadata("customer_id", {})
     assert not core.ids_unique(plain)
     assert _same(marts.product_adoption(plain), marts.product_adoption(star.c360))
+
+
+def test_star_with_duplicate_customer_falls_back_to_the_joins(spark):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    src = tempfile.mkdtemp(prefix="churnlens-dupstar-")
+    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+              "events", "conversations"]:
+        df = spark.read.parquet(f"{SF}/{t}.parquet")
+        if t == "customer":                       # one customer appears twice
+            df = df.unionByName(df.orderBy("c_custkey").limit(1))
+        df.write.mode("overwrite").parquet(f"{src}/{t}.parquet")
+    n = spark.read.parquet(f"{SF}/customer.parquet").count()
+    layers = ChurnLayers.from_star(spark, src)
+    assert not core.ids_unique(layers.c360)
+    # the duplicated id: 2 profile × 2 location × 2 services × (2 status × 2 services) rows
+    assert layers.c360.count() == (n - 1) + 2 * 2 * 2 * 4
+    k = marts.executive_kpis(layers.c360).first()
+    assert k.total_customers == n                 # COUNT(DISTINCT) survives the fan-out
+    dup = layers.c360.groupBy("customer_id").count().filter(F.col("count") > 1).count()
+    assert dup == 1
