@@ -23,13 +23,13 @@ msg AS (
   FROM said JOIN who USING (conv_id)),
 put AS (
   SELECT *, row_number() OVER w AS k,
-         sum(length(head) + length(body)) OVER w - length(body) AS at
+         sum(length(head) + length(body)) OVER w - length(body) AS begin_at
   FROM msg
   WINDOW w AS (PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, role, text))
 SELECT conv_id, perspective, part, count(*) AS n_messages,
        CAST(coalesce(sum(length(body)) FILTER (own), 0) AS BIGINT) AS n_trained,
        string_agg(head || body, '' ORDER BY k) AS rendered,
-       coalesce(string_agg(CAST(CAST(at AS BIGINT) AS VARCHAR) || '+' || length(body), ','
+       coalesce(string_agg(CAST(CAST(begin_at AS BIGINT) AS VARCHAR) || '+' || length(body), ','
                            ORDER BY k) FILTER (own), '') AS spans
 FROM put GROUP BY conv_id, perspective, part
 """
@@ -76,7 +76,7 @@ WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
          list_filter(string_split(coalesce(text, ''), chr(10)),
-                     x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 g AS (
   SELECT doc_id, i, list_slice(words, i, i + 4) AS gram
@@ -92,7 +92,7 @@ s AS (
          len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
          len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
          coalesce(covered.n, 0) AS n_repeat_words,
-         len(list_filter(words, x -> x IN ({_STOP}))) AS n_stop,
+         len(list_filter(words, lambda x: x IN ({_STOP}))) AS n_stop,
          len(regexp_extract_all(t, '\p{{Lu}}')) AS n_upper
   FROM w LEFT JOIN covered USING (doc_id)),
 v AS (
@@ -108,7 +108,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
          CASE WHEN f1 THEN 'length' END, CASE WHEN f2 THEN 'repeated_windows' END,
          CASE WHEN f3 THEN 'mean_word_length' END, CASE WHEN f4 THEN 'symbols_per_word' END,
          CASE WHEN f5 THEN 'duplicate_lines' END, CASE WHEN f6 THEN 'stop_words' END,
-         CASE WHEN f7 THEN 'upper_case' END], x -> x IS NOT NULL), ',') AS failed_rules
+         CASE WHEN f7 THEN 'upper_case' END], lambda x: x IS NOT NULL), ',') AS failed_rules
 FROM v
 """
 
@@ -120,9 +120,9 @@ part AS (SELECT id, least(id, min(seen)) AS component FROM reach GROUP BY id)
 
 EMBEDDINGS = f"""
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings),
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
 u AS (
-  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, x -> x * x))) AS norm FROM v
+  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
   WHERE label IS NOT NULL AND e IS NOT NULL),
 links AS (
   SELECT p.vec_id AS a, q.vec_id AS b FROM u p JOIN u q

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.llm.common import fresh, save, settled
-from churnlens.llm.text_stats import COUNTS, text_stats
+from churnlens.llm.text_stats import text_stats
 
 MAX_TRAIN = 200_000
 TREES, DEPTH, SEED = 12, 3, 11
@@ -39,31 +39,35 @@ CUT = 0.3
 FOLDS, HELD_OUT = 5, 0
 
 
-def features() -> dict[str, Column]:
-    def ratio(a: str, b: str) -> Column:
-        return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
-    return {
-        "log_words": F.log1p(F.col("n_words").cast("double")),
-        "word_length": ratio("word_chars", "n_words"),
-        "symbols": ratio("n_symbols", "n_words"),
-        "duplicate_lines": ratio("n_dup_lines", "n_lines"),
-        "repeats": ratio("n_repeat_words", "n_words"),
-        "stop_words": ratio("n_stop", "n_words"),
-        "upper_case": ratio("n_upper", "word_chars"),
-        "line_words": ratio("n_words", "n_lines"),
-    }
+def _ratio(a: str, b: str) -> str:
+    return f"CASE WHEN {b} > 0 THEN {a} / {b} ELSE 0D END"
+
+
+#: Feature → SQL over the statistics.
+FEATURES = {
+    "log_words": "log1p(CAST(n_words AS DOUBLE))",
+    "word_length": _ratio("word_chars", "n_words"),
+    "symbols": _ratio("n_symbols", "n_words"),
+    "duplicate_lines": _ratio("n_dup_lines", "n_lines"),
+    "repeats": _ratio("n_repeat_words", "n_words"),
+    "stop_words": _ratio("n_stop", "n_words"),
+    "upper_case": _ratio("n_upper", "word_chars"),
+    "line_words": _ratio("n_words", "n_lines"),
+}
+
+
+def ratios(stats: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and the features."""
+    return stats.select(*keep, *[F.expr(sql).alias(name) for name, sql in FEATURES.items()])
 
 
 #: A rule: sorted (feature, above or not, bound); it holds if all its bounds do.
 Rule = tuple[tuple[str, bool, float], ...]
 
 
-def rule_column(rule: Rule) -> Column:
-    ok = F.lit(True)
-    for name, above, bound in rule:
-        value = features()[name]
-        ok = ok & (value > F.lit(bound) if above else value <= F.lit(bound))
-    return ok
+def rule_sql(rule: Rule) -> str:
+    return " AND ".join(f"{name} {'>' if above else '<='} {bound!r}D"
+                        for name, above, bound in rule)
 
 
 @dataclass(frozen=True)
@@ -72,11 +76,10 @@ class RuleModel:
     weights: tuple[tuple[Rule, float], ...]
 
     def score(self) -> Column:
-        """Score as a column over the statistics."""
-        total = F.lit(self.intercept)
-        for rule, weight in self.weights:
-            total = total + F.when(rule_column(rule), F.lit(weight)).otherwise(F.lit(0.0))
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+        """Score as a column over the features."""
+        terms = [f"{self.intercept!r}D"] + [
+            f"CASE WHEN {rule_sql(r)} THEN {w!r}D ELSE 0D END" for r, w in self.weights]
+        return F.expr(f"1D / (1D + exp(-({' + '.join(terms)})))")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -121,22 +124,23 @@ def fit(stats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Rule
     if total > max_train:
         share = F.lit(int(max_train / total * 1_000_000))
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
-    cols = features()
-    rows = save(stats.join(known, "doc_id").select(
-        "label", "doc_id", *COUNTS,
-        array_to_vector(F.array(*cols.values())).alias("ratios")), "train")
+    names = list(FEATURES)
+    rows = save(ratios(stats.join(known, "doc_id"), "label", "doc_id"), "train")
     shares = {r["label"]: r["n"] for r in rows.groupBy("label").agg(
         F.count("*").alias("n")).collect()}
     if len(shares) < 2:
         share = (shares.get(1.0, 0) + 1e-9) / (sum(shares.values()) + 2e-9)
         share = min(max(share, 1e-6), 1 - 1e-6)
         return RuleModel(math.log(share / (1 - share)), ())
-    few = rows.orderBy("doc_id")            # a fixed order: the sample of a tree depends on it
+    # a fixed order: the sample of a tree depends on it
+    few = save(rows.orderBy("doc_id").withColumn("ratios", array_to_vector(F.array(*names))),
+               "ordered")
     forest = RandomForestClassifier(
         featuresCol="ratios", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
         subsamplingRate=0.8, featureSubsetStrategy="sqrt", maxBins=64).fit(few)
-    rules = forest_rules(forest, list(cols))
-    hold = array_to_vector(F.array(*[rule_column(r).cast("double") for r in rules]))
+    rules = forest_rules(forest, names)
+    hold = array_to_vector(F.expr(
+        "array(" + ", ".join(f"CAST({rule_sql(r)} AS DOUBLE)" for r in rules) + ")"))
     fired = save(few.select("label", hold.alias("fired")), "fired")
     lasso = LogisticRegression(featuresCol="fired", labelCol="label", regParam=LASSO,
                                elasticNetParam=1.0, maxIter=60, standardization=False).fit(fired)
@@ -152,8 +156,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def scored(stats: DataFrame, model: RuleModel, keep: tuple[str, ...]) -> DataFrame:
     """``stats`` must hold doc_id beside ``keep``."""
-    out = stats.select(*keep, held_out(F.col("doc_id")).alias("held_out"),
-                       model.score().alias("score"))
+    out = ratios(stats, *dict.fromkeys((*keep, "doc_id"))).select(
+        *keep, held_out(F.col("doc_id")).alias("held_out"), model.score().alias("score"))
     return out.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
