@@ -143,13 +143,13 @@ def _raw(spark, sf):
 def q_raw_load_counts(spark, sf):
     """Raw tables written as header CSV (source-style headers), read back
     typed with header normalisation; rows and type failures per table."""
-    import hashlib
     import os
+    import uuid
 
-    from churnlens.session import application_id, ensure_checkpoint_dir
+    from churnlens.session import ensure_checkpoint_dir
     from churnlens.sources.readers import load_report, read_raw, write_raw
-    tag = hashlib.sha1(f"{application_id(spark)}:{sf}".encode()).hexdigest()[:12]
-    folder = os.path.join(ensure_checkpoint_dir(spark), "raw-csv", tag)
+    # a folder per call: an earlier call's DataFrame keeps its files
+    folder = os.path.join(ensure_checkpoint_dir(spark), "raw-csv", uuid.uuid4().hex[:12])
     write_raw(_raw(spark, sf), folder, "csv")
     return load_report(read_raw(spark, folder, "csv", keep_failures=True))
 

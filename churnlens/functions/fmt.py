@@ -69,7 +69,8 @@ CLTV = ["CLTV", "Average CLTV", "Minimum CLTV", "Maximum CLTV"]
 
 
 def _num(c: str) -> Column:
-    return F.expr(f"try_cast(`{c}` AS DOUBLE)")
+    n = F.expr(f"try_cast(`{c}` AS DOUBLE)")
+    return F.when(F.abs(n) < 1e14, n)        # NaN and infinite values print as ''
 
 
 def percent_text(c: str) -> Column:

@@ -59,22 +59,22 @@ C360_COLS = [
 ]
 
 
-UNIQUE_META = "churnlens.unique"
+_UNIQUE = "_churnlens_unique_ids"
 
 
 def mark_unique_ids(df: DataFrame, col: str = "customer_id") -> DataFrame:
-    """Record in the schema that ``col`` was verified unique and non-NULL.
+    """Note on this very DataFrame object that ``col`` was verified unique and non-NULL.
 
-    Set only after a check (``plans.layers`` does it once per build). The flag
-    survives projections and filters; an operation that can duplicate rows must
-    not be applied to a flagged DataFrame before a mart, or the flag must be
-    cleared with ``df.withMetadata(col, {})``.
+    Set only after a check (``plans.layers`` does it once per build). Every operation
+    (union, join, explode, filter, ...) returns a new object without the note, so
+    whatever is derived counts distinct ids again unless it is checked anew.
     """
-    return df.withMetadata(col, {UNIQUE_META: True})
+    setattr(df, _UNIQUE, col)
+    return df
 
 
 def ids_unique(df: DataFrame, col: str = "customer_id") -> bool:
-    return bool(df.schema[col].metadata.get(UNIQUE_META, False))
+    return df.__dict__.get(_UNIQUE) == col
 
 
 def customer_count(df: DataFrame, col: str = "customer_id"):

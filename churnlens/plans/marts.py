@@ -64,7 +64,7 @@ def executive_kpis(c360: DataFrame) -> DataFrame:
     """M1: one row per snapshot quarter, 17 KPIs."""
     b = with_cents(c360)
     g = b.groupBy("snapshot_quarter").agg(
-        customer_count(b).alias("total_customers"),
+        customer_count(c360).alias("total_customers"),
         F.count_if(F.col("customer_status") == "Stayed").alias("stayed_customers"),
         F.count_if(F.col("customer_status") == "Joined").alias("joined_customers"),
         F.count_if(_churned()).alias("churned_customers"),
@@ -119,7 +119,7 @@ def churn_segments(c360: DataFrame, only: list[str] | None = None) -> DataFrame:
                               ["customer_id", "churn_flag", "mc_cents", "rev_cents", "cltv"],
                               only=only)
     g = long.groupBy("dimension_name", "segment_value").agg(
-        customer_count(b).alias("total_customers"),
+        customer_count(c360).alias("total_customers"),
         F.count_if(_churned()).alias("churned_customers"),
         *_avg_parts("mc_cents", "mc"), *_avg_parts("cltv", "cltv"),
         F.sum(F.when(_churned(), F.col("mc_cents")).otherwise(0)).alias("_ch_mc"),
@@ -150,7 +150,7 @@ def product_adoption(c360: DataFrame, only: list[str] | None = None) -> DataFram
                                         "cltv", "tenure_in_months"],
                               only=only, name_col="product_name", value_col="adoption_status")
     g = long.groupBy("product_name", "adoption_status").agg(
-        customer_count(b).alias("customers"),
+        customer_count(c360).alias("customers"),
         F.count_if(_churned()).alias("churned_customers"),
         *_avg_parts("mc_cents", "mc"), *_avg_parts("rev_cents", "rev"),
         *_avg_parts("cltv", "cltv"), *_avg_parts("tenure_in_months", "ten"),
@@ -179,17 +179,17 @@ def product_depth(c360: DataFrame) -> DataFrame:
     """
     b = with_cents(c360)
     g = b.groupBy("total_service_count").agg(
-        customer_count(b).alias("customers"),
+        customer_count(c360).alias("customers"),
         F.count_if(_churned()).alias("churned_customers"),
         *_avg_parts("tenure_in_months", "ten"), *_avg_parts("mc_cents", "mc"),
         *_avg_parts("rev_cents", "rev"), *_avg_parts("cltv", "cltv"),
     ).withColumn("_sum_customers", F.sum("customers").over(_all()))
-    if ids_unique(b):
+    if ids_unique(c360):
         g = g.withColumns({"_all_churned": F.sum("churned_customers").over(_all()),
                            "_all_customers": F.col("_sum_customers")})
     else:
         overall = b.agg(F.count_if(_churned()).alias("_all_churned"),
-                        customer_count(b).alias("_all_customers"))
+                        customer_count(c360).alias("_all_customers"))
         g = g.crossJoin(F.broadcast(overall))
     return g.select(
         "total_service_count", "customers",
@@ -209,7 +209,7 @@ def customer_value(c360: DataFrame) -> DataFrame:
     """M5: by value segment and quartile; contribution and revenue shares."""
     b = with_cents(c360)
     g = b.groupBy("customer_value_segment", "cltv_quartile").agg(
-        customer_count(b).alias("customers"),
+        customer_count(c360).alias("customers"),
         F.count_if(_churned()).alias("churned_customers"),
         *_avg_parts("cltv", "cltv"),
         F.min("cltv").alias("min_cltv"), F.max("cltv").alias("max_cltv"),
@@ -240,7 +240,7 @@ def churn_reasons(c360: DataFrame) -> DataFrame:
     """M6: churned rows only; share = distinct customers / churned ROWS (trap 1)."""
     b = with_cents(c360).filter(_churned())
     g = b.groupBy("churn_category", "churn_reason").agg(
-        customer_count(b).alias("churned_customers"),
+        customer_count(c360).alias("churned_customers"),
         F.count(F.lit(1)).alias("_rows"),
         *_avg_parts("tenure_in_months", "ten"), *_avg_parts("mc_cents", "mc"),
         *_avg_parts("rev_cents", "rev"), *_avg_parts("cltv", "cltv"),

@@ -96,6 +96,14 @@ def usage(docs: DataFrame) -> DataFrame:
     )
 
 
+ROW_TYPE = "$.table.result_set.resultSetMetaData.rowType"
+
+
+def _columns(row_type, name: str):
+    """Column names of a result set as a JSON array."""
+    return F.to_json(F.transform(row_type, lambda x: get(x, "$.name", "string"))).alias(name)
+
+
 def wide(docs: DataFrame, require_all: bool = False) -> DataFrame:
     """One row per response with the last artifact of each kind and the usage.
 
@@ -112,18 +120,25 @@ def wide(docs: DataFrame, require_all: bool = False) -> DataFrame:
         *KEYS,
         get(last_of_type(arr, "text"), "$.text", "string").alias("final_answer"),
         get(last_of_type(arr, "table"), "$.table.title", "string").alias("table_title"),
+        _columns(get(last_of_type(arr, "table"), ROW_TYPE, "array<variant>"), "table_columns"),
+        F.to_json(get(last_of_type(arr, "table"), "$.table.result_set.data", "variant"))
+        .alias("table_content"),
         get(last_of_type(arr, "chart"), "$.chart.chart_spec", "string").alias("chart_spec"),
-        get(last_of_type(arr, "suggested_queries"), "$.suggested_queries[0].query", "string")
-        .alias("suggested_query"),
+        F.to_json(F.transform(
+            get(last_of_type(arr, "suggested_queries"), "$.suggested_queries", "array<variant>"),
+            lambda x: get(x, "$.query", "string"))).alias("suggested_queries"),
         get("_sql", f"{sqlj}.sql", "string").alias("generated_sql"),
         get("_sql", f"{sqlj}.verified_query_used", "boolean").alias("verified_query_used"),
         get("_sql", f"{sqlj}.query_id", "string").alias("query_id"),
         get("v", f"{USAGE}.model_name", "string").alias("model_name"),
         get("v", f"{USAGE}.input_tokens.total", "bigint").alias("input_tokens"),
+        get("v", f"{USAGE}.input_tokens.cache_read", "bigint").alias("cache_read_tokens"),
+        get("v", f"{USAGE}.input_tokens.cache_write", "bigint").alias("cache_write_tokens"),
+        get("v", f"{USAGE}.input_tokens.uncached", "bigint").alias("uncached_input_tokens"),
         get("v", f"{USAGE}.output_tokens.total", "bigint").alias("output_tokens"),
     )
     if require_all:
-        needed = ["final_answer", "table_title", "chart_spec", "suggested_query",
+        needed = ["final_answer", "table_title", "chart_spec", "suggested_queries",
                   "generated_sql", "model_name"]
         cond = None
         for c in needed:
@@ -133,14 +148,19 @@ def wide(docs: DataFrame, require_all: bool = False) -> DataFrame:
 
 
 def result_rows(docs: DataFrame) -> DataFrame:
-    """Rows of every table item's result set, in item and row order, typed."""
+    """Every cell of every table item's result set, whatever its shape, as text with
+    the column's name from the metadata (NULL where it names none)."""
     it = flatten(parsed(docs), KEYS, "v", "$.content").filter(F.col("item_type") == "table")
-    rows = it.select(*KEYS, F.col("pos").alias("item_index"),
-                     get("item", "$.table.result_set.resultSetMetaData.rowType[0].name", "string")
-                     .alias("first_column_name"),
+    names = F.transform(get("item", ROW_TYPE, "array<variant>"),
+                        lambda x: get(x, "$.name", "string"))
+    rows = it.select(*KEYS, F.col("pos").alias("item_index"), names.alias("names"),
                      F.posexplode(get("item", "$.table.result_set.data", "array<variant>"))
                      .alias("row_index", "row"))
-    return rows.select(*KEYS, "item_index", "first_column_name",
-                       F.col("row_index").cast("bigint").alias("row_index"),
-                       get("row", "$[0]", "string").cast("bigint").alias("line_no"),
-                       get("row", "$[1]", "string").cast("bigint").alias("chars"))
+    cells = rows.select(*KEYS, "item_index", "names", F.col("row_index").cast("bigint")
+                        .alias("row_index"),
+                        F.posexplode(get("row", "$", "array<variant>"))
+                        .alias("column_index", "cell"))
+    return cells.select(*KEYS, "item_index", "row_index",
+                        F.col("column_index").cast("bigint").alias("column_index"),
+                        F.get("names", "column_index").alias("column_name"),
+                        get("cell", "$", "string").alias("value"))

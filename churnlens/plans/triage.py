@@ -26,7 +26,7 @@ RULES = [
         "biggest churn problem", "worst churn problem", "main churn issue",
         "largest churn issue"]),
     ("forward_revenue_risk", False, [
-        "revenue at risk", "at risk", "future revenue loss", "expected revenue loss",
+        "revenue at risk", "revenue is at risk", "future revenue loss", "expected revenue loss",
         "forecasted churn revenue", "future churn impact", "revenue we may lose"]),
     ("cohort_retention", False, [
         "historical cohort retention", "cohort retention curves", "cohort retention",
@@ -45,9 +45,9 @@ RULES = [
     ("product_cancellation", False, [
         "product cancellation", "product-level discontinuation", "canceling", "cancelling"]),
     ("causal", True, [
-        "causes", "reduces", "reduce", "increases", "increase", "prevents", "prevent"]),
+        "causes", "drives", "reduces", "reduce", "increases", "increase", "prevents", "prevent"]),
     ("meta_question", False, [
-        "request id", "internal logs", "system behavior", "classified"]),
+        "request id", "internal logs", "system behavior"]),
     ("reported_reasons", True, [
         "why customers churned", "why did customers churn", "churn reasons", "churn reason"]),
     ("lifecycle_small_sample", True, [

@@ -42,7 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
     is. Only when nothing is configured (tests, local runs) a fresh folder under
-    the system temp directory is created for this session. Works without a
+    the system temp directory is created for this session; on any other master an
+    unset folder is an error, as executors would write to their own disks. Works without a
     ``SparkContext`` handle (Spark Connect) because the library only writes
     tables there; with a classic session the context's checkpoint folder is set
     too, for callers that use ``DataFrame.checkpoint``.
@@ -55,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if _LOCAL_DIR is None:
             _LOCAL_DIR = tempfile.mkdtemp(prefix="churnlens-ckpt-")
         configured = _LOCAL_DIR

@@ -28,6 +28,9 @@ def normalize_header(name: str) -> str:
     return s.lower()
 
 
+_CORRUPT = "_corrupt_record"
+
+
 def _path(directory: str, table: str, fmt: str) -> str:
     return os.path.join(directory, f"{table}.{fmt}")
 
@@ -36,16 +39,27 @@ def read_raw_table(spark: SparkSession, path: str, table: str, fmt: str = "csv",
                    keep_failures: bool = False) -> DataFrame:
     schema = RAW_SCHEMAS[table]
     if fmt == "csv":
-        text = (spark.read.option("header", True).option("inferSchema", False)
-                .option("mode", "PERMISSIVE").csv(path))
+        header = spark.read.option("header", True).csv(path).columns
+        fields = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*header, _CORRUPT])
+        # rows with too many or too few fields keep their text in the extra column
+        text = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", _CORRUPT).schema(fields).csv(path))
     else:
         text = spark.read.format(fmt).load(path)
-    text = text.toDF(*[normalize_header(c) for c in text.columns])
+    text = text.toDF(*[c if c == _CORRUPT else normalize_header(c) for c in text.columns])
     cols, failures = [], []
+    if _CORRUPT in text.columns:
+        # names a data column too: the reader refuses to read the corrupt text alone
+        first = F.coalesce(F.length(text.columns[0]), F.lit(0)) >= 0
+        failures.append(F.when(F.col(_CORRUPT).isNotNull() & first, 1).otherwise(0))
     for field in schema.fields:
         if field.name in text.columns:
             raw = F.col(field.name)
-            typed = F.expr(f"try_cast(`{field.name}` AS {field.dataType.simpleString()})")
+            kind = field.dataType.simpleString()
+            typed = F.expr(f"try_cast(`{field.name}` AS {kind})")
+            if kind in ("int", "bigint"):       # 5.0: an integer column with gaps, as written
+                whole = F.regexp_extract(F.trim(raw), r"^([+-]?[0-9]+)[.]0+$", 1)
+                typed = F.coalesce(typed, whole.try_cast(kind))
             failures.append(F.when(raw.isNotNull() & typed.isNull(), 1).otherwise(0))
         else:
             typed = F.lit(None).cast(field.dataType)

@@ -9,11 +9,11 @@ COMPLETE = {
         {"type": "tool_result", "tool_result": {"name": "system_execute_sql", "content": [
             {"json": {"sql": "SELECT 1", "verified_query_used": True, "query_id": "q1"}}]}},
         {"type": "table", "table": {"title": "T", "result_set": {
-            "data": [["1", "5"], ["2", "7"]],
-            "resultSetMetaData": {"rowType": [{"name": "LINE"}, {"name": "CHARS"}]}}}},
+            "data": [["1", "0.4584", "Month-to-Month"], ["2", None, "Two Year"]],
+            "resultSetMetaData": {"rowType": [{"name": "N"}, {"name": "RATE"}]}}}},
         {"type": "chart", "chart": {"chart_spec": "{}"}},
         {"type": "text", "text": "last"},
-        {"type": "suggested_queries", "suggested_queries": [{"query": "next?"}]},
+        {"type": "suggested_queries", "suggested_queries": [{"query": "next?"}, {"query": "and \"then\"?"}]},
     ],
     "metadata": {"usage": {"tokens_consumed": [{"model_name": "m", "input_tokens": {
         "total": 10, "cache_read": 1, "cache_write": 2, "uncached": 7},
@@ -36,6 +36,12 @@ def test_wide_keeps_rows_without_artifacts(spark):
     assert set(got) == {1, 2, 3, 4, 5}
     assert got[1].final_answer == "last" and got[1].generated_sql == "SELECT 1"
     assert got[1].verified_query_used is True and got[1].input_tokens == 10
+    assert json.loads(got[1].table_columns) == ["N", "RATE"]
+    assert json.loads(got[1].table_content) == [["1", "0.4584", "Month-to-Month"],
+                                                ["2", None, "Two Year"]]
+    assert json.loads(got[1].suggested_queries) == ["next?", 'and "then"?']
+    assert (got[1].cache_read_tokens, got[1].cache_write_tokens,
+            got[1].uncached_input_tokens) == (1, 2, 7)
     assert got[4].chart_spec is None and got[4].final_answer == "last"
     assert got[5].generated_sql is None
     assert got[2].final_answer is None
@@ -54,9 +60,10 @@ def test_items_usage_sql_and_rows(spark):
     assert (u[2].model_name, u[2].input_tokens) == ("N/A", 0)
     sql = {r.conv_id: r.query_id for r in responses.sql_details(d).collect()}
     assert sql == {1: "q1", 4: "q1"}
-    rows = [(r.row_index, r.line_no, r.chars) for r in responses.result_rows(d).collect()
-            if r.conv_id == 1]
-    assert sorted(rows) == [(0, 1, 5), (1, 2, 7)]
+    rows = {(r.row_index, r.column_index): (r.column_name, r.value)
+            for r in responses.result_rows(d).collect() if r.conv_id == 1}
+    assert rows == {(0, 0): ("N", "1"), (0, 1): ("RATE", "0.4584"), (0, 2): (None, "Month-to-Month"),
+                    (1, 0): ("N", "2"), (1, 1): ("RATE", None), (1, 2): (None, "Two Year")}
     last = {(r.conv_id, r.item_type): (r.last_index, r.last_value)
             for r in responses.last_items(d).collect()}
     assert last[(1, "text")] == (4, "last")
