@@ -6,16 +6,20 @@ model's identity normaliser does; then it is cut into words: runs of letters wit
 the marks before them, other runs, line breaks. No piece of the model spans such a
 cut (checked when the model is read), so words can be encoded on their own.
 
-1. Distinct words of the whole table (pre-aggregated).
-2. Lattice: every word explodes into its substrings of at most the longest piece;
+1. Distinct words of each hash block of documents (dropped within an Arrow batch, then
+   pre-aggregated), and of those the distinct words of the whole table.
+2. Lattice: every word explodes into its substrings of at most the longest piece
+   (starts, then sizes, so both explodes and the join run as generated code);
    an equi-join with the piece table (broadcast: a fixed vocabulary of checked
    size) keeps the edges. A character without a piece is an edge of its UTF-8
    bytes with the unknown score.
-3. Edges are grouped by word — the partitioning of step 1, no further shuffle — and
+3. Edges are grouped by word — the partitioning of the distinct words, no further
+   shuffle — and
    a higher-order ``aggregate`` folds them by end position into the best path
    (highest sum of scores; ties go to the longer last piece).
 4. Documents and the words they hold meet by a hash block of bounded text size;
-   each block encodes its documents by looking its words up.
+   each block encodes its documents by looking its words up; ids stay in flat
+   integer arrays.
 
 The result is the best-scoring segmentation (Viterbi). The vocabulary file at hand
 was made for merge-order encoding, whose segmentation can differ; ids, byte
@@ -30,12 +34,15 @@ result; extra columns are ignored. Decoding skips ids outside the vocabulary.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +51,8 @@ from churnlens.llm.common import save
 MARK = "▁"
 MAX_WORD = 2_000
 MAX_PIECES = 1_000_000
-BLOCK_CHARS = 8_000_000
-#: Words as a Java and as a Python (regex) pattern: the same cuts.
+#: Characters of text in a block; a block's texts, words and ids are held by one Python worker.
+BLOCK_CHARS = 16_000_000
 WORD = rf"\n|{MARK}*[\p{{L}}\p{{M}}]+|{MARK}*[^{MARK}\n\p{{L}}\p{{M}}]+|{MARK}+"
 
 
@@ -96,19 +103,31 @@ def _piece_table(spark: SparkSession, v: Vocabulary) -> DataFrame:
                                  .astype({"id": "int32"}), "piece string, id int, score double")
 
 
-def marked(text: Column) -> Column:
-    """The text as the lattice sees it: a mark in front, marks for spaces."""
-    return F.when(text == "", F.lit("")).otherwise(
-        F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(MARK))))
+def cut_words(text: str, word) -> Iterator[str]:
+    """The words of a text: a mark in front, marks for spaces, ``MAX_WORD`` characters at most."""
+    for w in word.findall(MARK + text.replace(" ", MARK)) if text else ():
+        if len(w) <= MAX_WORD:
+            yield w
+        else:
+            yield from (w[k:k + MAX_WORD] for k in range(0, len(w), MAX_WORD))
 
 
-def words_in(text: Column) -> Column:
-    found = F.regexp_extract_all(marked(text), F.lit(WORD), F.lit(0))
-    parts = F.transform(found, lambda w: F.when(
-        F.length(w) <= MAX_WORD, F.array(w)).otherwise(F.transform(
-            F.sequence(F.lit(0), F.floor((F.length(w) - 1) / MAX_WORD).cast("int")),
-            lambda k: F.substring(w, k * MAX_WORD + 1, MAX_WORD))))
-    return F.flatten(parts)
+def _distinct_words(pattern: str):
+    """(block, word) of (block, text), once per batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        word = regex.compile(pattern)
+        for batch in batches:
+            told: dict[int, set[str]] = {}
+            for block, text in zip(batch.column("block"), batch.column("text"), strict=True):
+                if text.is_valid:
+                    told.setdefault(block.as_py(), set()).update(cut_words(text.as_py(), word))
+            for block, words in told.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block] * len(words), pa.int64()), pa.array(words, pa.string())],
+                    names=["block", "word"])
+    return run
 
 
 def _byte_ids(char: Column, v: Vocabulary) -> Column:
@@ -124,15 +143,12 @@ def _byte_ids(char: Column, v: Vocabulary) -> Column:
 def encode_words(words: DataFrame, v: Vocabulary) -> DataFrame:
     """(word, ids) for the distinct words of a one-column table ``word``."""
     spark = words.sparkSession
-    n = F.length("word")
-    spans = F.flatten(F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda s: F.transform(F.sequence(F.lit(1), F.least(F.lit(v.longest), n - s)),
-                              lambda size: F.struct(s.alias("s"), (s + size).alias("e"),
-                                                    F.substring(F.col("word"), s + 1, size)
-                                                    .alias("piece")))))
-    edges = words.select("word", F.explode(spans).alias("x")).select(
-        "word", F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.col("x.piece").alias("piece"))
+    starts = words.select("word", F.explode(
+        F.sequence(F.lit(0), F.length("word") - 1)).alias("s"))
+    spans = starts.select("word", "s", F.explode(F.sequence(
+        F.lit(1), F.least(F.lit(v.longest), F.length("word") - F.col("s")))).alias("size"))
+    edges = spans.select("word", "s", (F.col("s") + F.col("size")).alias("e"),
+                         F.substring("word", F.col("s") + 1, F.col("size")).alias("piece"))
     # fixed vocabulary, size checked on reading
     edges = edges.join(F.broadcast(_piece_table(spark, v)), "piece", "left") \
         .where("id is not null or e = s + 1")
@@ -175,23 +191,22 @@ def _encode_block(pattern: str):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         import regex
 
-        cut = regex.compile(pattern)
-        ids_of = dict(zip(right.column("word").to_pylist(),
-                          (x.values.to_numpy(zero_copy_only=False) if x.is_valid else None
-                           for x in right.column("ids")), strict=True))
-        out = []
+        word = regex.compile(pattern)
+        lists = right.column("ids").combine_chunks()
+        flat = array("i", lists.flatten().to_numpy(zero_copy_only=False).astype("int32").tobytes())
+        ends = pc.cumulative_sum(pc.list_value_length(lists)).to_pylist()
+        end_of = dict(zip(right.column("word").to_pylist(),
+                          zip([0, *ends], ends, strict=False), strict=True))
+        ids, offsets = array("i"), array("i", [0])
         for text in left.column("text"):
-            text = text.as_py()
-            if text is None:
-                out.append(None)
-                continue
-            ids: list[int] = []
-            for word in cut.findall(MARK + text.replace(" ", MARK)) if text else ():
-                for k in range(0, len(word), MAX_WORD):
-                    ids.extend(ids_of[word[k:k + MAX_WORD]])
-            out.append(ids)
-        return pa.table({"doc_id": left.column("doc_id"),
-                         "ids": pa.array(out, pa.list_(pa.int32()))})
+            for w in cut_words(text.as_py() or "", word):
+                a, b = end_of[w]
+                ids.extend(flat[a:b])
+            offsets.append(len(ids))
+        made = pa.ListArray.from_arrays(
+            pa.array(np.frombuffer(offsets, "int32")), pa.array(np.frombuffer(ids, "int32")),
+            mask=pc.is_null(left.column("text")).combine_chunks())
+        return pa.table({"doc_id": left.column("doc_id"), "ids": made})
     return run
 
 
@@ -201,8 +216,8 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chars // BLOCK_CHARS + 1)).alias("block")
-    told = rows.select(block, F.explode(words_in(F.col("text"))).alias("word")).distinct()
-    told = save(told, "block-words")
+    told = save(rows.select(block, "text").mapInArrow(
+        _distinct_words(WORD), "block long, word string").distinct(), "block-words")
     words = told.select("word").distinct()
     table = save(encode_words(words, v), "words")
     known = told.join(table, "word").select("block", "word", "ids")

@@ -368,3 +368,10 @@ def test_posterior_bound():
     least = minhash.least_matches(0.85)
     assert len(least) == 8 and all(a < b for a, b in zip(least, least[1:], strict=False))
     assert least[-1] > 0.7 * 256 and least[0] < 0.6 * 32
+
+
+def test_sentencepiece_blocks_without_words(spark):
+    rows = spark.createDataFrame([(1, None), (2, ""), (2, "")], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["ids"]) for r in sentencepiece_lattice.encode(rows).collect()),
+                 key=str)
+    assert got == [(1, None), (2, []), (2, [])]
