@@ -51,6 +51,9 @@ from churnlens.llm.common import save
 MARK = "▁"
 MAX_WORD = 2_000
 MAX_PIECES = 1_000_000
+NO_PIECE = -1
+#: Distinct words in a partition of the lattice, about.
+PARTITION_WORDS = 50_000
 #: Characters of text in a block; a block's texts, words and ids are held by one Python worker.
 BLOCK_CHARS = 16_000_000
 WORD = rf"\n|{MARK}*[\p{{L}}\p{{M}}]+|{MARK}*[^{MARK}\n\p{{L}}\p{{M}}]+|{MARK}+"
@@ -152,20 +155,18 @@ def encode_words(words: DataFrame, v: Vocabulary) -> DataFrame:
     # fixed vocabulary, size checked on reading
     edges = edges.join(F.broadcast(_piece_table(spark, v)), "piece", "left") \
         .where("id is not null or e = s + 1")
-    edge = F.struct(
-        "e", "s", F.coalesce("score", F.lit(v.unknown_score)).alias("score"),
-        F.when(F.col("id").isNotNull(), F.array("id"))
-        .otherwise(_byte_ids(F.col("piece"), v)).alias("ids"))
+    edge = F.struct("e", "s", F.coalesce("score", F.lit(v.unknown_score)).alias("score"),
+                    F.coalesce("id", F.lit(NO_PIECE)).alias("id"))
     lattice = edges.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
-    # state: best[p] = (score of the best path to p, start of its last edge, that edge's ids)
-    kind = "struct<score:double,s:int,ids:array<int>>"
+    # state: best[p] = (score of the best path to p, start and id of its last edge)
+    kind = "struct<score:double,s:int,id:int>"
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("s"),
-                             F.array().cast("array<int>").alias("ids")))
+                             F.lit(NO_PIECE).alias("id")))
 
     def step(best: Column, x: Column) -> Column:
         here = F.struct((F.get(best, x["s"])["score"] + x["score"]).alias("score"),
-                        x["s"].alias("s"), x["ids"].alias("ids"))
+                        x["s"].alias("s"), x["id"].alias("id"))
         # edges come by end, then start: the first of an end opens its position
         return F.when(F.size(best) <= x["e"], F.array_append(best, here)).otherwise(
             F.when(here["score"] > F.element_at(best, -1)["score"],
@@ -176,10 +177,12 @@ def encode_words(words: DataFrame, v: Vocabulary) -> DataFrame:
 
         def walk(acc: Column, p: Column) -> Column:
             e = F.element_at(best, p)
+            ids = F.when(e["id"] != NO_PIECE, F.array(e["id"])).otherwise(
+                _byte_ids(F.substring(F.col("word"), e["s"] + 1, F.lit(1)), v))
             return F.when(p == acc["at"], F.struct(
-                (e["s"] + 1).alias("at"), F.array_append(acc["ids"], e["ids"]).alias("ids"))) \
+                (e["s"] + 1).alias("at"), F.array_append(acc["ids"], ids).alias("ids"))) \
                 .otherwise(acc)
-        down = F.sequence(F.size(best), F.lit(1), F.lit(-1))
+        down = F.sequence(F.size(best), F.lit(2), F.lit(-1))    # the start is no edge
         return F.aggregate(down, first, walk, lambda acc: F.flatten(F.reverse(acc["ids"])))
 
     folded = lattice.select("word", F.aggregate("edges", start.cast(f"array<{kind}>"), step)
@@ -218,7 +221,9 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chars // BLOCK_CHARS + 1)).alias("block")
     told = save(rows.select(block, "text").mapInArrow(
         _distinct_words(WORD), "block long, word string").distinct(), "block-words")
-    words = told.select("word").distinct()
+    # word partitions of bounded size: the edges of each are grouped in memory
+    n_words = told.agg(F.approx_count_distinct("word")).first()[0]
+    words = told.select("word").repartition(n_words // PARTITION_WORDS + 1, "word").distinct()
     table = save(encode_words(words, v), "words")
     known = told.join(table, "word").select("block", "word", "ids")
     return rows.select("doc_id", "text", block).groupBy("block").cogroup(
