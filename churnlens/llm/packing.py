@@ -102,9 +102,11 @@ class Encoder:
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, dtype="<u4")
-        # as many words as single spaces and line breaks allow: there are no others
-        breaks = text.count(" ") + text.count("\n")
-        if len(text.split()) != breaks + 1 or "<|" in text or "\x00" in text:
+        # all characters are in words or are spaces and line breaks (no other white space),
+        # and there are as many words as these allow if each stands alone between two words
+        breaks, words = text.count(" ") + text.count("\n"), text.split()
+        if len(words) != breaks + 1 or len("".join(words)) + breaks != len(text) \
+                or "<|" in text or "\x00" in text:
             return np.array(self._tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
         cache = self._cache
         out = []

@@ -130,6 +130,20 @@ def test_encoder_equals_the_tokenizer():
         assert encoder.ids(t).tolist() == plain.encode(t, add_special_tokens=False).ids, t
 
 
+def test_encoder_with_other_white_space_beside_runs():
+    from tokenizers import Tokenizer
+
+    encoder = packing.Encoder(packing.tokenizer_path())
+    plain = Tokenizer.from_file(packing.tokenizer_path())
+    texts = ["Price: 5\xa0EUR and 7\xa0EUR\n\n\nNext paragraph", "one\ttwo\tthree\n\n\nfour",
+             "a\tb  c", "a\rb\n\nc", "\na\u3000b", "a\u2028b ", "a\x1cb\n\nc", "a\x85b  c"]
+    rng = random.Random(4)
+    texts += ["".join(rng.choice([" ", "\n", "\t", "\xa0", "\r", "ab", "c", "1", "."])
+                      for _ in range(rng.randint(1, 14))) for _ in range(3000)]
+    for t in texts:
+        assert encoder.ids(t).tolist() == plain.encode(t, add_special_tokens=False).ids, t
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_covers_the_histogram(seed):
     rng = np.random.default_rng(seed)
