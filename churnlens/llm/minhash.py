@@ -1,7 +1,8 @@
 """Operator 10 — MinHash near-duplicates with sequential Bayesian verification.
 
 1. One pass over the texts gives each document its shingle count, a 128-bit digest
-   of its shingle set and the hashes of ``BANDS`` bands of its MinHash signature.
+   of its shingle set and the hashes of ``BANDS`` bands of its MinHash signature; the
+   rows of a band follow from the threshold (8 at 0.85, 5 at 0.80, see ``band_rows``).
    Documents with equal sets form a class; only class representatives (smallest
    doc_id) go on, so thousands of copies cost one row.
 2. Representatives that share a band value meet in a bucket. Buckets are joined
@@ -21,7 +22,7 @@
 5. Connected components over classes and links give the smallest reachable doc_id.
 
 The only approximation is the chance that a pair at the threshold shares no band
-(below 4e-5, far less above it) or is dropped by the posterior rule (``MISS`` a
+(``NO_BAND`` at most, far less above it) or is dropped by the posterior rule (``MISS`` a
 batch). Links are never wrong: they are confirmed on full sets.
 
 Cases: NULL or word-less text has no shingles and links with nothing; texts under
@@ -52,6 +53,7 @@ THRESHOLD_PCT = 85
 BANDS, ROWS = 32, 8
 BATCH = 32
 MISS = 1e-6
+NO_BAND = 4e-5
 BLOCK = 256
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -90,17 +92,27 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(_mix(out))
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def band_rows(pct: int) -> int:
+    """The most rows a band can have so that a pair at the threshold shares none of the
+    ``BANDS`` bands with a chance of at most ``NO_BAND``."""
+    for rows in range(ROWS, 0, -1):
+        if (1 - (pct / 100) ** rows) ** BANDS <= NO_BAND:
+            return rows
+    raise ValueError(f"{BANDS} bands are too few for a threshold of {pct} %")
+
+
+def signature(hashes: np.ndarray, k: int = _K) -> np.ndarray:
     """MinHash signature (uint32) of a non-empty set, in slices of bounded memory."""
-    best = np.full(_K, np.iinfo(np.uint64).max, dtype=np.uint64)
+    best = np.full(k, np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(0, len(hashes), 4096):
-        part = hashes[i:i + 4096, None] * _MUL[None, :] + _ADD[None, :]
+        part = hashes[i:i + 4096, None] * _MUL[None, :k] + _ADD[None, :k]
         np.minimum(best, part.min(axis=0), out=best)
     return (best >> np.uint64(32)).astype(np.uint32)
 
 
 def band_keys(sig: np.ndarray) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(sig[b * ROWS:(b + 1) * ROWS].tobytes(), b + 1) - 2 ** 63
+    rows = len(sig) // BANDS
+    return [xxhash.xxh3_64_intdigest(sig[b * rows:(b + 1) * rows].tobytes(), b + 1) - 2 ** 63
             for b in range(BANDS)]
 
 
@@ -121,18 +133,20 @@ def least_matches(threshold: float, miss: float = MISS, hashes: int = _K,
     return out
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n, digest, bands = [], [], []
-        for text in batch.column("text"):
-            s = shingle_set(text.as_py())
-            n.append(len(s))
-            digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-            bands.append(band_keys(signature(s)) if len(s) else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-             pa.array(bands, pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "digest", "bands"])
+def _signatures(rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, digest, bands = [], [], []
+            for text in batch.column("text"):
+                s = shingle_set(text.as_py())
+                n.append(len(s))
+                digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                bands.append(band_keys(signature(s, BANDS * rows)) if len(s) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                 pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "digest", "bands"])
+    return run
 
 
 class _Union:
@@ -155,7 +169,7 @@ def _candidates(sigs: np.ndarray, side: np.ndarray, least: list[int]) -> np.ndar
     """Pairs (i, j, matches) that share a band and pass every batch; with two
     sides, only pairs across them (a block against another one)."""
     n = len(sigs)
-    bands = sigs.reshape(n, BANDS, ROWS)
+    bands = sigs.reshape(n, BANDS, -1)
     keep = []
     for i in range(n - 1):
         j = np.arange(i + 1, n)
@@ -188,9 +202,10 @@ def _unit_links(ids: list, texts: list, sides: np.ndarray, pct: int) -> list[tup
     full = [i for i, s in enumerate(sets) if len(s)]
     if len(full) < 2:
         return []
-    sigs = np.stack([signature(sets[i]) for i in full])
+    k = BANDS * band_rows(pct)
+    sigs = np.stack([signature(sets[i], k) for i in full])
     found, union = [], _Union(len(full))
-    pairs = _candidates(sigs, sides[full], least_matches(pct / 100))
+    pairs = _candidates(sigs, sides[full], least_matches(pct / 100, hashes=k))
     for i, j, _ in sorted(pairs, key=lambda p: (-p[2], p[0], p[1])):
         if union.root(i) != union.root(j) and linked(sets[full[i]], sets[full[j]], pct):
             union.join(i, j)
@@ -256,7 +271,7 @@ def near_duplicates(docs: DataFrame, pct: int = THRESHOLD_PCT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept — one row per input row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = save(rows.mapInArrow(
-        _signatures, "doc_id long, n_shingles long, digest binary, bands array<long>"), "signed")
+        _signatures(band_rows(pct)), "doc_id long, n_shingles long, digest binary, bands array<long>"), "signed")
     classes = save(signed.where("digest is not null and doc_id is not null").groupBy("digest")
                    .agg(F.min("doc_id").alias("rep")), "classes")
     reps = signed.join(classes, (signed.doc_id == classes.rep) &

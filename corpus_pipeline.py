@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from churnlens.llm import minhash, packing, quality_classifier, quality_rules, substring_dedup
 from churnlens.llm.common import read_table, save
 
+#: The stage's own threshold; 85 is that of the query op10.
+NEAR_PCT = 80
+
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a rule go."""
@@ -26,8 +29,9 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the smallest doc_id."""
-    return minhash.keep_one(docs)
+    """One document of each group of near-duplicates (word shingles, similarity 0.8 or
+    more) stays: the smallest doc_id."""
+    return minhash.keep_one(docs, pct=NEAR_PCT)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

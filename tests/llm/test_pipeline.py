@@ -83,3 +83,28 @@ def test_run_is_the_stages_in_a_row(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.columns[0] == "doc_id" and out.count() > 0
     assert not {r["doc_id"] for r in out.collect()} & {400, 500, 501, 100, 205}
+
+
+def test_near_copies_between_80_and_85_go(spark, sf_dir):
+    rows = []
+    for i in range(150):
+        words = _prose(2000 + i, 100).split()
+        # 96 shingles, a changed word inside takes five of them; one at the end takes one
+        changed = [*words[:30], f"x{i}", *words[31:60], f"y{i}", *words[61:]]
+        rows += [(2 * i, " ".join(words), "en", "s", 1), (2 * i + 1, " ".join(changed), "en", "s", 1)]
+    rows.append((1000, " ".join(_prose(2000, 100).split()[:30] + _prose(1, 70).split()), "en", "s", 1))
+    sets = {r[0]: minhash.shingle_set(r[1]) for r in rows}
+    links = {b for a in sets for b in sets if a < b and minhash.linked(sets[a], sets[b], 80)}
+    assert links == set(range(1, 300, 2))
+    assert not any(minhash.linked(sets[i], sets[i + 1], 85) for i in range(0, 300, 2))
+    near = dict(corpus_pipeline.STAGES)["minhash near-dedup"]
+    left = near(spark, spark.createDataFrame(rows, DOCS), sf_dir)
+    assert {r["doc_id"] for r in left.collect()} == set(sets) - links
+
+
+def test_bands_follow_the_threshold():
+    assert [minhash.band_rows(p) for p in (80, 85, 95)] == [5, 8, 8]
+    for pct in (50, 70, 80, 85):
+        assert (1 - (pct / 100) ** minhash.band_rows(pct)) ** minhash.BANDS <= 4e-5
+    with pytest.raises(ValueError):
+        minhash.band_rows(5)
