@@ -5,20 +5,23 @@ break where the hash falls below a bound (about one in ``WORDS_PER_CHUNK``), and
 far more rarely, at any other character boundary, so texts without spaces are cut
 too. The hash sees only the last 16 bytes and there is no minimum or maximum
 length: a cut depends on nothing but the bytes just before it, so chunks line up
-again right after an insertion. Chunks get a 64-bit digest: a chance collision is one
-chunk long and removes nothing, as only runs of many repeated chunks are removed.
-
-A digest found in more than one document is a repeat; so is a second occurrence
-inside a document. The copy in the document with the smallest doc_id (there the
-first one) is the original. In all other places neighbouring repeated chunks are
-merged to runs, and a run of at least ``MIN_WORDS`` words is removed; shorter
-runs (common lines, stock phrases) stay.
-
-Scale: a document yields each of its digests once; smallest document and number
-of documents per digest are pre-aggregated before the shuffle; repeats return to
+again right after an insertion.
+
+What is compared are passages: from each chunk on, and back from each chunk, the fewest
+neighbouring chunks that hold ``MIN_WORDS`` words. A passage gets a 64-bit digest of
+its chunks' digests. A digest found in more than one document is a repeat; so is a
+second occurrence inside a document that does not overlap the first one. The copy in
+the document with the smallest doc_id (there the first one) is the original. In all
+other places the chunks of repeated passages are removed. Any repeat of whole chunks
+with ``MIN_WORDS`` words is covered by its passages from both ends, and every chunk
+that goes stands in a passage of that size that is repeated as a whole: chance repeats
+of shorter pieces (common lines, stock phrases), even side by side, stay.
+
+Scale: a document yields each of its digests once (at most two a chunk); smallest and
+largest document per digest are pre-aggregated before the shuffle; repeats return to
 their documents by an equi-join AQE can split, then by document id — a document
-never receives more than its own digests. A chunk shared by a third of all
-documents costs one row per document. Texts are shuffled once, to meet their
+never receives more than its own digests. A passage shared by a third of all
+documents costs a few rows per document. Texts are shuffled once, to meet their
 own repeats. Nothing goes through the driver.
 
 Cases: NULL and empty texts have no chunks and stay as they are; a text without
@@ -86,31 +89,61 @@ def cut_points(data: bytes, words_per_chunk: int = WORDS_PER_CHUNK) -> np.ndarra
     return np.flatnonzero(cut) + 1
 
 
-def chunks(text: str | None) -> tuple[bytes, list[int], list[int]]:
-    """The text's bytes, the chunks' ends and their digests. Surrounding white
-    space is no part of the digest, so a passage matches at the end of a line too."""
+def _passages(data: bytes, ends: np.ndarray, min_words: int) -> list[tuple[int, int]]:
+    """(first, last) chunk of the passages: for each chunk the shortest one of at least
+    ``min_words`` words that starts with it and the shortest one that ends with it."""
+    if not len(ends):
+        return []
+    raw = np.frombuffer(data, dtype=np.uint8)
+    text = ~_SPACE[raw]
+    inside = np.zeros(len(raw), dtype=bool)          # not the first byte of its word
+    inside[1:] = text[1:] & text[:-1]
+    begun = np.concatenate([[0], np.cumsum(text & ~inside)])
+    starts = np.concatenate([[0], ends[:-1]])
+    # words of chunks i to j: words begun there, and the one that a cut before i left
+    before, until = begun[starts] - inside[starts], begun[ends]
+    n = np.arange(len(ends))
+    last = np.searchsorted(until, before + min_words)
+    first = np.searchsorted(before, until - min_words, side="right") - 1
+    return sorted({*((i, j) for i, j in zip(n.tolist(), last.tolist(), strict=True) if j < len(n)),
+                   *((i, j) for i, j in zip(first.tolist(), n.tolist(), strict=True) if i >= 0)})
+
+
+def _digested(text: str | None, min_words: int) -> tuple[bytes, list[int], list, list[int]]:
+    """The text's bytes, the chunks' ends, the passages and their digests. White space
+    around a chunk is no part of its digest, so a passage matches at the end of a line too."""
     data = (text or "").encode("utf-8", "surrogatepass")
-    ends = cut_points(data).tolist()
-    digest, out, start = xxhash.xxh3_64_intdigest, [], 0
-    for end in ends:
-        out.append(digest(data[start:end].strip()))
-        start = end
-    return data, ends, out
-
-
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, seen = [], []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"),
-                                strict=True):
-            if doc_id is not None:
-                own = list(set(chunks(text.as_py())[2]))
-                ids.append(np.full(len(own), doc_id, dtype=np.int64))
-                seen.append(np.array(own, dtype=np.uint64).view(np.int64))
-        if ids:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(ids)), pa.array(np.concatenate(seen))],
-                names=["doc_id", "h"])
+    cuts = cut_points(data)
+    spans, ends = _passages(data, cuts, min_words), cuts.tolist()
+    if not spans:
+        return data, ends, [], []
+    digest = xxhash.xxh3_64_intdigest
+    own = np.array([digest(data[a:b].strip()) for a, b in zip([0, *ends[:-1]], ends, strict=True)],
+                   dtype=np.uint64).tobytes()
+    return data, ends, spans, [digest(own[8 * i:8 * j + 8]) for i, j in spans]
+
+
+def chunks(text: str | None, min_words: int = MIN_WORDS) -> tuple[bytes, list[int], list[int]]:
+    """The text's bytes, the chunks' ends and the digests of its passages."""
+    data, ends, _, digests = _digested(text, min_words)
+    return data, ends, digests
+
+
+def _digests(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, seen = [], []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"),
+                                    strict=True):
+                if doc_id is not None:
+                    own = list(set(chunks(text.as_py(), min_words)[2]))
+                    ids.append(np.full(len(own), doc_id, dtype=np.int64))
+                    seen.append(np.array(own, dtype=np.uint64).view(np.int64))
+            if ids:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(ids)), pa.array(np.concatenate(seen))],
+                    names=["doc_id", "h"])
+    return run
 
 
 def _words(data: bytes) -> int:
@@ -118,40 +151,37 @@ def _words(data: bytes) -> int:
 
 
 def cut_runs(text: str | None, repeated: dict[int, int], min_words: int) -> tuple[str, list]:
-    """The text without long runs of repeats, and (start, length, words, original) of
+    """The text without repeated passages, and (start, length, words, original) of
     what went, in characters. ``repeated``: digest → doc_id of the original, for
     digests whose original is another document; later occurrences inside the text
     are found here."""
     if text is None:
         return None, []
-    data, ends, digests = chunks(text)
-    kept, gone, seen, start = [], [], set(), 0
-    run_start = run_of = None
-
-    def close(at: int) -> None:
-        nonlocal run_start
-        if run_start is None:
-            return
-        part = data[run_start:at]
-        if _words(part) >= min_words:
-            chars = len(data[:run_start].decode("utf-8", "surrogatepass"))
-            gone.append((chars, len(part.decode("utf-8", "surrogatepass")), _words(part), run_of))
-        else:
-            kept.append(part)
-        run_start = None
-
-    for end, digest in zip(ends, digests, strict=True):
-        if digest in repeated or digest in seen:
-            if run_start is None:
-                run_start, run_of = start, repeated.get(digest)
-        else:
-            close(start)
-            kept.append(data[start:end])
-        seen.add(digest)
-        start = end
-    close(start)
-    if not gone:
+    data, ends, spans, digests = _digested(text, min_words)
+    kept, gone, seen = [], [], {}
+    covered, of = -1, {}                # last chunk known to go; chunk → original
+    for (i, j), digest in zip(spans, digests, strict=True):
+        if digest not in repeated and seen.setdefault(digest, j) >= i:
+            continue
+        for k in range(max(i, covered + 1), j + 1):
+            of[k] = repeated.get(digest)
+        covered = max(covered, j)
+    if not of:
         return text, []
+    chars = at = 0                      # characters and bytes before
+    run = None
+    for k, end in enumerate([*ends, None]):
+        if k in of:
+            run = (at, of[k]) if run is None else run
+        elif run is not None:
+            part = data[run[0]:at]
+            length = len(part.decode("utf-8", "surrogatepass"))
+            gone.append((chars, length, _words(part), run[1]))
+            chars, run = chars + length, None
+        if run is None and end is not None:
+            kept.append(data[at:end])
+            chars += len(kept[-1].decode("utf-8", "surrogatepass"))
+        at = end
     return b"".join(kept).decode("utf-8", "surrogatepass"), gone
 
 
@@ -180,7 +210,7 @@ def _rebuild(min_words: int):
 def _deduplicated(docs: DataFrame, min_words: int) -> DataFrame:
     """The other columns of ``docs`` as c0, c1, ..., then _new and _spans."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = rows.mapInArrow(_digests, "doc_id long, h long")
+    found = rows.mapInArrow(_digests(min_words), "doc_id long, h long")
     firsts = save(found.groupBy("h").agg(F.min("doc_id").alias("first"),
                                          F.max("doc_id").alias("last"))
                   .where("first != last").select("h", "first"), "repeats")

@@ -99,6 +99,66 @@ def test_substring_dedup(docs, empty):
     assert substring_dedup.repeats(empty).count() == 0
 
 
+def _chunk_texts(text):
+    data, ends, _ = substring_dedup.chunks(text)
+    return [data[a:b].decode() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def test_only_contiguous_repeats_go(spark):
+    sources = [(i, _prose(3000 + i, 120), "en", "a", 1) for i in range(30)]
+    # chunks of documents that never stand side by side there, 40 words and more
+    pieces = [next(c for c in _chunk_texts(t)[2:] if len(c) >= 24 and len(c.split()) < 15)
+              for _, t, *_ in sources]
+    joined = [(100 + k, "".join(pieces[k:k + 15]), "en", "a", 1) for k in (0, 15)]
+    # real repeats: of another document, and of the document itself
+    words = sources[7][1].split()
+    real = [(200, " ".join([_prose(1, 40), *words[20:70], _prose(2, 40)]), "en", "a", 1),
+            (201, " ".join([_prose(11, 50), _prose(12, 30), _prose(11, 50)]), "en", "a", 1)]
+    rows = sources + joined + real
+    assert all(len(t.split()) >= 40 for _, t, *_ in joined)
+    got = {r["doc_id"]: r for r in substring_dedup.repeats(spark.createDataFrame(rows, DOCS)).collect()}
+    assert {i for i, r in got.items() if r["changed"]} == {200, 201}
+    assert got[200]["n_removed_words"] >= 25 and got[200]["removed"][0]["original"] == 7
+    assert got[201]["n_removed_words"] >= 25 and got[201]["removed"][0]["original"] is None
+    # every word that goes is in 20 words that stand earlier
+    for doc_id, text, *_ in real:
+        own = text.split()
+        before = {tuple(t.split()[i:i + 20]) for d, t, *_ in rows if d < doc_id
+                  for i in range(len(t.split()) - 19)}
+        covered = set()
+        for i in range(len(own) - 19):
+            if tuple(own[i:i + 20]) in before | {tuple(own[j:j + 20]) for j in range(i - 19)}:
+                covered |= set(range(i, i + 20))
+        for r in got[doc_id]["removed"]:
+            at = len(text[:r["start"]].split())
+            assert set(range(at, at + r["words"])) <= covered
+            assert text[r["start"]:r["start"] + r["length"]].split() == own[at:at + r["words"]]
+
+
+def test_originals_that_overlap_their_repeat_stay():
+    text = " ".join(["the same words again and again in a row, ten of them"] * 12) + " "
+    new, gone = substring_dedup.cut_runs(text, {}, 20)
+    assert len(new.split()) >= 20 and text.startswith(new[:60]) and gone
+
+
+def test_passages_are_the_shortest_from_both_ends():
+    rng = random.Random(8)
+    for _ in range(30):
+        text = "".join(rng.choice([" ", "  ", "\n", "ab", "c", "def" * 9, "é漢"]) for _ in range(300))
+        data = text.encode()
+        ends = substring_dedup.cut_points(data)
+        starts, n = [0, *ends[:-1].tolist()], len(ends)
+
+        def words(i, j, data=data, starts=starts, ends=ends):
+            return len(data[starts[i]:ends[j]].split())
+
+        for least in (3, 20):
+            want = {(i, j) for i in range(n) for j in range(i, n) if words(i, j) >= least and (
+                all(words(i, k) < least for k in range(i, j))
+                or all(words(k, j) < least for k in range(i + 1, j + 1)))}
+            assert set(substring_dedup._passages(data, ends, least)) == want
+
+
 # --- 2 -------------------------------------------------------------------------------------
 
 def test_chat_rotation(spark):
