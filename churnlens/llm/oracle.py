@@ -158,10 +158,65 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component, d.doc_id) A
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN part ON part.id = d.doc_id
 """
 
+#: Unsigned CRC-32 of decimal text, by table; ``_crc(bytes)`` wants crc_table in the FROM list.
+_CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384)
+                                                 ELSE c >> 1 END, i) ORDER BY i) AS crc_t
+  FROM range(256) r(i))"""
+
+
+def _crc(text: str) -> str:
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return (f"xor(list_reduce({codes}, lambda c, b: xor(c >> 8, crc_t[(xor(c, b) & 255) + 1]), "
+            "4294967295), 4294967295)")
+
+
+PERIODIC = rf"""
+WITH {_CRC_TABLE},
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_crc("CAST(doc_id AS VARCHAR)")} AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents, crc_table),
+p AS (
+  SELECT *, len(ws) AS n, (h // 10) % nullif(len(ws), 0) AS a, 3 + (h // 10) % 8 AS parts FROM d),
+looped AS (
+  SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: ws[CASE WHEN i < a THEN i
+                        ELSE a + (i - a) % (1 + (n - a) // parts) END + 1]) ELSE ws END AS ws
+  FROM p),
+tok AS (SELECT r, n, i, ws[i + 1] AS w FROM (SELECT *, unnest(range(n)) AS i FROM looped)),
+gram AS (
+  SELECT l.r, l.n, i, array_to_string(list_slice(ws, i + 1, i + 5), ' ') AS g
+  FROM (SELECT *, unnest(range(n - 4)) AS i FROM looped WHERE n > 4) l),
+pairs AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM gram x JOIN gram y
+    ON x.r = y.r AND x.g = y.g AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretch AS (
+  SELECT r, q, min(i) AS s, max(i) - min(i) + 5 + q AS len
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs)
+  GROUP BY r, q, island),
+long AS (SELECT * FROM stretch WHERE len >= greatest(6, 4 * q)),
+runs AS (
+  SELECT * FROM long t WHERE NOT EXISTS (
+    SELECT 1 FROM long u WHERE u.r = t.r AND u.q < t.q AND u.s <= t.s AND u.s + u.len >= t.s + t.len)),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + len)) AS i FROM runs),
+kept AS (
+  SELECT r, string_agg(w, ' ' ORDER BY i) AS t FROM tok ANTI JOIN gone USING (r, i) GROUP BY r),
+best AS (
+  SELECT r, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS t,
+         arg_max([s, len, q], (len, -s, -q)) AS b
+  FROM runs GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b[1] AS start, b[2] AS length, b[3] AS period,
+       1000 * b[2] // b[3] AS exponent_milli, sha256(coalesce(best.t, '')) AS runs_sha256,
+       sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM looped LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+
 SQL = {
     "op2_chat_rotation": CHAT,
     "op4_url_filters": URLS,
     "op6_quality_rules": RULES,
     "op9_embedding_near_dedup": EMBEDDINGS,
     "op10_minhash_near_dedup": MINHASH,
+    "op11_periodic_runs": PERIODIC,
 }

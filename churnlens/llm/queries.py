@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from churnlens.llm import (chat_format, cover_tree, minhash, packing, quality_classifier,
-                           quality_rules, sentencepiece_lattice, sharding, substring_dedup,
-                           url_filter)
-from churnlens.llm.common import read_table
+from churnlens.llm import (chat_format, cover_tree, minhash, packing, periodic_runs,
+                           quality_classifier, quality_rules, sentencepiece_lattice, sharding,
+                           substring_dedup, url_filter)
+from churnlens.llm.common import read_table, words_of
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,9 +65,42 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def _looped(docs: DataFrame) -> DataFrame:
+    """Texts whose h = crc32(doc_id) ends in 0 go round in their words from word a on:
+    word i >= a becomes original word a + (i - a) % p, words joined by one space."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+
+    def again(ws):
+        n, g = F.size(ws).cast("long"), F.floor(h / 10)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(ws, lambda w, i: F.when(i < a, w).otherwise(
+            F.get(ws, (a + (i - a) % p).cast("int")))), " ")
+
+    # an array of one element binds the words once
+    text = F.transform(F.array(words_of(F.col("text"))),
+                       lambda ws: F.when(F.size(ws) > 0, again(ws)).otherwise(F.lit("")))[0]
+    return docs.select("doc_id", F.when(h % 10 == 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detect(_looped(read_table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"].cast("string"), r["length"].cast("string"),
+        F.concat(r["period"].cast("string"), F.lit("\n")))), "")
+    best = found.withColumn("best", longest)
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.floor(F.expr("1000 * best.length div -best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_chat_rotation, op3_best_fit_packing, op4_url_filters,
         op5_sentencepiece, op6_quality_rules, op7_quality_classifier, op8_sharding,
-        op9_embedding_near_dedup, op10_minhash_near_dedup)}
+        op9_embedding_near_dedup, op10_minhash_near_dedup, op11_periodic_runs)}
 QUERIES["pipeline"] = corpus_pipeline.run
