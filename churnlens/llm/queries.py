@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from churnlens.llm import (chat_format, cover_tree, minhash, packing, periodic_runs,
+from churnlens.llm import (chat_format, cover_tree, language_id, minhash, packing, periodic_runs,
                            quality_classifier, quality_rules, sentencepiece_lattice, sharding,
                            substring_dedup, url_filter)
 from churnlens.llm.common import read_table, words_of
@@ -98,9 +98,19 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language_id.fit(docs.where(~held_out))
+    return language_id.label(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score",
+        F.size("spans").cast("long").alias("n_spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_chat_rotation, op3_best_fit_packing, op4_url_filters,
         op5_sentencepiece, op6_quality_rules, op7_quality_classifier, op8_sharding,
-        op9_embedding_near_dedup, op10_minhash_near_dedup, op11_periodic_runs)}
+        op9_embedding_near_dedup, op10_minhash_near_dedup, op11_periodic_runs,
+        op13_language_id)}
 QUERIES["pipeline"] = corpus_pipeline.run
