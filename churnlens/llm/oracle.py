@@ -212,6 +212,88 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b[1] AS start, b[2] AS length, b[3
 FROM looped LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
 """
 
+#: One row after the other, the cheapest audit per role state (0 nothing yet, 1 after system,
+#: 2 after user, 3 after assistant); up to two insertions stand before a row or at the end.
+REPAIR = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+fate AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")}
+           % 20 AS f
+  FROM conversations, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END
+           AS text, unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fate WHERE f <> 0),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id) AS c,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i
+  FROM damaged),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS again,
+         right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last
+  FROM placed),
+k AS (
+  SELECT c, conv_id, i, turn, role, text, left(role, 1) AS initial,
+         last = '' AS blank, last <> '' AND again AS duplicate,
+         last <> '' AND NOT again AND last NOT IN ('.', '!', '?') AS truncated,
+         lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS before
+  FROM r),
+ins(p, q, letters, cost) AS (VALUES
+  (0, 0, '', 0), (1, 1, '', 0), (2, 2, '', 0), (3, 3, '', 0),
+  (0, 2, 'I', 5), (1, 2, 'I', 5), (3, 2, 'I', 5), (2, 3, 'I', 5),
+  (0, 3, 'II', 10), (1, 3, 'II', 10), (2, 2, 'II', 10), (3, 3, 'II', 10)),
+role(p, q, initial, name) AS (VALUES (0, 1, 's', NULL), (0, 2, 'u', 'user'), (1, 2, 'u', 'user'),
+  (3, 2, 'u', 'user'), (2, 3, 'a', 'assistant')),
+step AS (
+  SELECT c, i, s.p, s.p AS q, 'D' AS letter, 2 AS cost, NULL AS line
+  FROM k, (VALUES (0), (1), (2), (3)) s(p)
+  UNION ALL
+  SELECT c, i, p, q, 'K', CASE WHEN truncated THEN 5 ELSE 0 END, k.role || ':' || text
+  FROM k JOIN role USING (initial) WHERE NOT blank AND NOT duplicate
+  UNION ALL
+  SELECT c, i, p, q, 'R', CASE WHEN truncated THEN 6 ELSE 1 END, name || ':' || text
+  FROM k, role WHERE name IS NOT NULL AND NOT blank AND NOT duplicate),
+move AS (
+  SELECT c, i, ins.p, step.q, ins.cost + step.cost AS cost, letters || letter AS audit,
+         CASE letters WHEN '' THEN [] WHEN 'I' THEN [CASE ins.p WHEN 2 THEN 'assistant:' ELSE 'user:' END]
+              ELSE [CASE ins.p WHEN 2 THEN 'assistant:' ELSE 'user:' END,
+                    CASE ins.p WHEN 2 THEN 'user:' ELSE 'assistant:' END] END
+           || CASE WHEN line IS NULL THEN [] ELSE [line] END AS lines
+  FROM ins JOIN step ON ins.q = step.p),
+best AS (
+  SELECT DISTINCT c, CAST(0 AS BIGINT) AS i, 0 AS q, CAST(0 AS BIGINT) AS cost, '' AS audit,
+         CAST([] AS VARCHAR[]) AS lines FROM k
+  UNION ALL
+  SELECT c, i, q, cost, audit, lines FROM (
+    SELECT b.c, m.i, m.q, b.cost + m.cost AS cost, b.audit || m.audit AS audit, b.lines || m.lines AS lines,
+           row_number() OVER (PARTITION BY b.c, m.q ORDER BY b.cost + m.cost, b.audit || m.audit) AS n
+    FROM best b JOIN move m ON m.c = b.c AND m.i = b.i + 1 AND m.p = b.q)
+  WHERE n = 1),
+stats AS (
+  SELECT c, any_value(conv_id) AS conv_id, max(i) AS n,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+         count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM k GROUP BY c),
+done AS (
+  SELECT c, min(CAST(cost + e.ec AS BIGINT)) AS cost,
+         arg_min([audit || e.letters, array_to_string(lines || e.more, chr(10))],
+                 (cost + e.ec, audit || e.letters)) AS x
+  FROM best JOIN stats USING (c)
+  JOIN (VALUES (0, 0, '', []), (3, 0, '', []), (2, 5, 'I', ['assistant:']),
+               (1, 10, 'II', ['user:', 'assistant:'])) e(q, ec, letters, more) ON e.q = best.q
+  WHERE i = n GROUP BY c)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(x[1], '') AS audit,
+       sha256(coalesce(x[2], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN (stats JOIN done USING (c)) s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 SQL = {
     "op2_chat_rotation": CHAT,
     "op4_url_filters": URLS,
@@ -219,4 +301,5 @@ SQL = {
     "op9_embedding_near_dedup": EMBEDDINGS,
     "op10_minhash_near_dedup": MINHASH,
     "op11_periodic_runs": PERIODIC,
+    "op12_conversation_repair": REPAIR,
 }
