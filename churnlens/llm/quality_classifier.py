@@ -14,8 +14,8 @@ scoring covers every row. Labels of one doc_id that disagree count as 0.
 
 Cases: NULL or empty text has all ratios 0 and is scored like any other; NULL
 labels are ignored; a NULL doc_id is never trained on and is not held out;
-repeated rows get equal scores; with no labels, or one class only, the score is the
-share of label 1 (0.5 without labels); an empty table gives an empty result; extra
+repeated rows get equal scores; with no labels, one class only, or training texts whose
+ratios are all equal, the score is the share of label 1 (0.5 without labels); an empty table gives an empty result; extra
 columns are ignored by ``score`` and kept by ``filter_documents``.
 """
 
@@ -128,10 +128,11 @@ def fit(stats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Rule
     rows = save(ratios(stats.join(known, "doc_id"), "label", "doc_id"), "train")
     shares = {r["label"]: r["n"] for r in rows.groupBy("label").agg(
         F.count("*").alias("n")).collect()}
+    share = (shares.get(1.0, 0) + 1e-9) / (sum(shares.values()) + 2e-9)
+    share = min(max(share, 1e-6), 1 - 1e-6)
+    constant = RuleModel(math.log(share / (1 - share)), ())
     if len(shares) < 2:
-        share = (shares.get(1.0, 0) + 1e-9) / (sum(shares.values()) + 2e-9)
-        share = min(max(share, 1e-6), 1 - 1e-6)
-        return RuleModel(math.log(share / (1 - share)), ())
+        return constant
     # a fixed order: the sample of a tree depends on it
     few = save(rows.orderBy("doc_id").withColumn("ratios", array_to_vector(F.array(*names))),
                "ordered")
@@ -139,6 +140,8 @@ def fit(stats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Rule
         featuresCol="ratios", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
         subsamplingRate=0.8, featureSubsetStrategy="sqrt", maxBins=64).fit(few)
     rules = forest_rules(forest, names)
+    if not rules:                   # no ratio tells any two training rows apart
+        return constant
     hold = array_to_vector(F.expr(
         "array(" + ", ".join(f"CAST({rule_sql(r)} AS DOUBLE)" for r in rules) + ")"))
     fired = save(few.select("label", hold.alias("fired")), "fired")

@@ -449,3 +449,14 @@ def test_sentencepiece_blocks_without_words(spark):
     got = sorted(((r["doc_id"], r["ids"]) for r in sentencepiece_lattice.encode(rows).collect()),
                  key=str)
     assert got == [(1, None), (2, []), (2, [])]
+
+
+def test_classifier_without_rules(spark):
+    docs = spark.createDataFrame([(i, "some words, all equal") for i in range(200)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 4 > 0) for i in range(200)], "doc_id long, quality boolean") \
+        .selectExpr("doc_id", "cast(quality as int) as quality")
+    got = quality_classifier.score(docs, labels).collect()
+    assert len(got) == 200 and len({r["score"] for r in got}) == 1
+    assert abs(got[0]["score"] - 0.75) < 0.08 and {r["predicted"] for r in got} == {1}
+    assert quality_classifier.filter_documents(docs, labels).count() == 200
