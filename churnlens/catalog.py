@@ -400,6 +400,63 @@ def q_metric_query_tenure_filtered(spark, sf):
         sum_facts=["CHURNED_AT_TENURE", "customers reaching tenure"])
 
 
+@register("mq_adopted_products")
+def q_mq_adopted_products(spark, sf):
+    """Q2 as a request for native rows: adopted products by churn rate."""
+    return metrics.ask(
+        _c360(spark, sf), "VW_PRODUCT_ADOPTION", dimensions=["product", "CUSTOMERS"],
+        facts=["attrition rate", "AVG_MONTHLY_CHARGE", "AVG_CLTV", "AVG_TENURE_MONTHS"],
+        where={"product usage status": "Yes"}, order=["churn percentage DESC"], position="place")
+
+
+@register("mq_segments_by_churned_charge")
+def q_mq_segments_by_churned_charge(spark, sf):
+    """Q4: every segment, the highest churned monthly charges first."""
+    return metrics.ask(
+        _c360(spark, sf), "VW_CHURN_SEGMENTS",
+        dimensions=["DIMENSION_NAME", "SEGMENT_VALUE", "TOTAL_CUSTOMERS", "lost customers"],
+        facts=["CHURN_RATE", "churn mix", "CHURNED_MONTHLY_REVENUE"],
+        order=["CHURNED_MONTHLY_REVENUE DESC"], position="place")
+
+
+_CHURN_COLUMNS = dict(dimensions=["SEGMENT_VALUE", "TOTAL_CUSTOMERS", "CHURNED_CUSTOMERS"],
+                      facts=["CHURN_RATE", "CHURN_CONTRIBUTION"])
+
+
+@register("mq_contract_churn")
+def q_mq_contract_churn(spark, sf):
+    """Q5: contract types by churn rate."""
+    return metrics.ask(_c360(spark, sf), "VW_CHURN_SEGMENTS", **_CHURN_COLUMNS,
+                       where={"DIMENSION_NAME": "Contract"}, order=["CHURN_RATE DESC"],
+                       position="place")
+
+
+@register("mq_value_churn")
+def q_mq_value_churn(spark, sf):
+    """Q7: value segments by churn rate, NULLs last, through the named filter."""
+    return metrics.ask(_c360(spark, sf), "VW_CHURN_SEGMENTS", **_CHURN_COLUMNS,
+                       filters=["CHURN_SEGMENTS_BY_CUSTOMER_VALUE"],
+                       order=["CHURN_RATE DESC NULLS LAST"], position="place")
+
+
+@register("mq_top_customers")
+def q_mq_top_customers(spark, sf):
+    """Top k of native rows: the 50 customers of highest revenue, unknown revenue first."""
+    return metrics.ask(
+        _c360(spark, sf), "CUSTOMER_360_VIEW", dimensions=["CUSTOMER_ID", "CONTRACT", "value segment"],
+        facts=["TOTAL_REVENUE", "MONTHLY_CHARGE"],
+        order=["TOTAL_REVENUE DESC NULLS FIRST", "MONTHLY_CHARGE"], limit=50, position="place")
+
+
+@register("mq_top_groups")
+def q_mq_top_groups(spark, sf):
+    """Top k of an aggregate: the ten (offer, tenure band) groups of highest churn rate."""
+    return metrics.ask(
+        _c360(spark, sf), "CUSTOMER_360_VIEW", metrics=["CHURN_RATE", "TOTAL_CUSTOMERS"],
+        dimensions=["OFFER", "TENURE_BAND"], sum_facts=["TOTAL_REVENUE"],
+        order=["CHURN_RATE DESC", "TOTAL_CUSTOMERS DESC"], limit=10, position="place")
+
+
 @register("named_filters")
 def q_named_filters(spark, sf):
     c = _c360(spark, sf)

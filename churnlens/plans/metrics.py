@@ -1,20 +1,31 @@
 """Metric layer re-aimed from the semantic view.
 
-A registry of logical tables, each with dimensions, facts, metrics, synonyms
-and named filters, all as Spark ``Column`` expressions. ``metric_query``
-compiles a request (metrics, dimensions, filters, summed facts) into ONE
-``groupBy(dims).agg(...)`` over the logical table's DataFrame; every check
-(G7) runs while the plan is built, before any job starts.
+A registry of logical tables, each with a grain, dimensions, facts, metrics, synonyms
+and named filters, all as Spark ``Column`` expressions. A request is planned against the
+grain of its table (``plan_request``) before any job starts and is one of two kinds:
+
+* aggregated: metrics and summed facts by dimensions, ONE ``groupBy(dims).agg(...)``;
+* native: facts and dimensions of the table's own rows, no aggregation at all.
+
+Anything else is refused (G7): both kinds at once, a native request whose selected and
+pinned dimensions do not identify a row, a sum of a fact that is not additive, a sum over
+a dimension the fact may not be summed over (segments of different dimensions hold
+the same customers; a customer reaches many months), an unknown field.
 
 Metrics are defined once (a metric is two-phase: integer parts aggregated with
-partial aggregation, then one final expression), so a rate is never summed:
-asking to aggregate a non-additive fact or to sum a rate is an error.
+partial aggregation, then one final expression), so a rate is never summed.
 Unrounded metric values are single double divisions of exact integer parts,
 identical in any engine.
+
+Order belongs to the outermost query: a request's ``order`` sorts its result once, NULLs
+last unless said otherwise, and the remaining dimensions break ties, so the order
+is total and a ``limit`` (top k: every task keeps k rows) is well defined.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,14 +44,24 @@ class Metric:
     description: str = ""
 
 
+@dataclass(frozen=True)
+class NamedFilter:
+    """A dimension held at one value."""
+    dimension: str
+    value: str
+
+
 @dataclass
 class LogicalTable:
     name: str
+    grain: tuple[str, ...]                 # dimensions that identify a native row
     dimensions: dict[str, Column]
     facts: dict[str, Column]
     additive_facts: set[str]
     metrics: dict[str, Metric] = field(default_factory=dict)
-    filters: dict[str, Column] = field(default_factory=dict)
+    filters: dict[str, NamedFilter] = field(default_factory=dict)
+    # additive fact -> dimensions it must not be summed over
+    not_over: dict[str, tuple[str, ...]] = field(default_factory=dict)
     synonyms: dict[str, str] = field(default_factory=dict)
     money_facts: set[str] = field(default_factory=set)   # facts held as integer cents
 
@@ -55,6 +76,10 @@ class LogicalTable:
             return self.synonyms[key]
         raise MetricError(f"unknown field {word!r} in logical table {self.name}")
 
+    def predicate(self, name: str) -> Column:
+        f = self.filters[name]
+        return self.dimensions[f.dimension] == f.value
+
 
 def _cents(c: str) -> Column:
     return (F.col(c) * 100).cast("bigint")
@@ -113,7 +138,7 @@ def _cols(names: list[str]) -> dict[str, Column]:
 def semantic_model(unique_ids: bool = False) -> dict[str, LogicalTable]:
     """The four logical tables of the semantic view (fixed names from the reference)."""
     c360 = LogicalTable(
-        "CUSTOMER_360_VIEW",
+        "CUSTOMER_360_VIEW", grain=("CUSTOMER_ID",),
         dimensions=_cols(["AGE_BAND", "CHURN_CATEGORY", "CHURN_FLAG", "CHURN_REASON", "CITY",
                           "CLTV", "CONTRACT", "CUSTOMER_ID", "CUSTOMER_STATUS",
                           "CUSTOMER_VALUE_SEGMENT", "INTERNET_SERVICE", "INTERNET_TYPE", "OFFER",
@@ -137,12 +162,14 @@ def semantic_model(unique_ids: bool = False) -> dict[str, LogicalTable]:
         }),
     )
     curve = LogicalTable(
-        "VW_CHURN_BY_TENURE_SEGMENT",
+        "VW_CHURN_BY_TENURE_SEGMENT", grain=("DIMENSION_NAME", "SEGMENT_VALUE", "TENURE_MONTH"),
         dimensions=_cols(["DIMENSION_NAME", "SEGMENT_VALUE", "TENURE_MONTH"]),
         facts=_cols(["CHURN_RATE_AT_TENURE", "CHURNED_AT_TENURE", "CUSTOMERS_REACHING_TENURE"]),
         additive_facts={"CHURNED_AT_TENURE", "CUSTOMERS_REACHING_TENURE"},
-        filters={"CHURN_BY_TENURE_PRODUCT_DEPTH": F.col("dimension_name") == "Product Depth",
-                 "CONTRACT_CHURN_BY_TENURE": F.col("dimension_name") == "Contract"},
+        not_over={"CHURNED_AT_TENURE": ("DIMENSION_NAME",),
+                  "CUSTOMERS_REACHING_TENURE": ("DIMENSION_NAME", "TENURE_MONTH")},
+        filters={"CHURN_BY_TENURE_PRODUCT_DEPTH": NamedFilter("DIMENSION_NAME", "Product Depth"),
+                 "CONTRACT_CHURN_BY_TENURE": NamedFilter("DIMENSION_NAME", "Contract")},
         synonyms=_syn({
             "TENURE_MONTH": ["lifecycle month", "month of tenure", "tenure month"],
             "CHURN_RATE_AT_TENURE": ["churn at month", "churn by tenure", "lifecycle churn rate",
@@ -152,7 +179,7 @@ def semantic_model(unique_ids: bool = False) -> dict[str, LogicalTable]:
         }),
     )
     segments = LogicalTable(
-        "VW_CHURN_SEGMENTS",
+        "VW_CHURN_SEGMENTS", grain=("DIMENSION_NAME", "SEGMENT_VALUE"),
         dimensions=_cols(["CHURNED_CUSTOMERS", "DIMENSION_NAME", "SEGMENT_VALUE",
                           "TOTAL_CUSTOMERS"]),
         facts={**_cols(["AVG_CLTV", "AVG_MONTHLY_CHARGE", "CHURN_CONTRIBUTION", "CHURN_RATE"]),
@@ -160,7 +187,10 @@ def semantic_model(unique_ids: bool = False) -> dict[str, LogicalTable]:
                "CHURNED_MONTHLY_REVENUE": _money_cents("churned_monthly_revenue")},
         additive_facts={"CHURNED_HISTORICAL_REVENUE", "CHURNED_MONTHLY_REVENUE"},
         money_facts={"CHURNED_HISTORICAL_REVENUE", "CHURNED_MONTHLY_REVENUE"},
-        filters={"CHURN_SEGMENTS_BY_CUSTOMER_VALUE": F.col("dimension_name") == "Customer Value"},
+        not_over={"CHURNED_HISTORICAL_REVENUE": ("DIMENSION_NAME",),
+                  "CHURNED_MONTHLY_REVENUE": ("DIMENSION_NAME",)},
+        filters={"CHURN_SEGMENTS_BY_CUSTOMER_VALUE": NamedFilter("DIMENSION_NAME",
+                                                                 "Customer Value")},
         synonyms=_syn({
             "CHURNED_CUSTOMERS": _CHURNED_SYN,
             "CHURN_CONTRIBUTION": ["churn mix", "contribution to churn", "share of churn",
@@ -168,12 +198,12 @@ def semantic_model(unique_ids: bool = False) -> dict[str, LogicalTable]:
         }),
     )
     adoption = LogicalTable(
-        "VW_PRODUCT_ADOPTION",
+        "VW_PRODUCT_ADOPTION", grain=("PRODUCT_NAME", "ADOPTION_STATUS"),
         dimensions=_cols(["ADOPTION_STATUS", "CHURNED_CUSTOMERS", "CUSTOMERS", "PRODUCT_NAME"]),
         facts=_cols(["AVG_CLTV", "AVG_MONTHLY_CHARGE", "AVG_TENURE_MONTHS", "AVG_TOTAL_REVENUE",
                      "CHURN_RATE", "CUSTOMER_SHARE"]),
         additive_facts=set(),
-        filters={"NON_ADOPTED_CUSTOMERS": F.col("adoption_status") == "No"},
+        filters={"NON_ADOPTED_CUSTOMERS": NamedFilter("ADOPTION_STATUS", "No")},
         synonyms=_syn({
             "ADOPTION_STATUS": ["adopted", "product adoption", "product usage status"],
             "CHURNED_CUSTOMERS": _CHURNED_SYN,
@@ -184,68 +214,240 @@ def semantic_model(unique_ids: bool = False) -> dict[str, LogicalTable]:
     return {t.name: t for t in [c360, curve, segments, adoption]}
 
 
-def metric_query(source: DataFrame, table: str, metrics=(), dimensions=(), filters=(),
-                 sum_facts=(), model: dict[str, LogicalTable] | None = None) -> DataFrame:
-    """Evaluate governed metrics by dimensions under named filters.
+# --- G2: planning ------------------------------------------------------------------
 
-    ``source`` is the DataFrame of the logical table ``table``. Words may be
-    field names or synonyms of that table. ``sum_facts`` lists facts to SUM;
-    only facts with a default aggregation (additive) may be summed.
-    """
-    from churnlens.plans.core import ids_unique
-    unique = "customer_id" in source.columns and ids_unique(source)
-    lt = (model or semantic_model(unique)).get(table.upper())
-    if lt is None:
-        raise MetricError(f"unknown logical table {table!r}")
-    m_names = [lt.resolve(w) for w in metrics]
-    d_names = [lt.resolve(w) for w in dimensions]
-    f_names = [lt.resolve(w) for w in filters]
-    s_names = [lt.resolve(w) for w in sum_facts]
-    for m in m_names:
-        if m not in lt.metrics:
-            raise MetricError(f"{m} is not a metric of {lt.name}")
-    for d in d_names:
-        if d not in lt.dimensions:
-            raise MetricError(f"{d} is not a dimension of {lt.name}")
-    for f in f_names:
-        if f not in lt.filters:
-            raise MetricError(f"{f} is not a named filter of {lt.name}")
-    for s in s_names:
-        if s not in lt.facts:
-            raise MetricError(f"{s} is not a fact of {lt.name}")
+@dataclass(frozen=True)
+class Order:
+    """One sort key: an output field, its direction and where NULLs go (last by default)."""
+    field: str
+    descending: bool = False
+    nulls_first: bool = False
+
+    @classmethod
+    def parse(cls, text: str) -> Order:
+        """``field [ASC|DESC] [NULLS FIRST|LAST]``."""
+        m = re.fullmatch(r"(.+?)(?:\s+(ASC|DESC))?(?:\s+NULLS\s+(FIRST|LAST))?", text.strip(),
+                         re.IGNORECASE | re.DOTALL)
+        if m is None:
+            raise MetricError("an empty order key")
+        return cls(m[1], (m[2] or "").upper() == "DESC", (m[3] or "").upper() == "FIRST")
+
+    def column(self, name: str) -> Column:
+        c = F.col(name)
+        if self.descending:
+            return c.desc_nulls_first() if self.nulls_first else c.desc_nulls_last()
+        return c.asc_nulls_first() if self.nulls_first else c.asc_nulls_last()
+
+
+@dataclass(frozen=True)
+class Request:
+    """A checked request: resolved names, predicates and the order of the result."""
+    table: LogicalTable
+    dimensions: tuple[str, ...]
+    metrics: tuple[str, ...]
+    sum_facts: tuple[str, ...]
+    facts: tuple[str, ...]
+    predicates: tuple[Column, ...]
+    pins: Mapping[str, object]              # dimension -> its one value
+    order: tuple[tuple[str, Order], ...]    # output column, sort key
+    limit: int | None
+    position: str | None
+
+    @property
+    def native(self) -> bool:
+        return not self.metrics and not self.sum_facts
+
+    def outputs(self) -> list[str]:
+        return [*[x.lower() for x in (*self.dimensions, *self.facts, *self.metrics)],
+                *[f"total_{x.lower()}" for x in self.sum_facts]]
+
+
+def _checked(lt: LogicalTable, words, known, kind: str) -> tuple[str, ...]:
+    names = tuple(lt.resolve(w) for w in words)
+    for n in names:
+        if n not in known:
+            raise MetricError(f"{n} is not a {kind} of {lt.name}")
+    return names
+
+
+def _where(lt: LogicalTable, where: Mapping) -> tuple[list[Column], dict[str, object]]:
+    """Predicates on dimensions, and those that hold one at a single value. A list is any
+    of its values; None, alone or in a list, is NULL."""
+    predicates, pins = [], {}
+    for word, value in where.items():
+        name, = _checked(lt, [word], lt.dimensions, "dimension")
+        values = list(value) if isinstance(value, list | tuple | set | frozenset) else [value]
+        column = lt.dimensions[name]
+        some = [v for v in values if v is not None]
+        predicate = column.isin(some) if some else F.lit(False)
+        if len(some) < len(values):
+            predicate = column.isNull() | F.coalesce(predicate, F.lit(False))
+        predicates.append(predicate)
+        if len(values) == 1:
+            pins[name] = values[0]
+    return predicates, pins
+
+
+def plan_request(lt: LogicalTable, metrics=(), dimensions=(), filters=(), sum_facts=(), facts=(),
+                 where: Mapping | None = None, order=(), limit: int | None = None,
+                 position: str | None = None) -> Request:
+    """Check a request against the grain of its table; nothing runs here."""
+    m = _checked(lt, metrics, lt.metrics, "metric")
+    d = _checked(lt, dimensions, lt.dimensions, "dimension")
+    named = _checked(lt, filters, lt.filters, "named filter")
+    sums = _checked(lt, sum_facts, lt.facts, "fact")
+    native = _checked(lt, facts, lt.facts, "fact")
+    predicates, pins = _where(lt, where or {})
+    for f in named:
+        predicates.append(lt.predicate(f))
+        pins[lt.filters[f].dimension] = lt.filters[f].value
+    held = {*d, *pins}
+    if native and (m or sums):
+        raise MetricError("facts of native rows and aggregates do not go into one request")
+    for s in sums:
         if s not in lt.additive_facts:
             raise MetricError(f"{s} is not additive; summing it would re-aggregate a rate")
-    if not m_names and not s_names:
-        raise MetricError("nothing to compute: give metrics or facts to sum")
-
-    df = source
-    for f in f_names:
-        df = df.filter(lt.filters[f])
+        over = [x for x in lt.not_over.get(s, ()) if x not in held]
+        if over:
+            raise MetricError(f"{s} must not be summed over {', '.join(over)}: "
+                              "select it or hold it at one value")
+    if not m and not sums:
+        if not native and not d:
+            raise MetricError("nothing to compute: give metrics, facts or dimensions")
+        missing = [x for x in lt.grain if x not in held]
+        if missing:
+            raise MetricError(f"rows of {lt.name} are not identified without {', '.join(missing)}: "
+                              "select it, hold it at one value, or ask for metrics")
+    request = Request(lt, d, m, sums, native, tuple(predicates), pins, (), limit, position)
+    out = request.outputs()
+    if len(set(out)) < len(out):
+        raise MetricError("a field is asked for twice")
+    keys = []
+    for item in order:
+        o = item if isinstance(item, Order) else Order.parse(item)
+        name = o.field.strip().lower()
+        if name not in out:
+            name = lt.resolve(o.field).lower()
+        if name not in out:
+            raise MetricError(f"{o.field!r} is not in the result, so it cannot order it")
+        keys.append((name, o))
+    if (limit is not None or position) and not keys:
+        raise MetricError("a limit or a position needs an order")
+    if limit is not None and limit < 0:
+        raise MetricError("a limit is not negative")
+    if position and position.lower() in out:
+        raise MetricError(f"{position!r} is a field of the result")
+    if keys:            # the dimensions identify a row of either kind of result
+        done = {name for name, _ in keys}
+        keys += [(x.lower(), Order(x)) for x in d if x.lower() not in done]
+    return Request(lt, d, m, sums, native, tuple(predicates), pins, tuple(keys), limit, position)
+
+
+def _fact(lt: LogicalTable, name: str) -> Column:
+    """A native fact: money facts are held as cents and shown in money units."""
+    c = lt.facts[name]
+    return c.cast("double") / F.lit(100.0) if name in lt.money_facts else c
+
+
+def run_request(source: DataFrame, r: Request) -> DataFrame:
+    lt, df = r.table, source
+    for p in r.predicates:
+        df = df.filter(p)
+    dims = [lt.dimensions[d].alias(d.lower()) for d in r.dimensions]
+    if r.native:
+        out = df.select(*dims, *[_fact(lt, f).alias(f.lower()) for f in r.facts])
+        return _ordered(out, r)
     parts, seen = [], {}
-    for m in m_names:
+    for m in r.metrics:
         for pname, col in lt.metrics[m].parts.items():
             alias = f"_{m}_{pname}"
             parts.append(col.alias(alias))
             seen[(m, pname)] = alias
-    for s in s_names:
+    for s in r.sum_facts:
         parts.append(F.sum(lt.facts[s]).alias(f"_sum_{s}"))
-    g = df.groupBy(*[lt.dimensions[d].alias(d.lower()) for d in d_names]).agg(*parts)
-    out = [F.col(d.lower()) for d in d_names]
-    for m in m_names:
+    g = df.groupBy(*dims).agg(*parts)
+    out = [F.col(d.lower()) for d in r.dimensions]
+    for m in r.metrics:
         expr = lt.metrics[m].final
         for pname in lt.metrics[m].parts:
             expr = _sub(expr, pname, seen[(m, pname)])
         out.append(F.expr(expr).alias(m.lower()))
-    for s in s_names:
+    for s in r.sum_facts:
         col = F.col(f"_sum_{s}")
         if s in lt.money_facts:   # money facts are summed in exact cents
             col = col.cast("double") / F.lit(100.0)
         out.append(col.alias(f"total_{s.lower()}"))
-    return g.select(*out)
+    return _ordered(g.select(*out), r)
+
+
+def _ordered(df: DataFrame, r: Request) -> DataFrame:
+    """The one sort of a request. With a limit at most ``limit`` rows are numbered; without
+    one positions come from ranges, so no task sees all rows."""
+    if not r.order:
+        return df
+    keys = [o.column(name) for name, o in r.order]
+    if r.limit is not None:
+        df = df.orderBy(*keys).limit(r.limit)
+        if r.position:
+            df = df.withColumn(r.position, F.row_number().over(Window.orderBy(*keys)).cast("long"))
+        return df
+    if not r.position:
+        return df.orderBy(*keys)
+    from churnlens.operators.ranking import global_rank
+    return global_rank(df, keys, "_rank", "_total").select(
+        *df.columns, (F.col("_rank") + 1).alias(r.position))
+
+
+def metric_query(source: DataFrame, table: str, metrics=(), dimensions=(), filters=(),
+                 sum_facts=(), model: dict[str, LogicalTable] | None = None, **more) -> DataFrame:
+    """Governed metrics by dimensions under named filters, or native rows.
+
+    ``source`` is the DataFrame of the logical table ``table``. Words may be
+    field names or synonyms of that table. ``sum_facts`` lists facts to SUM;
+    only facts with a default aggregation (additive) may be summed. ``facts`` are facts of
+    native rows, ``where`` maps dimensions to a value or a list of values, ``order`` lists sort
+    keys (``Order`` or text), ``limit`` keeps the first rows, ``position`` names a column for
+    the place in the order.
+    """
+    from churnlens.plans.core import ids_unique
+    unique = "customer_id" in source.columns and ids_unique(source)
+    lt = _table(table, model or semantic_model(unique))
+    return run_request(source, plan_request(lt, metrics, dimensions, filters, sum_facts, **more))
+
+
+def _table(name: str, model: dict[str, LogicalTable]) -> LogicalTable:
+    lt = model.get(name.upper())
+    if lt is None:
+        raise MetricError(f"unknown logical table {name!r}")
+    return lt
+
+
+def ask(c360: DataFrame, table: str, **request) -> DataFrame:
+    """``metric_query`` on a logical table built from the 360: a dimension or product held at
+    one value builds that branch of its mart only (a filter above ``Expand`` is not pushed
+    into it)."""
+    from churnlens.plans import lifecycle, marts
+    from churnlens.plans.core import ids_unique
+    r = plan_request(_table(table, semantic_model(ids_unique(c360))), **request)
+
+    def only(dimension: str, names) -> list[str] | None:
+        return [r.pins[dimension]] if r.pins.get(dimension) in names else None
+
+    name = r.table.name
+    if name == "VW_CHURN_SEGMENTS":
+        source = marts.churn_segments(c360, only=only("DIMENSION_NAME", marts.SEGMENT_DIMENSIONS))
+    elif name == "VW_CHURN_BY_TENURE_SEGMENT":
+        source = lifecycle.churn_by_tenure_segment(
+            c360, only=only("DIMENSION_NAME", lifecycle.CURVE_DIMENSIONS))
+    elif name == "VW_PRODUCT_ADOPTION":
+        source = marts.product_adoption(c360, only=only("PRODUCT_NAME",
+                                                        [p for p, _ in marts.PRODUCTS]))
+    else:
+        source = c360
+    return run_request(source, r)
 
 
 def _sub(expr: str, name: str, alias: str) -> str:
-    import re
     return re.sub(rf"\b{re.escape(name)}\b", alias, expr)
 
 
@@ -372,8 +574,8 @@ def named_filter_counts(sources: dict[str, DataFrame]) -> DataFrame:
     for tname, lt in semantic_model().items():
         if tname not in sources:
             continue
-        for fname, pred in lt.filters.items():
-            parts.append(sources[tname].filter(pred).agg(
+        for fname in lt.filters:
+            parts.append(sources[tname].filter(lt.predicate(fname)).agg(
                 F.count(F.lit(1)).alias("rows_matched")).select(
                 F.lit(fname).alias("filter_name"), F.lit(tname).alias("logical_table"),
                 "rows_matched"))
