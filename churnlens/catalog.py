@@ -352,10 +352,18 @@ C360_PROFILE_FIELDS = ["AGE_BAND", "CHURN_CATEGORY", "CHURN_FLAG", "CHURN_REASON
 
 @register("metric_values")
 def q_metric_values(spark, sf):
-    c = _c360(spark, sf)
-    return metrics.metric_values(marts.executive_kpis(c), marts.churn_segments(c),
-                                 marts.product_adoption(c), lifecycle.churn_by_tenure(c),
-                                 marts.product_depth(c), marts.customer_value(c))
+    return metrics.metric_values(_c360(spark, sf))
+
+
+@register("metric_values_by_contract")
+def q_metric_values_by_contract(spark, sf):
+    return metrics.metric_values(_c360(spark, sf), by=["CONTRACT"])
+
+
+@register("metric_values_by_offer_value")
+def q_metric_values_by_offer_value(spark, sf):
+    """Two dimensions, one of them with NULLs, one through a synonym."""
+    return metrics.metric_values(_c360(spark, sf), by=["OFFER", "value segment"])
 
 
 @register("product_adoption_rate")

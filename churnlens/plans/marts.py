@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from churnlens.functions.exact import avg2, avg_money, index2, money, ratio4
 from churnlens.operators.reshape import unpivot_dimensions
+from churnlens.operators.tally import tally_dimensions
 from churnlens.plans.core import customer_count, ids_unique
 
 # Fixed dimension and product names of the reference's marts.
@@ -107,23 +108,36 @@ def segment_dimensions() -> dict:
     }
 
 
+def _by_dimension(c360: DataFrame, dims: dict, keep: list[str], parts: list, only: list[str] | None,
+                  name_col: str, value_col: str) -> DataFrame:
+    """``parts`` per dimension and value. With ids verified unique all parts are additive, so
+    tuples of the dimensions are tallied before the unpivot; otherwise customers are unpivoted
+    and ids counted distinct."""
+    b = with_cents(c360)
+    if ids_unique(c360):
+        chosen = {n: c for n, c in dims.items() if only is None or n in only}
+        if not chosen:
+            raise ValueError(f"no dimension selected from {list(dims)}")
+        return tally_dimensions(b, [chosen], parts, name_col=name_col, value_col=value_col)
+    long = unpivot_dimensions(b, dims, keep, only=only, name_col=name_col, value_col=value_col)
+    return long.groupBy(name_col, value_col).agg(*parts)
+
+
 def churn_segments(c360: DataFrame, only: list[str] | None = None) -> DataFrame:
-    """M2: churn by segment over eight dimensions (one scan, one Expand).
+    """M2: churn by segment over eight dimensions (one scan).
 
     Contribution denominator = all churned rows; every dimension covers every
     row once (NULL values form their own group), so the per-dimension sum of
     churned rows equals that total and comes from a window on the result.
     """
-    b = with_cents(c360)
-    long = unpivot_dimensions(b, segment_dimensions(),
-                              ["customer_id", "churn_flag", "mc_cents", "rev_cents", "cltv"],
-                              only=only)
-    g = long.groupBy("dimension_name", "segment_value").agg(
-        customer_count(c360).alias("total_customers"),
-        F.count_if(_churned()).alias("churned_customers"),
-        *_avg_parts("mc_cents", "mc"), *_avg_parts("cltv", "cltv"),
-        F.sum(F.when(_churned(), F.col("mc_cents")).otherwise(0)).alias("_ch_mc"),
-        F.sum(F.when(_churned(), F.col("rev_cents")).otherwise(0)).alias("_ch_rev"),
+    g = _by_dimension(
+        c360, segment_dimensions(), ["customer_id", "churn_flag", "mc_cents", "rev_cents", "cltv"], [
+            customer_count(c360).alias("total_customers"),
+            F.count_if(_churned()).alias("churned_customers"),
+            *_avg_parts("mc_cents", "mc"), *_avg_parts("cltv", "cltv"),
+            F.sum(F.when(_churned(), F.col("mc_cents")).otherwise(0)).alias("_ch_mc"),
+            F.sum(F.when(_churned(), F.col("rev_cents")).otherwise(0)).alias("_ch_rev"),
+        ], only, "dimension_name", "segment_value",
     ).withColumn("_all_churned", F.sum("churned_customers").over(
         Window.partitionBy("dimension_name")))
     return g.select(
@@ -144,16 +158,15 @@ def product_adoption(c360: DataFrame, only: list[str] | None = None) -> DataFram
     the grouped result partitioned by product (trap 10: 'Not Applicable' is in
     the denominator).
     """
-    b = with_cents(c360)
     dims = {name: F.coalesce(F.col(col), F.lit("Not Applicable")) for name, col in PRODUCTS}
-    long = unpivot_dimensions(b, dims, ["customer_id", "churn_flag", "mc_cents", "rev_cents",
-                                        "cltv", "tenure_in_months"],
-                              only=only, name_col="product_name", value_col="adoption_status")
-    g = long.groupBy("product_name", "adoption_status").agg(
-        customer_count(c360).alias("customers"),
-        F.count_if(_churned()).alias("churned_customers"),
-        *_avg_parts("mc_cents", "mc"), *_avg_parts("rev_cents", "rev"),
-        *_avg_parts("cltv", "cltv"), *_avg_parts("tenure_in_months", "ten"),
+    g = _by_dimension(
+        c360, dims, ["customer_id", "churn_flag", "mc_cents", "rev_cents", "cltv",
+                     "tenure_in_months"], [
+            customer_count(c360).alias("customers"),
+            F.count_if(_churned()).alias("churned_customers"),
+            *_avg_parts("mc_cents", "mc"), *_avg_parts("rev_cents", "rev"),
+            *_avg_parts("cltv", "cltv"), *_avg_parts("tenure_in_months", "ten"),
+        ], only, "product_name", "adoption_status",
     ).withColumn("_product_customers", F.sum("customers").over(
         Window.partitionBy("product_name")))
     return g.select(
@@ -245,7 +258,9 @@ def churn_reasons(c360: DataFrame) -> DataFrame:
         *_avg_parts("tenure_in_months", "ten"), *_avg_parts("mc_cents", "mc"),
         *_avg_parts("rev_cents", "rev"), *_avg_parts("cltv", "cltv"),
         *_avg_parts("satisfaction_score", "sat"),
-    ).withColumn("_all_rows", F.sum("_rows").over(_all()))
+    )
+    # reasons are free text, so the total is a one-row aggregate (broadcast), not a window
+    g = g.crossJoin(F.broadcast(b.agg(F.count(F.lit(1)).alias("_all_rows"))))
     return g.select(
         "churn_category", "churn_reason", "churned_customers",
         ratio4("churned_customers", "_all_rows").alias("churn_share"),

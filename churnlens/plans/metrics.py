@@ -477,10 +477,6 @@ LIMITATIONS = {
     "total_service_count": "Customers holding this many services (0-11).",
     "customer_value_segment": "Customers in this CLTV quartile segment; relative, not currency.",
 }
-PORTFOLIO_METRICS = ["total_customers", "churned_customers", "churn_rate", "avg_monthly_charge",
-                     "total_monthly_charges", "total_revenue", "churned_monthly_revenue",
-                     "churned_historical_revenue", "avg_cltv", "avg_tenure_months",
-                     "avg_satisfaction_score"]
 
 
 def _limitation() -> Column:
@@ -491,57 +487,113 @@ def _limitation() -> Column:
     return expr
 
 
-def metric_values(kpis: DataFrame, segments: DataFrame, adoption: DataFrame,
-                  curve: DataFrame, depth: DataFrame, value: DataFrame) -> DataFrame:
-    """G1: (dimension_name, segment_value, metric_name, metric_value, limitation).
-
-    All 21 metrics of the metric dictionary: portfolio scalars from the one-row
-    KPI mart, per-segment metrics from their marts, and the two column metrics
-    (service count, value segment) as customer distributions; all unpivoted
-    and unioned (a few hundred rows).
+def _portfolio_parts(ids: Column) -> list[Column]:
+    """Additive parts (with unique ids) from which all 21 metrics follow."""
+    churned = _churned()
+    mc, rev = _cents("monthly_charge"), _cents("total_revenue")
+    averaged = {"mc": mc, "rev": rev, "cltv": F.col("cltv"), "ten": F.col("tenure_in_months"),
+                "sat": F.col("satisfaction_score")}
+    return [ids.alias("_n"), F.count(F.lit(1)).alias("_rows"), F.count_if(churned).alias("_c"),
+            *[f(c).alias(f"_{k}_{name}") for name, c in averaged.items()
+              for k, f in (("s", F.sum), ("k", F.count))],
+            F.sum(F.when(churned, mc).otherwise(0)).alias("_c_mc"),
+            F.sum(F.when(churned, rev).otherwise(0)).alias("_c_rev")]
+
+
+def _metric_tally(c360: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., dimension_name, segment_value, parts, _all_n): the shared tally of all metrics.
+    One scan with unique ids; otherwise customers are unpivoted, ids counted distinct and
+    the distinct total comes from a second scan."""
+    from churnlens.operators.reshape import unpivot_dimensions
+    from churnlens.operators.tally import tally_dimensions
+    from churnlens.plans.core import customer_count, ids_unique
+    from churnlens.plans.marts import PRODUCTS, segment_dimensions
+    segments = {**segment_dimensions(), "Total Service Count": F.col("total_service_count")}
+    products = {name: F.coalesce(F.col(c), F.lit("Not Applicable")) for name, c in PRODUCTS}
+    months = {"Tenure Month": F.col("tenure_in_months"), "Portfolio": F.lit("All")}
+    parts = _portfolio_parts(customer_count(c360))
+    # one name per column of `by`, apart from the columns the parts read
+    base = c360.withColumns({f"_by{i}": F.col(c) for i, c in enumerate(by)})
+    keys = [f"_by{i}" for i in range(len(by))]
+    if ids_unique(c360):
+        tally = tally_dimensions(base, [segments, products, months], parts, keys)
+        whole = Window.partitionBy(*keys, "dimension_name")
+        tally = tally.withColumn("_all_n", F.sum("_n").over(whole))
+    else:
+        keep = [*keys, "customer_id", "churn_flag", "monthly_charge", "total_revenue", "cltv",
+                "tenure_in_months", "satisfaction_score"]
+        long = unpivot_dimensions(base, {**segments, **products, **months}, keep)
+        totals = base.groupBy(*keys).agg(F.count_distinct("customer_id").alias("_all_n"))
+        tally = long.groupBy(*keys, "dimension_name", "segment_value").agg(*parts)
+        if keys:
+            same = [F.col(f"t.{k}").eqNullSafe(F.col(f"a.{k}")) for k in keys]
+            tally = tally.alias("t").join(totals.alias("a"), same).select("t.*", "a._all_n")
+        else:
+            tally = tally.crossJoin(F.broadcast(totals))       # one row
+    return tally.withColumnsRenamed(dict(zip(keys, by, strict=True)))
+
+
+def metric_values(c360: DataFrame, by=()) -> DataFrame:
+    """G1: (by..., dimension_name, segment_value, metric_name, metric_value, limitation).
+
+    All 21 metrics of the metric dictionary in each group of the dimensions ``by`` (names or
+    synonyms of CUSTOMER_360_VIEW; none: the whole portfolio): portfolio scalars, per-segment
+    metrics, and the two column metrics (service count, value segment) as customer
+    distributions. Shares, contributions and indexes are relative to the group's own total.
+    Everything is derived from one grouped tally of the 360; windows see one dimension
+    of one group.
     """
-    port = kpis.select(F.lit("Portfolio").alias("dimension_name"),
-                       F.lit("All").alias("segment_value"),
-                       *[F.col(c).cast("double").alias(c) for c in PORTFOLIO_METRICS]
-                       ).unpivot(["dimension_name", "segment_value"], PORTFOLIO_METRICS,
-                                 "metric_name", "metric_value")
-    seg = segments.select("dimension_name", "segment_value", F.lit("churn_contribution")
-                          .alias("metric_name"),
-                          F.col("churn_contribution").cast("double").alias("metric_value"))
-    share = adoption.select(F.col("product_name").alias("dimension_name"),
-                            F.col("adoption_status").alias("segment_value"),
-                            F.lit("customer_share").alias("metric_name"),
-                            F.col("customer_share").cast("double").alias("metric_value"))
-    tcols = ["customers_reaching_tenure", "churned_at_tenure", "churn_rate_at_tenure"]
-    ten = curve.select(F.lit("Tenure Month").alias("dimension_name"),
-                       F.col("tenure_month").cast("string").alias("segment_value"),
-                       *[F.col(c).cast("double").alias(c) for c in tcols]).unpivot(
-        ["dimension_name", "segment_value"], tcols, "metric_name", "metric_value")
-    index = depth.select(F.lit("Total Service Count").alias("dimension_name"),
-                         F.col("total_service_count").cast("string").alias("segment_value"),
-                         F.lit("churn_index").alias("metric_name"),
-                         F.col("churn_index").cast("double").alias("metric_value"))
-    rshare = value.select(F.lit("Customer Value").alias("dimension_name"),
-                          F.col("customer_value_segment").alias("segment_value"),
-                          F.lit("revenue_share").alias("metric_name"),
-                          F.col("revenue_share").cast("double").alias("metric_value"))
-    rate = product_adoption_rate(adoption).select(
-        F.col("product_name").alias("dimension_name"), F.lit("Yes").alias("segment_value"),
-        F.lit("product_adoption_rate").alias("metric_name"),
-        F.col("adoption_rate").cast("double").alias("metric_value"))
-    # column metrics (service count, value segment): their customer distribution
-    svc = depth.select(F.lit("Total Service Count").alias("dimension_name"),
-                       F.col("total_service_count").cast("string").alias("segment_value"),
-                       F.lit("total_service_count").alias("metric_name"),
-                       F.col("customers").cast("double").alias("metric_value"))
-    vseg = value.select(F.lit("Customer Value").alias("dimension_name"),
-                        F.col("customer_value_segment").alias("segment_value"),
-                        F.lit("customer_value_segment").alias("metric_name"),
-                        F.col("customers").cast("double").alias("metric_value"))
-    out = port
-    for part in (seg, share, ten, index, rshare, rate, svc, vseg):
-        out = out.unionByName(part)
-    return out.withColumn("limitation", _limitation())
+    from churnlens.functions.exact import avg2, avg_money, index2, money, ratio4
+    from churnlens.plans.marts import PRODUCTS, SEGMENT_DIMENSIONS
+    lt = semantic_model()["CUSTOMER_360_VIEW"]
+    keys = [n.lower() for n in _checked(lt, by, lt.dimensions, "dimension")]
+    if len(set(keys)) < len(keys):
+        raise MetricError("a dimension is asked for twice")
+    dimension, segment = F.col("dimension_name"), F.col("segment_value")
+    whole = Window.partitionBy(*keys, "dimension_name")
+    later = whole.orderBy(F.col("_month").desc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    status = {name: F.sum(F.when(segment == value, F.col("_n")).otherwise(0)).over(whole)
+              for name, value in (("_yes", "Yes"), ("_no", "No"))}
+    t = _metric_tally(c360, keys).withColumn(
+        "_month", F.when(dimension == "Tenure Month", segment.cast("long")))
+    t = t.withColumns({
+        "_all_c": F.sum("_c").over(whole), "_sum_n": F.sum("_n").over(whole),
+        "_all_rev": F.sum("_s_rev").over(whole), **status,
+        "_reaching": F.sum("_rows").over(later),
+        "_first": F.row_number().over(whole.orderBy(segment.asc_nulls_last())) == 1})
+
+    def row(name: str, value: Column, shown: Column = segment) -> Column:
+        return F.struct(shown.alias("segment_value"), F.lit(name).alias("metric_name"),
+                        value.cast("double").alias("metric_value"))
+
+    portfolio = [row(*x) for x in (
+        ("total_customers", F.col("_n")), ("churned_customers", F.col("_c")),
+        ("churn_rate", ratio4("_c", "_n")), ("avg_monthly_charge", avg_money("_s_mc", "_k_mc")),
+        ("total_monthly_charges", money("_s_mc")), ("total_revenue", money("_s_rev")),
+        ("churned_monthly_revenue", money("_c_mc")),
+        ("churned_historical_revenue", money("_c_rev")), ("avg_cltv", avg2("_s_cltv", "_k_cltv")),
+        ("avg_tenure_months", avg2("_s_ten", "_k_ten")),
+        ("avg_satisfaction_score", avg2("_s_sat", "_k_sat")))]
+    contribution = row("churn_contribution", ratio4("_c", "_all_c"))
+    value = [contribution, row("revenue_share", ratio4("_s_rev", "_all_rev")),
+             row("customer_value_segment", F.col("_n"))]
+    depth = [row("churn_index", index2("_c", "_n", "_all_c", "_all_n")),
+             row("total_service_count", F.col("_n"))]
+    month = [row("customers_reaching_tenure", F.col("_reaching")),
+             row("churned_at_tenure", F.col("_c")),
+             row("churn_rate_at_tenure", ratio4("_c", "_reaching"))]
+    share = row("customer_share", ratio4("_n", "_sum_n"))
+    rate = row("product_adoption_rate", ratio4("_yes", "_yes + _no"), F.lit("Yes"))
+    rows = F.when(dimension == "Portfolio", F.array(*portfolio)) \
+        .when(dimension == "Customer Value", F.array(*value)) \
+        .when(dimension.isin(SEGMENT_DIMENSIONS), F.array(contribution)) \
+        .when(dimension == "Total Service Count", F.array(*depth)) \
+        .when(F.col("_month").isNotNull(), F.array(*month)) \
+        .when(dimension.isin([p for p, _ in PRODUCTS]),
+              F.when(F.col("_first"), F.array(share, rate)).otherwise(F.array(share)))
+    return t.select(*keys, "dimension_name", F.explode(rows).alias("_r")) \
+        .select(*keys, "dimension_name", "_r.*").withColumn("limitation", _limitation())
 
 
 # --- Product adoption rate (trap 10) --------------------------------------------------
