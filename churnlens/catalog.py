@@ -222,6 +222,13 @@ def q_dq_domains(spark, sf):
     return quality.domains(_raw(spark, sf))
 
 
+@register("dq_domain_discovery")
+def q_dq_domain_discovery(spark, sf):
+    """D12 for the columns without a fixed list, and for the free-text city of the locations."""
+    return quality.domain_discovery(
+        _raw(spark, sf), {**quality.DISCOVERED, "churn_location": ["city", "state"]})
+
+
 @register("core_grain")
 def q_core_grain(spark, sf):
     return quality.uniqueness({"customer_360_view": _c360(spark, sf)})
@@ -479,6 +486,17 @@ def q_field_profile(spark, sf):
     return metrics.field_profile(_c360(spark, sf), C360_PROFILE_FIELDS)
 
 
+@register("field_profiles")
+def q_field_profiles(spark, sf):
+    """G6 for all four logical tables, every column."""
+    c = _c360(spark, sf)
+    return metrics.logical_profiles({
+        "CUSTOMER_360_VIEW": c,
+        "VW_CHURN_BY_TENURE_SEGMENT": lifecycle.churn_by_tenure_segment(c),
+        "VW_CHURN_SEGMENTS": marts.churn_segments(c),
+        "VW_PRODUCT_ADOPTION": marts.product_adoption(c)})
+
+
 @register("adhoc_payment_contract")
 def q_adhoc_payment_contract(spark, sf):
     """A2: payment × contract, all combinations, no size cut-off (through G2)."""

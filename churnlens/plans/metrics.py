@@ -25,6 +25,7 @@ is total and a ``limit`` (top k: every task keeps k rows) is well defined.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -640,47 +641,72 @@ def named_filter_counts(sources: dict[str, DataFrame]) -> DataFrame:
 # --- G6: field profile ------------------------------------------------------------------
 
 TOP_K = 3
-PROFILE_BUCKETS = 64
 
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 
-def field_profile(df: DataFrame, fields: list[str], buckets: int | None = None) -> DataFrame:
-    """Per field: rows, NULLs, distinct values, min, max and the 3 most frequent values.
 
-    One unpivot and one group-by (field, value). The top-3 is exact and
-    distributed: first the top 3 inside (field, hash(value) mod B) — each
-    bucket a separate window partition — then the top 3 of those ≤ 3·B
-    candidates per field. A field with a billion distinct values is therefore
-    never sorted in one task. B defaults to the session's shuffle partition
-    count (at least 64), so it grows with the cluster. Ties are broken by the
-    value, ascending.
-    """
-    if buckets is None:
-        buckets = max(PROFILE_BUCKETS,
-                      int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "64")))
-    long = df.select(*[F.col(f.lower()).cast("string").alias(f) for f in fields]).unpivot(
+def _canonical(df: DataFrame, column: str) -> Column:
+    """A value as text, the same in any engine: floating values with six decimals."""
+    kind = dict(df.dtypes)[column]
+    c = F.col(f"`{column}`")
+    if kind in ("double", "float"):
+        return F.coalesce(c.try_cast("decimal(38,6)").cast("string"), c.cast("string"))
+    return c.cast("string")
+
+
+def _numeric(df: DataFrame, column: str) -> bool:
+    kind = dict(df.dtypes)[column]
+    return kind in (*_WHOLE, "double", "float") or kind.startswith("decimal")
+
+
+def field_tally(df: DataFrame, fields: list[str]) -> DataFrame:
+    """(field_name, value, n): rows per field and value, written once — all that a profile
+    needs, from one scan."""
+    from churnlens.session import materialize
+    columns = {f: next(c for c in df.columns if c.lower() == f.lower()) for f in fields}
+    long = df.select(*[_canonical(df, c).alias(f) for f, c in columns.items()]).unpivot(
         [], fields, "field_name", "value")
-    g = long.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    stats = g.groupBy("field_name").agg(
+    return materialize(long.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n")),
+                       f"field-tally-{uuid.uuid4().hex[:12]}")
+
+
+def field_profile(df: DataFrame, fields: list[str] | None = None,
+                  buckets: int | None = None) -> DataFrame:
+    """Per field (all columns if none are named): rows, NULLs, distinct values, min, max and the 3
+    most frequent values.
+
+    One scan: everything comes from the materialised tally of (field, value). Minimum and maximum
+    are those of the field's type (numbers compare as numbers). The top 3 is exact and
+    distributed (``operators.topk``).
+    """
+    from churnlens.operators.topk import top_values
+    fields = list(fields or df.columns)
+    numeric = [f for f in fields
+               if _numeric(df, next(c for c in df.columns if c.lower() == f.lower()))]
+    tally = field_tally(df, fields)
+    number = F.when(F.col("field_name").isin(numeric), F.col("value").try_cast("decimal(38,6)"))
+
+    def end(by_number, by_text) -> Column:
+        return F.when(F.col("field_name").isin(numeric), by_number("value", number)) \
+            .otherwise(by_text("value"))
+
+    stats = tally.groupBy("field_name").agg(
         F.sum("n").alias("rows"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_values"),
-        F.count("value").alias("distinct_values"))
-    order = [F.col("n").desc(), F.col("value").asc()]
-    vals = g.filter(F.col("value").isNotNull()).withColumn(
-        "_b", F.pmod(F.hash("value"), F.lit(buckets)))
-    local = vals.withColumn("_r", F.row_number().over(
-        Window.partitionBy("field_name", "_b").orderBy(*order))).filter(F.col("_r") <= TOP_K)
-    top = local.withColumn("_r", F.row_number().over(
-        Window.partitionBy("field_name").orderBy(*order))).filter(F.col("_r") <= TOP_K)
-    top = top.groupBy("field_name").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("_r", "value"))), lambda x: x["value"]), " | ")
-        .alias("top_values"))
-    # typed min / max (numbers compare as numbers), one pass, then unpivoted
-    mm = df.agg(*[x for f in fields for x in (
-        F.min(f.lower()).cast("string").alias(f"min_{f}"),
-        F.max(f.lower()).cast("string").alias(f"max_{f}"))])
-    mm = mm.select(F.explode(F.array(*[F.struct(
-        F.lit(f).alias("field_name"), F.col(f"min_{f}").alias("min_value"),
-        F.col(f"max_{f}").alias("max_value")) for f in fields])).alias("m")).select("m.*")
-    return stats.join(top, "field_name", "left").join(mm, "field_name", "left").select(
+        F.count("value").alias("distinct_values"),
+        end(F.min_by, F.min).alias("min_value"), end(F.max_by, F.max).alias("max_value"))
+    top = top_values(tally, "field_name", TOP_K, buckets).groupBy("field_name").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))),
+                                 lambda x: x["value"]), " | ").alias("top_values"))
+    return stats.join(top, "field_name", "left").select(
         "field_name", "rows", "null_values", "distinct_values", "min_value", "max_value",
         "top_values")
+
+
+def logical_profiles(sources: dict[str, DataFrame]) -> DataFrame:
+    """``field_profile`` of all columns of every logical table given, with its name."""
+    out = None
+    for name, df in sources.items():
+        part = field_profile(df).select(F.lit(name).alias("logical_table"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.functions.exact import money, pct2
@@ -118,13 +118,14 @@ def zip_reconciliation(location: DataFrame, population: DataFrame) -> DataFrame:
 def distribution(df: DataFrame, cols: list[str], pct: bool = True) -> DataFrame:
     """Rows per value combination, optionally with % of all rows.
 
-    The percentage's denominator is a window over the grouped result (one row
-    per value), the reference's ``SUM(COUNT(*)) OVER ()``.
+    The percentage's denominator (the reference's ``SUM(COUNT(*)) OVER ()``) is a one-row
+    aggregate that is broadcast: dirty labels may have any number of values, so no
+    window gathers them in one task.
     """
     g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("customers"))
     if not pct:
         return g
-    g = g.withColumn("_all", F.sum("customers").over(Window.partitionBy()))
+    g = g.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("_all"))))
     return g.select(*cols, "customers", pct2("customers", "_all").alias("pct_customers"))
 
 
@@ -182,6 +183,59 @@ def domains(raw: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
+# Columns without a fixed list of values: their domain is what the data mostly hold.
+DISCOVERED = {"churn_services": ["contract", "payment_method", "internet_type", "offer"]}
+MEMBER_SHARE = 0.01       # of a column's non-NULL rows; so a domain has at most 100 values
+REPORTED = 10             # out-of-domain values shown per column
+
+
+def domain_discovery(raw: dict[str, DataFrame], columns: dict[str, list[str]] | None = None,
+                     allowed: dict[str, list[str]] | None = None) -> DataFrame:
+    """The values of columns whose domain is not fixed, and what lies outside it.
+
+    A value belongs to a column's domain if it has at least ``MEMBER_SHARE`` of the non-NULL rows,
+    or, for columns in ``allowed``, if it is listed there. Per column: rows, NULLs, the domain's
+    values in order, rows and different values outside it, and the ``REPORTED`` most
+    frequent of these with their counts. Empty columns have an empty domain.
+
+    One scan per table: tuples of the columns are tallied, unpivoted and counted; the rest
+    reads that tally, which grows with the different values only and is never in one task.
+    """
+    from churnlens.operators.tally import tally_dimensions
+    from churnlens.operators.topk import top_values
+    parts = []
+    for t, names in (columns or DISCOVERED).items():
+        if t not in raw:
+            continue
+        tally = tally_dimensions(raw[t], [{c: F.col(c) for c in names}],
+                                 [F.count(F.lit(1)).alias("n")], name_col="column_name",
+                                 value_col="value")
+        totals = tally.groupBy("column_name").agg(
+            F.sum("n").alias("rows_checked"),
+            F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("known"))
+        member = F.col("n") >= F.col("known") * F.lit(MEMBER_SHARE)
+        for c, values in (allowed or {}).items():
+            member = F.when(F.col("column_name") == c, F.col("value").isin(values)).otherwise(member)
+        judged = tally.join(totals, "column_name").withColumn("member", member)
+        inside = F.when(F.col("value").isNotNull() & F.col("member"), F.col("value"))
+        outside = F.col("value").isNotNull() & ~F.col("member")
+        stats = judged.groupBy("column_name").agg(
+            F.max("rows_checked").alias("rows_checked"),
+            (F.max("rows_checked") - F.max("known")).alias("null_values"),
+            F.array_join(F.sort_array(F.collect_set(inside)), " | ").alias("domain_values"),
+            F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("out_of_domain"),
+            F.count_if(outside).alias("out_of_domain_values"))
+        shown = F.concat("value", F.lit(" ("), F.col("n").cast("string"), F.lit(")"))
+        top = top_values(judged.filter(outside), "column_name", REPORTED).groupBy("column_name").agg(
+            F.array_join(F.transform(
+                F.array_sort(F.collect_list(F.struct("place", shown.alias("shown")))),
+                lambda x: x["shown"]), " | ").alias("reported"))
+        parts.append(stats.join(top, "column_name", "left").select(
+            _name(t), "column_name", "rows_checked", "null_values", "domain_values",
+            "out_of_domain", "out_of_domain_values", F.coalesce("reported", F.lit("")).alias("reported")))
+    return _union(parts)
+
+
 # --- CORE validation -------------------------------------------------------------
 
 def core_join_completeness(c360: DataFrame) -> DataFrame:
