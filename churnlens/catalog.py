@@ -224,9 +224,9 @@ def q_dq_domains(spark, sf):
 
 @register("dq_domain_discovery")
 def q_dq_domain_discovery(spark, sf):
-    """D12 for the columns without a fixed list, and for the free-text city of the locations."""
+    """D12 for the columns without a fixed list, and for two with rare values."""
     return quality.domain_discovery(
-        _raw(spark, sf), {**quality.DISCOVERED, "churn_location": ["city", "state"]})
+        _raw(spark, sf), {**quality.DISCOVERED, "churn_demographics": ["age", "number_of_dependents"]})
 
 
 @register("core_grain")
@@ -306,7 +306,7 @@ def q_adhoc_payment_profile(spark, sf):
 @register("adhoc_above_average")
 def q_adhoc_above_average(spark, sf):
     c = _c360(spark, sf)
-    return verified.above_average(marts.churn_segments(c), marts.executive_kpis(c))
+    return verified.above_average(marts.churn_segments(c, by_quarter=True), marts.executive_kpis(c))
 
 
 @register("dash_kpis")
@@ -348,6 +348,13 @@ def q_business_format(spark, sf):
     return business_format(gap)
 
 
+@register("business_format_segments")
+def q_business_format_segments(spark, sf):
+    """B6 on the segment mart: percentages, counts, money and CLTV."""
+    from churnlens.functions.fmt import business_format
+    return business_format(marts.churn_segments(_c360(spark, sf)))
+
+
 # --- Metric layer (G1-G7) and A2 -------------------------------------------------
 
 C360_PROFILE_FIELDS = ["AGE_BAND", "CHURN_CATEGORY", "CHURN_FLAG", "CHURN_REASON", "CITY", "CLTV",
@@ -547,13 +554,24 @@ def q_result_match(spark, sf):
 @register("cross_layer_agreement")
 def q_cross_layer_agreement(spark, sf):
     c = _c360(spark, sf)
+    model = metrics.semantic_model(core_plans.ids_unique(c))
+    model["CUSTOMER_360_VIEW"].dimensions["SNAPSHOT_QUARTER"] = F.col("snapshot_quarter")
     mq = metrics.metric_query(c, "CUSTOMER_360_VIEW",
                               metrics=["CHURNED_CUSTOMERS", "TOTAL_MONTHLY_CHARGES"],
-                              dimensions=["CHURN_FLAG"]).filter(F.col("churn_flag") == 1)
-    mq = mq.select("churned_customers",
+                              dimensions=["SNAPSHOT_QUARTER"], where={"CHURN_FLAG": 1}, model=model)
+    mq = mq.select("snapshot_quarter", "churned_customers",
                    F.col("total_monthly_charges").alias("total_monthly_charges_churned"))
-    return reconcile.cross_layer(marts.executive_kpis(c), marts.churn_segments(c),
-                                 marts.customer_value(c), mq)
+    return reconcile.cross_layer(marts.executive_kpis(c), marts.churn_segments(c, by_quarter=True),
+                                 marts.customer_value(c, by_quarter=True), mq)
+
+
+@register("run_regressions")
+def q_run_regressions(spark, sf):
+    """Each nation's average order value, answered at yearly cut-offs, against the final one."""
+    from churnlens.sources.runs import order_value_answers, order_value_expected
+    star = _star(spark, sf)
+    return reconcile.run_regressions(reconcile.judge_runs(order_value_answers(star),
+                                                          order_value_expected(star)))
 
 
 # --- Response logs (J1-J8) and triage (J9) ---------------------------------------
@@ -610,4 +628,9 @@ def q_log_result_rows(spark, sf):
 
 @register("question_triage")
 def q_question_triage(spark, sf):
-    return triage.triage_summary(_star(spark, sf)["conversations"])
+    """Every user turn and every question derived from the customers."""
+    from churnlens.sources.questions import question_rows
+    star = _star(spark, sf)
+    turns = star["conversations"].filter(F.col("role") == "user").select("text")
+    return triage.triage_summary(turns.unionByName(
+        question_rows(star["customer"], star["nation"]).select("text")))

@@ -109,8 +109,8 @@ def segment_dimensions() -> dict:
 
 
 def _by_dimension(c360: DataFrame, dims: dict, keep: list[str], parts: list, only: list[str] | None,
-                  name_col: str, value_col: str) -> DataFrame:
-    """``parts`` per dimension and value. With ids verified unique all parts are additive, so
+                  name_col: str, value_col: str, by: list[str]) -> DataFrame:
+    """``parts`` per group of ``by``, dimension and value. With ids verified unique all parts are additive, so
     tuples of the dimensions are tallied before the unpivot; otherwise customers are unpivoted
     and ids counted distinct."""
     b = with_cents(c360)
@@ -118,18 +118,26 @@ def _by_dimension(c360: DataFrame, dims: dict, keep: list[str], parts: list, onl
         chosen = {n: c for n, c in dims.items() if only is None or n in only}
         if not chosen:
             raise ValueError(f"no dimension selected from {list(dims)}")
-        return tally_dimensions(b, [chosen], parts, name_col=name_col, value_col=value_col)
-    long = unpivot_dimensions(b, dims, keep, only=only, name_col=name_col, value_col=value_col)
-    return long.groupBy(name_col, value_col).agg(*parts)
+        return tally_dimensions(b, [chosen], parts, by, name_col=name_col, value_col=value_col)
+    long = unpivot_dimensions(b, dims, [*by, *keep], only=only, name_col=name_col,
+                              value_col=value_col)
+    return long.groupBy(*by, name_col, value_col).agg(*parts)
 
 
-def churn_segments(c360: DataFrame, only: list[str] | None = None) -> DataFrame:
-    """M2: churn by segment over eight dimensions (one scan).
+def _quarter(by_quarter: bool) -> list[str]:
+    return ["snapshot_quarter"] if by_quarter else []
+
+
+def churn_segments(c360: DataFrame, only: list[str] | None = None,
+                   by_quarter: bool = False) -> DataFrame:
+    """M2: churn by segment over eight dimensions (one scan), of the whole 360 or of each
+    snapshot quarter (a first column; contributions are then the quarter's).
 
     Contribution denominator = all churned rows; every dimension covers every
     row once (NULL values form their own group), so the per-dimension sum of
     churned rows equals that total and comes from a window on the result.
     """
+    by = _quarter(by_quarter)
     g = _by_dimension(
         c360, segment_dimensions(), ["customer_id", "churn_flag", "mc_cents", "rev_cents", "cltv"], [
             customer_count(c360).alias("total_customers"),
@@ -137,11 +145,11 @@ def churn_segments(c360: DataFrame, only: list[str] | None = None) -> DataFrame:
             *_avg_parts("mc_cents", "mc"), *_avg_parts("cltv", "cltv"),
             F.sum(F.when(_churned(), F.col("mc_cents")).otherwise(0)).alias("_ch_mc"),
             F.sum(F.when(_churned(), F.col("rev_cents")).otherwise(0)).alias("_ch_rev"),
-        ], only, "dimension_name", "segment_value",
+        ], only, "dimension_name", "segment_value", by,
     ).withColumn("_all_churned", F.sum("churned_customers").over(
-        Window.partitionBy("dimension_name")))
+        Window.partitionBy(*by, "dimension_name")))
     return g.select(
-        "dimension_name", "segment_value", "total_customers", "churned_customers",
+        *by, "dimension_name", "segment_value", "total_customers", "churned_customers",
         ratio4("churned_customers", "total_customers").alias("churn_rate"),
         ratio4("churned_customers", "_all_churned").alias("churn_contribution"),
         avg_money("_s_mc", "_n_mc").alias("avg_monthly_charge"),
@@ -166,7 +174,7 @@ def product_adoption(c360: DataFrame, only: list[str] | None = None) -> DataFram
             F.count_if(_churned()).alias("churned_customers"),
             *_avg_parts("mc_cents", "mc"), *_avg_parts("rev_cents", "rev"),
             *_avg_parts("cltv", "cltv"), *_avg_parts("tenure_in_months", "ten"),
-        ], only, "product_name", "adoption_status",
+        ], only, "product_name", "adoption_status", [],
     ).withColumn("_product_customers", F.sum("customers").over(
         Window.partitionBy("product_name")))
     return g.select(
@@ -218,10 +226,13 @@ def product_depth(c360: DataFrame) -> DataFrame:
     )
 
 
-def customer_value(c360: DataFrame) -> DataFrame:
-    """M5: by value segment and quartile; contribution and revenue shares."""
+def customer_value(c360: DataFrame, by_quarter: bool = False) -> DataFrame:
+    """M5: by value segment and quartile; contribution and revenue shares, of the whole 360 or
+    of each snapshot quarter (a first column)."""
     b = with_cents(c360)
-    g = b.groupBy("customer_value_segment", "cltv_quartile").agg(
+    by = _quarter(by_quarter)
+    whole = Window.partitionBy(*by)        # at most a few quartile rows
+    g = b.groupBy(*by, "customer_value_segment", "cltv_quartile").agg(
         customer_count(c360).alias("customers"),
         F.count_if(_churned()).alias("churned_customers"),
         *_avg_parts("cltv", "cltv"),
@@ -230,12 +241,12 @@ def customer_value(c360: DataFrame) -> DataFrame:
         F.sum(F.when(_churned(), F.col("mc_cents")).otherwise(0)).alias("_ch_mc"),
         *_avg_parts("tenure_in_months", "ten"),
     ).withColumns({
-        "_all_churned": F.sum("churned_customers").over(_all()),
-        "_all_rev": F.sum("_s_rev").over(_all()),
-        "_all_ch_mc": F.sum("_ch_mc").over(_all()),
+        "_all_churned": F.sum("churned_customers").over(whole),
+        "_all_rev": F.sum("_s_rev").over(whole),
+        "_all_ch_mc": F.sum("_ch_mc").over(whole),
     })
     return g.select(
-        "customer_value_segment", "cltv_quartile", "customers", "churned_customers",
+        *by, "customer_value_segment", "cltv_quartile", "customers", "churned_customers",
         ratio4("churned_customers", "customers").alias("churn_rate"),
         ratio4("churned_customers", "_all_churned").alias("churn_contribution"),
         avg2("_s_cltv", "_n_cltv").alias("avg_cltv"), "min_cltv", "max_cltv",

@@ -26,11 +26,17 @@ def reconcile(actual: DataFrame, expected: DataFrame) -> DataFrame:
     A metric missing on either side is reported as MISSING (full outer join).
     """
     j = actual.join(expected, "metric", "full_outer")
-    diff = F.abs(F.col("actual") - F.col("expected"))
-    return j.select(
-        "metric", "actual", "expected", "tolerance", diff.alias("abs_difference"),
-        F.when(F.col("actual").isNull() | F.col("expected").isNull(), "MISSING")
-        .when(diff <= F.col("tolerance"), "PASS").otherwise("FAIL").alias("status"))
+    return j.select("metric", "actual", "expected", "tolerance",
+                    _difference().alias("abs_difference"), _status().alias("status"))
+
+
+def _difference():
+    return F.abs(F.col("actual") - F.col("expected"))
+
+
+def _status():
+    return F.when(F.col("actual").isNull() | F.col("expected").isNull(), "MISSING") \
+        .when(_difference() <= F.col("tolerance"), "PASS").otherwise("FAIL")
 
 
 def result_match(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -66,6 +72,16 @@ def result_match(left: DataFrame, right: DataFrame) -> DataFrame:
          & F.lit(not missing and not extra)).alias("match"))
 
 
+def judge_runs(answers: DataFrame, expected: DataFrame) -> DataFrame:
+    """``answers(run_id, run_order, question_id, actual)`` against
+    ``expected(question_id, expected, tolerance)`` by the rule of R1 →
+    (run_id, run_order, question_id, passed). An answer that is NULL, or to a question without
+    an expected value, has not passed. Expected values are one row per question, so no
+    question's answers multiply."""
+    j = answers.join(expected, "question_id", "left")
+    return j.select("run_id", "run_order", "question_id", (_status() == "PASS").alias("passed"))
+
+
 def run_regressions(results: DataFrame) -> DataFrame:
     """``results(run_id, run_order, question_id, passed)`` → one row per run.
 
@@ -88,39 +104,37 @@ def run_regressions(results: DataFrame) -> DataFrame:
 
 def cross_layer(kpis: DataFrame, segments: DataFrame, value: DataFrame,
                 metric_totals: DataFrame) -> DataFrame:
-    """Churned customers and churned monthly charges from four layers.
+    """Churned customers and churned monthly charges from four layers, per quarter.
 
-    Returns (layer, scope, metric, value, portfolio, agrees). Each of the eight
-    segment dimensions covers every row once, so its sum must equal the
-    portfolio value; the value-segment mart and the metric layer must agree too.
+    All inputs have ``snapshot_quarter``. Returns (snapshot_quarter, layer, scope, metric, value,
+    portfolio, agrees). Each of the eight segment dimensions covers every row of a
+    quarter once, so its sum must equal that quarter's portfolio value; the
+    value-segment mart and the metric layer must agree too. A quarter that the KPI mart
+    lacks has no portfolio value and does not agree.
     """
-    portfolio = kpis.select(
-        F.col("churned_customers").cast("double").alias("p_churned"),
-        F.col("churned_monthly_revenue").alias("p_ch_mc"))
-    seg = segments.groupBy("dimension_name").agg(
-        F.sum("churned_customers").cast("double").alias("churned_customers"),
-        (F.sum(F.round(F.col("churned_monthly_revenue") * 100).cast("bigint"))
-         .cast("double") / 100).alias("churned_monthly_revenue")
-    ).select(F.lit("segments").alias("layer"), F.col("dimension_name").alias("scope"),
-             "churned_customers", "churned_monthly_revenue")
-    val = value.agg(
-        F.sum("churned_customers").cast("double").alias("churned_customers"),
-        (F.sum(F.round(F.col("churned_monthly_revenue") * 100).cast("bigint"))
-         .cast("double") / 100).alias("churned_monthly_revenue")
-    ).select(F.lit("customer_value").alias("layer"), F.lit("All").alias("scope"),
-             "churned_customers", "churned_monthly_revenue")
-    met = metric_totals.select(
-        F.lit("metric_layer").alias("layer"), F.lit("All").alias("scope"),
-        F.col("churned_customers").cast("double").alias("churned_customers"),
-        F.col("total_monthly_charges_churned").alias("churned_monthly_revenue"))
-    kp = kpis.select(F.lit("executive_kpis").alias("layer"), F.lit("All").alias("scope"),
-                     F.col("churned_customers").cast("double").alias("churned_customers"),
-                     "churned_monthly_revenue")
-    layers = reduce(lambda a, b: a.unionByName(b), [kp, seg, val, met])
-    long = layers.unpivot(["layer", "scope"], ["churned_customers", "churned_monthly_revenue"],
-                          "metric", "value")
-    j = long.crossJoin(F.broadcast(portfolio))   # one row per snapshot
-    p = F.when(F.col("metric") == "churned_customers", F.col("p_churned")).otherwise(
-        F.col("p_ch_mc"))
-    return j.select("layer", "scope", "metric", "value", p.alias("portfolio"),
-                    (F.abs(F.col("value") - p) < F.lit(0.005)).alias("agrees"))
+    measures = ["churned_customers", "churned_monthly_revenue"]
+
+    def summed(df: DataFrame, layer: str, scope) -> DataFrame:
+        """A quarter's sums: counts, and money in exact cents."""
+        return df.groupBy("snapshot_quarter", scope.alias("scope")).agg(
+            F.sum("churned_customers").cast("double").alias("churned_customers"),
+            (F.sum(F.round(F.col("churned_monthly_revenue") * 100).cast("bigint"))
+             .cast("double") / 100).alias("churned_monthly_revenue")
+        ).withColumn("layer", F.lit(layer))
+
+    every = F.lit("All")
+    layers = reduce(lambda a, b: a.unionByName(b), [
+        summed(kpis, "executive_kpis", every),
+        summed(segments, "segments", F.col("dimension_name")),
+        summed(value, "customer_value", every),
+        summed(metric_totals.withColumnRenamed("total_monthly_charges_churned",
+                                               "churned_monthly_revenue"), "metric_layer", every)])
+    long = layers.unpivot(["snapshot_quarter", "layer", "scope"], measures, "metric", "value")
+    portfolio = kpis.select(F.col("snapshot_quarter").alias("_quarter"),
+                            *[F.col(m).cast("double").alias(m) for m in measures]) \
+        .unpivot("_quarter", measures, "_metric", "portfolio")
+    j = long.join(portfolio, F.col("snapshot_quarter").eqNullSafe(F.col("_quarter"))
+                  & (F.col("metric") == F.col("_metric")), "left")
+    agrees = F.coalesce(F.abs(F.col("value") - F.col("portfolio")) < F.lit(0.005), F.lit(False))
+    return j.select("snapshot_quarter", "layer", "scope", "metric", "value", "portfolio",
+                    agrees.alias("agrees"))

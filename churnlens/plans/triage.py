@@ -2,7 +2,9 @@
 
 The hosted service applies 14 written rules through a language model; this
 reproduces the *rules* as an ordered keyword classifier (the first matching
-rule wins), built from each rule's own example phrases. It labels a question
+rule wins). Most rules are lists of example phrases. Two are conditions on what a question
+lacks: one that compares churn without naming a measure has to be asked back, and one
+that names nothing the data cover is out of scope. The classifier labels a question
 with a category and whether answering it needs SQL at all. It is a column
 expression (``rlike`` chain), so a table of a billion questions is classified
 in one projection.
@@ -55,6 +57,28 @@ RULES = [
 ]
 DEFAULT = ("supported", True)
 
+# Fixed word lists of the two conditions.
+CHURN_TERMS = ["churn", "churned", "churning", "attrition"]
+COMPARISONS = ["highest", "lowest", "most", "least", "top", "worst", "best", "biggest", "largest",
+               "rank", "ranked", "ranking", "compare", "compared", "comparison", "which", "where"]
+MEASURES = ["rate", "rates", "percentage", "percentages", "percent", "share", "shares",
+            "contribution", "contributions", "contribute", "contributes", "number", "numbers",
+            "count", "counts", "volume", "volumes", "how many", "churned customers", "charge",
+            "charges", "revenue", "revenues", "cltv", "lifetime value", "gap", "gaps"]
+DOMAIN_TERMS = [
+    "customer", "customers", "churn", "churned", "churning", "attrition", "status", "product",
+    "products", "service", "services", "adoption", "adopted", "contract", "contracts", "payment",
+    "payments", "offer", "offers", "revenue", "revenues", "charge", "charges", "cltv",
+    "lifetime value", "tenure", "lifecycle", "segment", "segments", "satisfaction", "reason",
+    "reasons", "age", "gender", "city", "cities", "location", "locations", "zip", "internet",
+    "phone", "streaming", "referral", "referrals"]
+
+#: (category, needs SQL, a term of each list occurs, no term of the list occurs)
+CONDITIONS = [
+    ("unclear_measure", False, [CHURN_TERMS, COMPARISONS], MEASURES),
+    ("out_of_scope", False, [], DOMAIN_TERMS),
+]
+
 
 def _phrase(p: str) -> str:
     e = re.escape(p.lower()).replace("\\ ", " ")
@@ -66,18 +90,28 @@ def rule_pattern(phrases: list[str]) -> str:
     return f"(^|[^a-z])({alts})([^a-z]|$)"
 
 
+def _words(terms: list[str]) -> str:
+    return f"(^|[^a-z])({'|'.join(re.escape(t).replace(chr(92) + ' ', ' ') for t in terms)})([^a-z]|$)"
+
+
 def category(text: str | Column) -> Column:
-    t = F.lower(F.col(text) if isinstance(text, str) else text)
+    """NULL is an empty question, which is out of scope."""
+    t = F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+    conditions = [(name, t.rlike(rule_pattern(phrases))) for name, _, phrases in RULES]
+    for name, _, wanted, unwanted in CONDITIONS:
+        holds = ~t.rlike(_words(unwanted))
+        for terms in wanted:
+            holds = holds & t.rlike(_words(terms))
+        conditions.append((name, holds))
     expr = None
-    for name, _, phrases in RULES:
-        cond = t.rlike(rule_pattern(phrases))
+    for name, cond in conditions:
         expr = F.when(cond, name) if expr is None else expr.when(cond, name)
     return expr.otherwise(DEFAULT[0])
 
 
 def needs_sql(cat: str | Column) -> Column:
     c = F.col(cat) if isinstance(cat, str) else cat
-    no_sql = [name for name, sql, _ in RULES if not sql]
+    no_sql = [rule[0] for rule in (*RULES, *CONDITIONS) if not rule[1]]
     return ~c.isin(*no_sql)
 
 
@@ -86,7 +120,7 @@ def triage(df: DataFrame, text_col: str = "text") -> DataFrame:
     return out.withColumn("needs_sql", needs_sql("category"))
 
 
-def triage_summary(conversations: DataFrame) -> DataFrame:
-    """Questions (user turns) per category, over the whole texts."""
-    q = triage(conversations.filter(F.col("role") == "user"))
+def triage_summary(questions: DataFrame) -> DataFrame:
+    """Questions per category, over the whole texts."""
+    q = triage(questions)
     return q.groupBy("category", "needs_sql").agg(F.count(F.lit(1)).alias("questions"))

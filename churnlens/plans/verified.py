@@ -103,19 +103,20 @@ def payment_profile(segments: DataFrame) -> DataFrame:
 
 
 def above_average(segments: DataFrame, kpis: DataFrame) -> DataFrame:
-    """A3: segments above BOTH portfolio averages (monthly charge and churn rate).
+    """A3: segments above BOTH averages (monthly charge and churn rate) of their quarter.
 
-    The benchmark is the one-row KPI result (broadcast, one row per quarter —
-    there is one snapshot). Segments of different dimensions overlap and must
+    ``segments`` is the mart by quarter, ``kpis`` has one row per quarter; each quarter's segments
+    meet their own benchmark only. Segments of different dimensions overlap and must
     not be summed.
     """
-    bench = kpis.select(F.col("avg_monthly_charge").alias("benchmark_avg_monthly_charge"),
+    bench = kpis.select(F.col("snapshot_quarter").alias("_quarter"),
+                        F.col("avg_monthly_charge").alias("benchmark_avg_monthly_charge"),
                         F.col("churn_rate").alias("benchmark_churn_rate"))
-    j = segments.crossJoin(F.broadcast(bench))
+    j = segments.join(bench, F.col("snapshot_quarter").eqNullSafe(F.col("_quarter")))
     return j.filter((F.col("avg_monthly_charge") > F.col("benchmark_avg_monthly_charge"))
                     & (F.col("churn_rate") > F.col("benchmark_churn_rate"))).select(
-        "dimension_name", "segment_value", "total_customers", "churned_customers",
-        "churn_rate", "avg_monthly_charge", "benchmark_avg_monthly_charge",
+        "snapshot_quarter", "dimension_name", "segment_value", "total_customers",
+        "churned_customers", "churn_rate", "avg_monthly_charge", "benchmark_avg_monthly_charge",
         "benchmark_churn_rate")
 
 
