@@ -1,11 +1,12 @@
 """Connected components of an undirected edge table, by contraction rounds.
 
 Each round every vertex points at the smallest vertex among itself and its
-neighbours, pointers are shortened once, and edges are rewritten to the pointers
-of their ends; edges inside one pointer disappear. The vertices with edges left
-shrink by a constant factor a round in the usual case, and every round writes
-its tables to shared storage (no growing lineage, nothing on the driver but a
-row count). Hub vertices cost nothing extra: minima are pre-aggregated before
+neighbours. Pointers only fall, so they form trees; they are doubled until every vertex points at
+its root (a chain of n pointers takes log2(n) doublings), and edges are rewritten to the
+roots of their ends; edges inside one tree disappear. Only vertices smaller than all their
+neighbours stay roots, so a chain in any order of ids ends after a few rounds. Every step writes
+its tables to shared storage (no growing lineage, nothing on the driver but whether
+rows are left). Hub vertices cost nothing extra: minima are pre-aggregated before
 the shuffle, and joins go against tables with one row per vertex, which AQE can
 split on the skewed side.
 """
@@ -18,9 +19,16 @@ from pyspark.sql import functions as F
 from churnlens.llm.common import save
 
 
-def _shorten(pointers: DataFrame) -> DataFrame:
-    nxt = pointers.select(F.col("v").alias("p"), F.col("p").alias("q"))
-    return pointers.join(nxt, "p", "left").select("v", F.coalesce("q", "p").alias("p"))
+def _roots(pointers: DataFrame) -> DataFrame:
+    """Pointers doubled until they all point at roots."""
+    while True:
+        nxt = pointers.select(F.col("v").alias("p"), F.col("p").alias("q"))
+        doubled = save(pointers.join(nxt, "p").select("v", F.col("q").alias("p"),
+                                                      (F.col("q") != F.col("p")).alias("moved")),
+                       "pointers")
+        pointers = doubled.select("v", "p")
+        if doubled.where("moved").isEmpty():
+            return pointers
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -33,7 +41,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         both = left.select(F.col("y").alias("v"), F.col("x").alias("p")).unionByName(
             left.select(F.col("x").alias("v"), F.col("x").alias("p")))
         pointers = save(both.groupBy("v").agg(F.min("p").alias("p")), "pointers")
-        pointers = save(_shorten(pointers), "pointers")
+        pointers = _roots(pointers)
         if found is None:
             found = pointers.select("v", F.col("p").alias("component"))
         else:

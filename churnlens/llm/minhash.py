@@ -26,8 +26,8 @@ The only approximation is the chance that a pair at the threshold shares no band
 batch). Links are never wrong: they are confirmed on full sets.
 
 Cases: NULL or word-less text has no shingles and links with nothing; texts under
-five words are one shingle; rows that share a doc_id count as one node; a NULL
-doc_id has component NULL and is kept; exact ties of similarity need no rule as
+five words are one shingle; rows that share a doc_id count as one node (``keep_one`` leaves one of
+those with equal texts); a NULL doc_id has component NULL and is kept; exact ties of similarity need no rule as
 links are unordered; an empty table gives an empty result; extra columns are
 ignored by ``near_duplicates`` and kept by ``keep_one``.
 """
@@ -296,7 +296,15 @@ def near_duplicates(docs: DataFrame, pct: int = THRESHOLD_PCT) -> DataFrame:
 
 def keep_one(docs: DataFrame, pct: int = THRESHOLD_PCT) -> DataFrame:
     """The documents, with all columns, without those that have a smaller doc_id in
-    their component."""
+    their component; of rows with equal doc_id and text any one."""
     gone = near_duplicates(docs, pct).where(~F.col("kept")).select(
         F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    kept = docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    again = save(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again"))
+                 .agg(F.count("*").alias("n")).where("n > 1").select("_again"), "again")
+    if again.isEmpty():
+        return kept
+    # texts are only grouped where an id repeats; equal rows combine before the shuffle
+    same = kept["doc_id"] == F.col("_again")
+    return kept.join(again, same, "left_anti").unionByName(
+        kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from churnlens.llm import minhash, packing, quality_rules, substring_dedup
+from churnlens.llm import components, minhash, packing, quality_rules, substring_dedup
 from churnlens.llm.common import save
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -19,6 +19,9 @@ def _prose(seed, n):
         rng.choice("abcdeilnorst") for _ in range(rng.randint(2, 9))) for _ in range(n))
 
 
+BASE = _prose(77, 60)
+
+
 @pytest.fixture(scope="module")
 def sf_dir(spark, tmp_path_factory):
     at = str(tmp_path_factory.mktemp("sf"))
@@ -108,3 +111,29 @@ def test_bands_follow_the_threshold():
         assert (1 - (pct / 100) ** minhash.band_rows(pct)) ** minhash.BANDS <= 4e-5
     with pytest.raises(ValueError):
         minhash.band_rows(5)
+
+
+def test_one_of_equal_rows_stays(spark):
+    rows = [(1, BASE, "a"), (1, BASE, "a"), (1, BASE, "b"), (1, "other words of one id", "a"),
+            (2, BASE, "a"), (3, "alone", "a"), (None, BASE, "a"), (None, BASE, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n string")
+    got = [(r["doc_id"], r["text"]) for r in minhash.keep_one(docs, pct=80).collect()]
+    assert sorted(got, key=str) == sorted([(1, BASE), (1, "other words of one id"), (3, "alone"),
+                                           (None, BASE), (None, BASE)], key=str)
+
+
+@pytest.mark.parametrize("order", ["ascending", "descending", "random"])
+def test_chains_take_few_rounds(spark, monkeypatch, order):
+    ids = list(range(2000))
+    if order == "descending":
+        ids.reverse()
+    if order == "random":
+        random.Random(4).shuffle(ids)
+    chain = list(zip(ids, ids[1:], strict=False))
+    rounds = []
+    save = components.save
+    monkeypatch.setattr(components, "save", lambda df, label: rounds.append(label) or save(df, label))
+    edges = spark.createDataFrame([*chain, (5000, 5001), (5001, 5001), (None, 3)], "a long, b long")
+    got = {r["v"]: r["component"] for r in components.components(edges, "a", "b").collect()}
+    assert got == {**dict.fromkeys(range(2000), 0), 5000: 5000, 5001: 5000}
+    assert rounds.count("edges") - 1 <= 15 and len(rounds) <= 60
