@@ -1,8 +1,8 @@
 """Operator 10 — MinHash near-duplicates with sequential Bayesian verification.
 
 1. One pass over the texts gives each document its shingle count, a 128-bit digest
-   of its shingle set and the hashes of ``BANDS`` bands of its MinHash signature; the
-   rows of a band follow from the threshold (8 at 0.85, 5 at 0.80, see ``band_rows``).
+   of its shingle set and the hashes of the bands of its MinHash signature; bands and
+   rows follow from the threshold (32 x 8 at 0.85, 48 x 7 at 0.80, see ``band_plan``).
    Documents with equal sets form a class; only class representatives (smallest
    doc_id) go on, so thousands of copies cost one row.
 2. Representatives that share a band value meet in a bucket. Buckets are joined
@@ -50,7 +50,7 @@ from churnlens.llm.components import components
 
 SHINGLE = 5
 THRESHOLD_PCT = 85
-BANDS, ROWS = 32, 8
+BANDS, MOST_BANDS, ROWS = 32, 48, 8
 BATCH = 32
 MISS = 1e-6
 NO_BAND = 4e-5
@@ -58,7 +58,7 @@ BLOCK = 256
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
-_K = BANDS * ROWS
+_K = MOST_BANDS * ROWS
 
 
 def _odd_constants(n: int, seed: int) -> np.ndarray:
@@ -92,16 +92,18 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(_mix(out))
 
 
-def band_rows(pct: int) -> int:
-    """The most rows a band can have so that a pair at the threshold shares none of the
-    ``BANDS`` bands with a chance of at most ``NO_BAND``."""
+def band_plan(pct: int) -> tuple[int, int]:
+    """(bands, rows): the most rows of a band, so that few pairs below the threshold meet by chance,
+    for which ``BANDS`` to ``MOST_BANDS`` bands suffice: a pair at the threshold shares no
+    band with a chance of at most ``NO_BAND``."""
     for rows in range(ROWS, 0, -1):
-        if (1 - (pct / 100) ** rows) ** BANDS <= NO_BAND:
-            return rows
-    raise ValueError(f"{BANDS} bands are too few for a threshold of {pct} %")
+        for bands in range(BANDS, MOST_BANDS + 1, 16):
+            if (1 - (pct / 100) ** rows) ** bands <= NO_BAND:
+                return bands, rows
+    raise ValueError(f"{MOST_BANDS} bands are too few for a threshold of {pct} %")
 
 
-def signature(hashes: np.ndarray, k: int = _K) -> np.ndarray:
+def signature(hashes: np.ndarray, k: int = BANDS * ROWS) -> np.ndarray:
     """MinHash signature (uint32) of a non-empty set, in slices of bounded memory."""
     best = np.full(k, np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(0, len(hashes), 4096):
@@ -110,13 +112,13 @@ def signature(hashes: np.ndarray, k: int = _K) -> np.ndarray:
     return (best >> np.uint64(32)).astype(np.uint32)
 
 
-def band_keys(sig: np.ndarray) -> list[int]:
-    rows = len(sig) // BANDS
+def band_keys(sig: np.ndarray, bands: int = BANDS) -> list[int]:
+    rows = len(sig) // bands
     return [xxhash.xxh3_64_intdigest(sig[b * rows:(b + 1) * rows].tobytes(), b + 1) - 2 ** 63
-            for b in range(BANDS)]
+            for b in range(bands)]
 
 
-def least_matches(threshold: float, miss: float = MISS, hashes: int = _K,
+def least_matches(threshold: float, miss: float = MISS, hashes: int = BANDS * ROWS,
                   batch: int = BATCH) -> list[int]:
     """After n = batch, 2 batch, ... compared hashes: the fewest matches for which
     P(similarity >= threshold | matches), under a uniform prior, is at least ``miss``.
@@ -133,18 +135,18 @@ def least_matches(threshold: float, miss: float = MISS, hashes: int = _K,
     return out
 
 
-def _signatures(rows: int):
+def _signatures(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, digest, bands = [], [], []
+            n, digest, keys = [], [], []
             for text in batch.column("text"):
                 s = shingle_set(text.as_py())
                 n.append(len(s))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                bands.append(band_keys(signature(s, BANDS * rows)) if len(s) else None)
+                keys.append(band_keys(signature(s, bands * rows), bands) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(bands, pa.list_(pa.int64()))],
+                 pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "digest", "bands"])
     return run
 
@@ -165,11 +167,11 @@ class _Union:
         return i != j
 
 
-def _candidates(sigs: np.ndarray, side: np.ndarray, least: list[int]) -> np.ndarray:
+def _candidates(sigs: np.ndarray, side: np.ndarray, least: list[int], n_bands: int) -> np.ndarray:
     """Pairs (i, j, matches) that share a band and pass every batch; with two
     sides, only pairs across them (a block against another one)."""
     n = len(sigs)
-    bands = sigs.reshape(n, BANDS, -1)
+    bands = sigs.reshape(n, n_bands, -1)
     keep = []
     for i in range(n - 1):
         j = np.arange(i + 1, n)
@@ -202,10 +204,11 @@ def _unit_links(ids: list, texts: list, sides: np.ndarray, pct: int) -> list[tup
     full = [i for i, s in enumerate(sets) if len(s)]
     if len(full) < 2:
         return []
-    k = BANDS * band_rows(pct)
+    bands, rows = band_plan(pct)
+    k = bands * rows
     sigs = np.stack([signature(sets[i], k) for i in full])
     found, union = [], _Union(len(full))
-    pairs = _candidates(sigs, sides[full], least_matches(pct / 100, hashes=k))
+    pairs = _candidates(sigs, sides[full], least_matches(pct / 100, hashes=k), bands)
     for i, j, _ in sorted(pairs, key=lambda p: (-p[2], p[0], p[1])):
         if union.root(i) != union.root(j) and linked(sets[full[i]], sets[full[j]], pct):
             union.join(i, j)
@@ -271,7 +274,7 @@ def near_duplicates(docs: DataFrame, pct: int = THRESHOLD_PCT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept — one row per input row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = save(rows.mapInArrow(
-        _signatures(band_rows(pct)), "doc_id long, n_shingles long, digest binary, bands array<long>"), "signed")
+        _signatures(*band_plan(pct)), "doc_id long, n_shingles long, digest binary, bands array<long>"), "signed")
     classes = save(signed.where("digest is not null and doc_id is not null").groupBy("digest")
                    .agg(F.min("doc_id").alias("rep")), "classes")
     reps = signed.join(classes, (signed.doc_id == classes.rep) &

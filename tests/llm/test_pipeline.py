@@ -106,11 +106,12 @@ def test_near_copies_between_80_and_85_go(spark, sf_dir):
 
 
 def test_bands_follow_the_threshold():
-    assert [minhash.band_rows(p) for p in (80, 85, 95)] == [5, 8, 8]
-    for pct in (50, 70, 80, 85):
-        assert (1 - (pct / 100) ** minhash.band_rows(pct)) ** minhash.BANDS <= 4e-5
+    assert [minhash.band_plan(p) for p in (80, 85, 95)] == [(48, 7), (32, 8), (32, 8)]
+    for pct in (60, 70, 80, 85, 90, 99):
+        bands, rows = minhash.band_plan(pct)
+        assert (1 - (pct / 100) ** rows) ** bands <= 4e-5
     with pytest.raises(ValueError):
-        minhash.band_rows(5)
+        minhash.band_plan(5)
 
 
 def test_one_of_equal_rows_stays(spark):
