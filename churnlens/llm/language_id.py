@@ -162,10 +162,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def training_texts(docs: DataFrame, per_language: int = MAX_PER_LANGUAGE) -> DataFrame:
     """lang, text: about ``per_language`` texts of each language, one per doc_id."""
     known = docs.where("doc_id is not null and lang is not null")
-    shares = known.groupBy("lang").agg(F.count("*").alias("n")).select(
-        "lang", F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n")).alias("share"))
-    return known.select("doc_id", "lang", "text").join(shares, "lang") \
-        .where((F.xxhash64("doc_id") / F.lit(2.0 ** 64) + 0.5) <= F.col("share")) \
+    # one number per language, as a literal: the texts are filtered where they are read
+    shares = {r["lang"]: min(1.0, per_language / r["n"])
+              for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not shares:
+        return known.select("lang", "text")
+    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
+    return known.select("doc_id", "lang", "text") \
+        .where((F.xxhash64("doc_id") / F.lit(2.0 ** 64) + 0.5) <= share) \
         .groupBy("doc_id", "lang").agg(F.max("text").alias("text")).select("lang", "text")
 
 
