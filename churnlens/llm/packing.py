@@ -6,15 +6,19 @@
 2. Their length histogram (at most ``CAPACITY`` rows, whatever the corpus) goes to
    the driver. The covering program "fewest sequences so that the configurations
    (multisets of lengths that fit) cover every length as often as it occurs" is
-   solved by multiplicative weights: every round prices the lengths by their
-   weights, a knapsack dynamic program finds the most valuable configuration, it
-   is used until its scarcest length is covered by a step, and the weights of its
-   lengths shrink.
-3. Rounding: the fractional plan is scaled to the tokens of the histogram and rounded,
-   never beyond the pieces there are; what it leaves is packed best fit decreasing
-   over the histogram. Plain best fit decreasing of the whole histogram is computed
-   as well and the shorter of the two plans is used, so a loose program can never
-   cost a sequence.
+   solved by multiplicative weights, until every length is covered. A length starts at
+   the price of its tokens, which falls exponentially with the share of it that is
+   covered; a knapsack dynamic program finds the configuration of most value, and from
+   the same table those of nearly that value that start with another length that lags.
+   Each is used until its scarcest length has gained a step, so the rounds are bounded by
+   lengths / step, whatever the counts. Prices over the value of the best configuration are a dual
+   solution: the largest one met bounds the sequences of any plan from below.
+3. Rounding: scaled to the tokens of the histogram, configurations of at least the plan's
+   mean filling that hold a piece over half a sequence (which needs one of its own in any
+   plan) are rounded to whole numbers, the longest pieces first and never beyond the pieces
+   there are. What they leave, mostly fractions of configurations and small pieces, is
+   repaired by best fit decreasing over its histogram. The largest share of the program's
+   plan (``SHARES``) is kept that needs no more sequences than a smaller share of it.
 4. Assignment is distributed: pieces get their rank within their length from counts
    per (partition, length), and the plan, as one interval table per length, tells
    each rank its sequence and offset. No sort, no group that holds a length's
@@ -42,8 +46,16 @@ from churnlens.llm.common import save
 
 CAPACITY = 1024
 END_ID = 2
-ROUNDS = 200
-STEP = 0.1
+#: The share of its scarcest length that a use of a configuration covers is lengths / ``PACE``,
+#: at most 1 and at least ``FINEST``: few lengths are priced finely, many in bounded time.
+PACE = 1000
+FINEST = 0.05
+#: Parts of the program's plan that are tried as whole configurations.
+SHARES = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1)
+#: Configurations tried from one knapsack table, and the least value of theirs, relative
+#: to the best one's.
+STARTS = 24
+NEARLY = 0.98
 _CACHE_UNITS = 400_000
 _PIECES = ("part int, local long, doc_id long, piece int, start long, length long, "
            "ids_crc32 long")
@@ -151,58 +163,81 @@ def _tokenise(path: str, capacity: int) -> Callable:
 
 # --- the plan ------------------------------------------------------------------------------
 
-def best_configuration(value: np.ndarray, capacity: int, most: np.ndarray) -> dict[int, int]:
-    """Most valuable multiset of lengths that fits: bounded knapsack, dynamic program.
+class Knapsack:
+    """Bounded knapsack over lengths, dynamic program: the most valuable multiset of lengths for
+    every capacity up to ``capacity``.
 
     ``value[l]`` is the worth of length l (0: not offered); a length is used at most
     ``most[l]`` times (its copies are offered in bundles of 1, 2, 4, ...)."""
-    bundles = []
-    for length in np.flatnonzero(value > 0).tolist():
-        copies, k = min(int(most[length]), capacity // length), 1
-        while copies > 0:
-            bundles.append((length, min(k, copies)))
-            copies -= k
-            k *= 2
-    best = np.zeros(capacity + 1)
-    taken = np.zeros((len(bundles), capacity + 1), dtype=bool)
-    for row, (length, k) in zip(taken, bundles, strict=True):
-        size = length * k
-        worth = best[:capacity + 1 - size] + value[length] * k
-        np.greater(worth, best[size:], out=row[size:])
-        np.maximum(best[size:], worth, out=best[size:])
-    out: dict[int, int] = {}
-    room = capacity
-    for i in range(len(bundles) - 1, -1, -1):
-        if taken[i, room]:
-            length, k = bundles[i]
+
+    def __init__(self, value: np.ndarray, capacity: int, most: np.ndarray):
+        self._bundles = []
+        for length in np.flatnonzero(value > 0).tolist():
+            copies, k = min(int(most[length]), capacity // length), 1
+            while copies > 0:
+                self._bundles.append((length, min(k, copies)))
+                copies -= k
+                k *= 2
+        self.best = np.zeros(capacity + 1)
+        self._taken = np.zeros((len(self._bundles), capacity + 1), dtype=bool)
+        for row, (length, k) in zip(self._taken, self._bundles, strict=True):
+            size = length * k
+            worth = self.best[:capacity + 1 - size] + value[length] * k
+            np.greater(worth, self.best[size:], out=row[size:])
+            np.maximum(self.best[size:], worth, out=self.best[size:])
+
+    def configuration(self, room: int) -> dict[int, int]:
+        """length → items of the best multiset that fits ``room``."""
+        out: dict[int, int] = {}
+        below = len(self._bundles)
+        while (rows := np.flatnonzero(self._taken[:below, room])).size:
+            below = int(rows[-1])
+            length, k = self._bundles[below]
             out[length] = out.get(length, 0) + k
             room -= length * k
-    return out
+        return out
+
+
+def best_configuration(value: np.ndarray, capacity: int, most: np.ndarray) -> dict[int, int]:
+    """Most valuable multiset of lengths that fits."""
+    return Knapsack(value, capacity, most).configuration(capacity)
 
 
-def fractional_plan(counts: np.ndarray, capacity: int, rounds: int = ROUNDS,
-                    step: float = STEP) -> list[tuple[dict[int, int], float]]:
-    """Configurations with fractional multiplicities that cover the counts."""
+def fractional_plan(counts: np.ndarray, capacity: int) -> tuple[dict[tuple, float], float]:
+    """Configurations (longest length first) with fractional multiplicities that cover all
+    counts, and the program's dual bound on the number of sequences."""
     need = counts.astype(float)
-    have = np.flatnonzero(need)
+    tokens = np.arange(capacity + 1) / capacity
     cover = np.zeros(capacity + 1)
     used: dict[tuple, float] = {}
-    for _ in range(rounds):
-        done = np.zeros(capacity + 1)
-        done[have] = cover[have] / need[have]
-        weight = np.zeros(capacity + 1)
-        weight[have] = np.exp(-(done[have] - done[have].min()) / step)
-        value = np.zeros(capacity + 1)
-        value[have] = weight[have] / need[have]
-        config = best_configuration(value, capacity, counts)
-        if not config:
-            break
-        amount = step * min(need[length] / n for length, n in config.items())
-        key = tuple(sorted(config.items()))
-        used[key] = used.get(key, 0.0) + amount
-        for length, n in config.items():
-            cover[length] += amount * n
-    return [(dict(k), x) for k, x in used.items()]
+    bound = 0.0
+    step = min(1.0, max(FINEST, np.count_nonzero(counts) / PACE))
+    while True:
+        done = np.where(need > 0, cover / np.maximum(need, 1), 1.0)
+        lags = done < 1 - 1e-9
+        if not lags.any():
+            return used, bound
+        low = done[lags].min()
+        value = np.where(lags, tokens * np.exp((low - done) / step), 0.0)
+        priced = Knapsack(value, capacity, counts)
+        worth = priced.best[capacity]
+        bound = max(bound, float((value * need).sum() / worth))
+        # the first of them is the best configuration; the others must earn their use
+        starts = np.flatnonzero(lags & (done <= low + step / 2))[::-1][:STARTS].tolist()
+        for first in [0, *starts]:
+            config = priced.configuration(capacity - first)
+            if first:
+                config[first] = config.get(first, 0) + 1
+                if config[first] > counts[first] \
+                        or sum(value[x] * n for x, n in config.items()) < NEARLY * worth \
+                        or any(cover[x] >= need[x] * min(1.0, low + 2 * step) for x in config):
+                    continue
+            amount = min(step * min(need[x] / n for x, n in config.items()),
+                         max((need[x] - cover[x]) / n for x, n in config.items()))
+            key = tuple(sorted(config.items(), reverse=True))
+            used[key] = used.get(key, 0.0) + amount
+            for x, n in config.items():
+                cover[x] += amount * n
 
 
 def best_fit_decreasing(counts: np.ndarray, capacity: int) -> dict[tuple, int]:
@@ -250,51 +285,61 @@ def best_fit_decreasing(counts: np.ndarray, capacity: int) -> dict[tuple, int]:
     return out
 
 
-def _round_up(rounded: dict[tuple, int], left: np.ndarray, capacity: int) -> None:
-    """Whole configurations for what rounding left over: the same pricing, now by the
-    tokens filled and then by what is hardest to place, each configuration used until
-    one of its lengths runs out. Ends when no configuration fills a sequence."""
-    lengths = np.arange(capacity + 1)
-    while left.any():
-        # whole tokens first, then the longer pieces (their squares sum to less than one)
-        value = np.where(left > 0, lengths + 0.9 * (lengths / capacity) ** 2, 0.0)
-        config = best_configuration(value, capacity, left)
-        if sum(length * n for length, n in config.items()) < capacity:
-            return
-        times = min(int(left[length]) // n for length, n in config.items())
-        key = tuple(sorted(config.items(), reverse=True))
-        rounded[key] = rounded.get(key, 0) + times
-        for length, n in config.items():
-            left[length] -= n * times
+def _tokens(config: tuple) -> int:
+    return sum(length * n for length, n in config)
 
 
-def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
-    """(configuration as ((length, items), ...), sequences) covering exactly the counts."""
-    plain = best_fit_decreasing(counts, capacity)
+def rounded_plan(counts: np.ndarray, fractional: dict[tuple, float], share: float,
+                 filled: float) -> tuple[dict[tuple, int], np.ndarray]:
+    """Whole configurations from a share of the program's plan, those that hold ``filled`` tokens
+    or more, and the counts that they leave."""
     rounded: dict[tuple, int] = {}
-    left = counts.astype(np.int64).copy()
-    # a full-size piece has one configuration; it needs no program
-    if left[capacity]:
-        rounded[((capacity, 1),)] = int(left[capacity])
-        left[capacity] = 0
-    todo = left.copy()
-    fractional = fractional_plan(left, capacity) if left.any() else []
+    left = counts.copy()
+    capacity = len(counts) - 1
+    held = sum(x * _tokens(config) for config, x in fractional.items())
     # the size at which the plan holds as many tokens as the pieces have
-    tokens = int((todo * np.arange(capacity + 1)).sum())
-    held = sum(x * n * length for config, x in fractional for length, n in config.items())
-    scale = held / tokens if tokens else 1.0
-    for config, x in sorted(fractional, key=lambda f: -f[1]):
-        times = min([round(x / scale), *[int(left[length]) // n for length, n in config.items()]])
+    scale = share * float((left * np.arange(capacity + 1)).sum()) / held
+    for config, x in sorted(fractional.items(), reverse=True):
+        if 2 * config[0][0] < capacity or _tokens(config) < filled:
+            continue
+        times = min([round(x * scale), *[int(left[length]) // n for length, n in config]])
         if times > 0:
-            key = tuple(sorted(config.items(), reverse=True))
-            rounded[key] = rounded.get(key, 0) + times
-            for length, n in config.items():
+            rounded[config] = times
+            for length, n in config:
                 left[length] -= n * times
-    _round_up(rounded, left, capacity)
-    for config, n in best_fit_decreasing(left, capacity).items():
-        rounded[config] = rounded.get(config, 0) + n
-    chosen = rounded if sum(rounded.values()) <= sum(plain.values()) else plain
-    return sorted(chosen.items())
+    return rounded, left
+
+
+def solve(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[dict[tuple, int], dict[tuple, int]]:
+    """(configurations from the program, repair of what they leave): together they cover
+    exactly the counts."""
+    left = counts.astype(np.int64).copy()
+    # a full-size piece has one configuration; it needs no program
+    whole = {((capacity, 1),): int(left[capacity])} if left[capacity] else {}
+    left[capacity] = 0
+    if not left.any():
+        return whole, {}
+    fractional, _ = fractional_plan(left, capacity)
+    mean = int(sum(x * _tokens(config) for config, x in fractional.items())
+               / sum(fractional.values()))
+    fullest = max(map(_tokens, fractional))
+    found, fewest = None, 0
+    for filled in sorted({mean, fullest}):
+        for share in SHARES:
+            rounded, rest = rounded_plan(left, fractional, share, filled)
+            repair = best_fit_decreasing(rest, capacity)
+            n = sum(rounded.values()) + sum(repair.values())
+            if found is None or n < fewest:
+                found, fewest = (rounded, repair), n
+    return {**whole, **found[0]}, found[1]
+
+
+def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
+    """(configuration as ((length, items), ...), sequences) covering exactly the counts."""
+    planned, repair = solve(counts, capacity)
+    for config, n in repair.items():
+        planned[config] = planned.get(config, 0) + n
+    return sorted(planned.items())
 
 
 def intervals(planned: list[tuple[tuple, int]], capacity: int = CAPACITY) -> dict[int, np.ndarray]:

@@ -221,6 +221,38 @@ def test_plan_covers_the_histogram(seed):
     assert -(-tokens // 64) <= sequences <= sum(packing.best_fit_decreasing(counts, 64).values())
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_program_covers_everything_and_gives_most_sequences(seed):
+    rng = np.random.default_rng(seed)
+    counts = np.zeros(257, dtype=np.int64)
+    np.add.at(counts, np.clip(rng.lognormal(4, 1, 20_000).astype(int), 1, 256), 1)
+    below = counts.copy()
+    below[256] = 0
+    fractional, bound = packing.fractional_plan(below, 256)
+    cover = np.zeros(257)
+    for config, x in fractional.items():
+        assert packing._tokens(config) <= 256
+        for length, n in config:
+            cover[length] += x * n
+    assert (cover >= below - 1e-6).all()
+    assert bound <= sum(fractional.values()) + 1e-6
+    # the price of a token alone gives the volume bound
+    assert bound >= (below * np.arange(257)).sum() / 256 - 1e-6
+    rounded, repair = packing.solve(counts, 256)
+    total = sum(rounded.values()) + sum(repair.values())
+    assert sum(n for _, n in packing.plan(counts, 256)) == total
+    assert sum(rounded.values()) >= 0.8 * total
+    assert counts[256] + bound <= total + 1e-6 and total <= 1.002 * (counts[256] + bound) + 2
+
+
+def test_program_without_a_full_configuration():
+    counts = np.zeros(65, dtype=np.int64)
+    counts[40] = 1000
+    assert packing.solve(counts, 64) == ({((40, 1),): 1000}, {})
+    assert packing.plan(counts, 64) == [(((40, 1),), 1000)]
+    assert packing.plan(np.zeros(65, dtype=np.int64), 64) == []
+
+
 def test_knapsack_is_exact():
     rng = random.Random(3)
     for _ in range(20):
