@@ -26,8 +26,9 @@ The only approximation is the chance that a pair at the threshold shares no band
 batch). Links are never wrong: they are confirmed on full sets.
 
 Cases: NULL or word-less text has no shingles and links with nothing; texts under
-five words are one shingle; rows that share a doc_id count as one node (``keep_one`` leaves one of
-those with equal texts); a NULL doc_id has component NULL and is kept; exact ties of similarity need no rule as
+five words are one shingle; rows that share a doc_id count as one node, so different texts of one id
+are linked, each compared once however often it repeats (a row without shingles stays alone;
+``keep_one`` leaves one of the rows with equal texts); a NULL doc_id has component NULL and is kept; exact ties of similarity need no rule as
 links are unordered; an empty table gives an empty result; extra columns are
 ignored by ``near_duplicates`` and kept by ``keep_one``.
 """
@@ -285,10 +286,25 @@ def near_duplicates(docs: DataFrame, pct: int = THRESHOLD_PCT) -> DataFrame:
     shared = save(keyed.join(hubs, "band"), "shared")
     groups = components(shared, "hub", "doc_id")
     units = _units(shared.select("band", "doc_id", "n"), groups)
-    work = save(units, "units").join(rows, "doc_id").select("unit", "side", "doc_id", "text")
+    # an id that repeats brings each of its texts once, and links the classes of its texts
+    again = save(signed.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
+        .where("n > 1"), "again")
+    texts, shared_ids = rows, None
+    if not again.isEmpty():
+        repeated = again.select("doc_id")
+        texts = rows.join(repeated, "doc_id", "left_anti").unionByName(
+            rows.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+        own = save(signed.join(again.where("low != high").select("doc_id"), "doc_id", "left_semi")
+                   .join(classes, "digest").select("doc_id", "rep").distinct(), "own")
+        shared_ids = own.join(own.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id") \
+            .select("a", F.col("rep").alias("b"))
+    work = save(units, "units").join(texts, "doc_id").select("unit", "side", "doc_id", "text")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = work.repartitionByRange(n, "unit").sortWithinPartitions("unit") \
         .mapInPandas(_verify(pct), "a long, b long")
+    if shared_ids is not None:
+        links = links.unionByName(shared_ids)
     ends = components(links, "a", "b")
     named = classes.join(ends, classes.rep == ends.v, "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id"))

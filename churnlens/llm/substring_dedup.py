@@ -214,8 +214,9 @@ def _deduplicated(docs: DataFrame, min_words: int) -> DataFrame:
     firsts = save(found.groupBy("h").agg(F.min("doc_id").alias("first"),
                                          F.max("doc_id").alias("last"))
                   .where("first != last").select("h", "first"), "repeats")
+    # a set: rows that repeat an id bring the same digests
     own = found.join(firsts, "h").where("doc_id != first").groupBy("doc_id").agg(
-        F.collect_list(F.struct("h", "first")).alias("_r"))
+        F.collect_set(F.struct("h", "first")).alias("_r"))
     others = [c for c in docs.columns if c != "text"]
     keep = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)],
                        F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_t"))

@@ -456,6 +456,29 @@ def _edited(text, share, rng):
                     for w in text.split())
 
 
+def test_minhash_shared_ids_are_one_node(spark):
+    a, b, c = ("one two three four five six seven", "red green blue white black grey pink",
+               "sun moon star cloud rain snow wind")
+    rows = [(3, a), (5, a), (5, b), (7, b), (7, b), (9, c), (9, c), (11, c), (12, None), (12, b)]
+    docs = spark.createDataFrame([*rows, *[(20, c)] * 40], "doc_id long, text string")
+    got = {(r["doc_id"], r["n_shingles"] > 0): r["component_id"]
+           for r in minhash.near_duplicates(docs).collect()}
+    assert got == {(3, True): 3, (5, True): 3, (7, True): 3, (12, True): 3, (12, False): 12,
+                   (9, True): 9, (11, True): 9, (20, True): 9}
+    assert minhash.near_duplicates(docs).count() == len(rows) + 40
+
+
+def test_substring_digests_do_not_multiply_with_equal_rows(spark):
+    rng = random.Random(5)
+    passage = " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(200))
+    docs = spark.createDataFrame([(1, passage), *[(2, passage)] * 30], "doc_id long, text string")
+    found = substring_dedup.repeats(docs).collect()
+    assert Counter(r["doc_id"] for r in found) == {1: 1, 2: 30}
+    assert all(r["text"] == passage and not r["changed"] for r in found if r["doc_id"] == 1)
+    assert len({r["text"] for r in found if r["doc_id"] == 2}) == 1
+    assert all(r["n_removed_words"] > 150 for r in found if r["doc_id"] == 2)
+
+
 def test_minhash_against_all_pairs(spark, docs, empty, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 8)        # groups beyond one block, too
     rng = random.Random(4)
