@@ -4,19 +4,28 @@ Vectors of one label (and one dimension) with cosine >= ``COSINE`` are linked. O
 unit vectors that is a distance of at most sqrt(2 - 2 * cosine).
 
 1. Equal vectors of a label form a class; its size counts, its copies do not.
-2. Nested levels: nodes with more than ``LEAF`` vectors are split. Centres are a
-   net of the level's radius (halved from level to level) among a bounded hash
-   sample of the node; every vector goes to its nearest centre, and the covering
-   radius of each child is then measured over all its members, so bounds are exact
-   whatever the sample was.
+2. Upper levels, as Spark tables: nodes with more than ``LEAF`` vectors are split.
+   Centres are a net of the level's radius (halved from level to level) among a hash
+   sample of the node, about two for each ``LEAF`` of its members; every vector goes to
+   its nearest centre, and the covering radius of each child is then measured over all
+   its members, so bounds are exact whatever the sample was.
 3. Dual traversal, as joins: starting with each root against itself, node pairs are
    expanded to pairs of children level by level; a pair is pruned if the distance
    of its centres less both radii exceeds the limit, and taken whole, without
    comparing members, if the distance plus both radii stays within it.
-4. What is left are leaf pairs. Members are dealt to blocks of bounded size and
-   block pairs are compared exactly, in double precision, in the tasks; a unit
-   returns per vector its number of links and one neighbour that keeps the
-   components connected, not its pairs.
+4. Lower levels: a leaf's members are dealt to blocks of bounded size, and each block
+   becomes nested levels of radius 1, 1/2, 1/4 ... once: a node's members are within the
+   level's radius of its centre, itself a member, and centres below one parent are
+   farther apart than that radius.
+5. Block pairs of the leaf pairs that are left go on with the dual traversal in the tasks,
+   with the same two bounds level by level; only members of node pairs that neither bound
+   settles are compared, exactly, in double precision. A unit returns per vector its number
+   of links and one neighbour that keeps the components connected, not its pairs.
+
+A vector is sent to the blocks its leaf is not pruned from: fewer than 10 rows for each of
+50,000 vectors of 10 labels without any structure. Where vectors have none, centres of all
+levels down to near copies are about equally far apart and every pair of centres is looked at,
+as with any bound by radius.
 
 Cases: a vector that is NULL, empty, zero, or holds NULL or non-finite parts links
 with nothing, nor does one with a NULL label or a NULL id; repeated rows are
@@ -38,22 +47,17 @@ from churnlens.llm.common import save
 from churnlens.llm.components import components
 
 COSINE = 0.98
-LEAF = 256
+LEAF = 2048
 SAMPLE = 48
 LEVELS = 6
-_SLACK = 1e-9       # keeps rounding from deciding a bound; it only costs comparisons
+NESTED = 8          # lower levels at most
+_SLACK = 1e-7       # keeps rounding from deciding a bound; it only costs comparisons
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=-1, keepdims=True)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """Arrow list column of equal lengths → matrix of doubles."""
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1).astype(np.float64)
-
-
 def classes_of(vectors: DataFrame) -> DataFrame:
     """(node, vec, rep, m): distinct usable vectors per label, smallest id, copies."""
     vec = F.col("embedding").cast("array<double>")
@@ -113,12 +117,14 @@ def _split_level(members: DataFrame, radius: float) -> tuple[DataFrame, DataFram
     """Members with their new nodes, and (parent, node, centre, radius); None: no node
     is too large."""
     sizes = save(members.groupBy("node").agg(F.count("*").alias("n"))
-                 .where(F.col("n") > LEAF).select("node"), "large")
+                 .where(F.col("n") > LEAF).select(
+                     "node", F.least(F.lit(SAMPLE), F.ceil(2 * F.col("n") / F.lit(LEAF)))
+                     .alias("wanted")), "large")
     if sizes.isEmpty():
         return None
     order = F.xxhash64("vec", "rep")
-    sample = members.join(sizes, "node").select("node", "vec", order.alias("order")) \
-        .groupBy("node", F.pmod("order", F.lit(SAMPLE)).alias("slot")) \
+    sample = members.join(sizes, "node").select("node", "wanted", "vec", order.alias("order")) \
+        .groupBy("node", F.pmod("order", "wanted").alias("slot")) \
         .agg(F.min_by("vec", "order").alias("vec"), F.min("order").alias("order"))
     centres = save(sample.groupBy("node").applyInPandas(
         _net(radius), "node string, centres array<double>"), "centres")
@@ -153,36 +159,127 @@ def _expand(pairs: DataFrame, nodes: DataFrame, limit: float) -> DataFrame:
         (F.col("a") == F.col("b")) | F.coalesce(apart <= limit + _SLACK, F.lit(True)))
 
 
+def radii_for(limit: float) -> list[float]:
+    """1, 1/2, 1/4 ... down to a quarter of the limit."""
+    return [2.0 ** -k for k in range(NESTED) if k == 0 or 2.0 ** -k > limit / 4]
+
+
+def nest(x: np.ndarray, radii: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """Nested levels over unit vectors: (path, dist), both rows x levels. ``path`` names a
+    row's centre by its position, ``dist`` is its distance from there, at most the level's
+    radius; centres below one parent are farther apart than that."""
+    path = np.zeros((len(x), len(radii)), dtype=np.int32)
+    dist = np.zeros((len(x), len(radii)))
+    parents = [np.arange(len(x))]
+    for level, radius in enumerate(radii):
+        below = []
+        for left in parents:
+            while len(left):
+                centre = left[0]
+                d = np.linalg.norm(x[left] - x[centre], axis=1)
+                near = d <= radius
+                near[0] = True
+                node = left[near]
+                path[node, level], dist[node, level] = centre, d[near]
+                below.append(node)
+                left = left[~near]
+        parents = below
+    return path, dist
+
+
+def _nested(radii: list[float]):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        path, dist = nest(_unit(np.stack(pdf["vec"].to_numpy()).astype(np.float64)), radii)
+        return pdf.assign(at=np.arange(len(pdf), dtype=np.int32), path=list(path),
+                          dist=list(dist))
+    return run
+
+
+class Tree:
+    """Nested levels of one block: per level the nodes' centres, radii and members' nodes."""
+
+    def __init__(self, vec: np.ndarray, at: np.ndarray, path: np.ndarray, dist: np.ndarray):
+        self.vec, self.norm = vec, np.sqrt((vec * vec).sum(axis=1))
+        unit = vec / self.norm[:, None]
+        row = np.empty(at.max() + 1, dtype=np.int64)
+        row[at] = np.arange(len(at))
+        self.node, self.centre, self.radius, self.size, self.parent = [], [], [], [], []
+        for level in range(path.shape[1]):
+            named, node = np.unique(path[:, level], return_inverse=True)
+            radius = np.zeros(len(named))
+            np.maximum.at(radius, node, dist[:, level])
+            self.node.append(node)
+            self.centre.append(unit[row[named]])
+            self.radius.append(radius)
+            self.size.append(np.bincount(node))
+            above = np.zeros(len(named), dtype=np.int64)
+            if level:
+                above[node] = self.node[-2]
+            self.parent.append(above)
+
+
+def meet(a: Tree, b: Tree, cosine: float) -> tuple[np.ndarray, int]:
+    """(hit, compared): which members of ``a`` link with which of ``b``, and how many member
+    pairs were compared for it. ``a is b`` leaves out each member with itself."""
+    limit = float(np.sqrt(2 - 2 * cosine))
+    hit = np.zeros((len(a.vec), len(b.vec)), dtype=bool)
+    alive = np.ones((1, 1), dtype=bool)
+    for level, (na, nb) in enumerate(zip(a.node, b.node, strict=True)):
+        alive = alive[np.ix_(a.parent[level], b.parent[level])]
+        rows, cols = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
+        cos = a.centre[level][rows] @ b.centre[level][cols].T
+        apart = np.sqrt(np.maximum(2 - 2 * cos, 0))
+        reach = a.radius[level][rows][:, None] + b.radius[level][cols][None, :]
+        block = alive[np.ix_(rows, cols)]
+        whole = block & (apart + reach <= limit - _SLACK)
+        alive = np.zeros_like(alive)
+        alive[np.ix_(rows, cols)] = block & ~whole & (apart - reach <= limit + _SLACK)
+        if a is b:                      # a single member against itself
+            np.fill_diagonal(alive, alive.diagonal() & (a.size[level] > 1))
+        for i, j in zip(*np.nonzero(whole), strict=True):
+            hit[np.ix_(na == rows[i], nb == cols[j])] = True
+        if not alive.any():
+            break
+    rows = np.flatnonzero(alive.any(axis=1)[na])
+    cols = np.flatnonzero(alive.any(axis=0)[nb])
+    open_ = alive[np.ix_(na[rows], nb[cols])]
+    cos = (a.vec[rows] @ b.vec[cols].T) / np.outer(a.norm[rows], b.norm[cols])
+    hit[np.ix_(rows, cols)] |= open_ & (cos >= cosine)
+    if a is b:
+        np.fill_diagonal(hit, False)
+    return hit, int(open_.sum())
+
+
+def _tree(pdf: pd.DataFrame) -> Tree:
+    return Tree(np.stack(pdf["vec"].to_numpy()).astype(np.float64), pdf["at"].to_numpy(),
+                np.stack(pdf["path"].to_numpy()), np.stack(pdf["dist"].to_numpy()))
+
+
 def _compare(cosine: float):
-    def close(rows: list[tuple]) -> pd.DataFrame:
-        side = np.array([r[1] for r in rows])
-        x = np.array([r[4] for r in rows], dtype=np.float64)
-        norm = np.sqrt((x * x).sum(axis=1))
-        rep, m = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
-        two = side.min() != side.max()
-        left = np.flatnonzero(side == 0) if two else np.arange(len(rows))
-        right = np.flatnonzero(side == 1) if two else left
-        hit = (x[left] @ x[right].T) / np.outer(norm[left], norm[right]) >= cosine
-        if not two:
-            np.fill_diagonal(hit, False)
-        n = np.zeros(len(rows), dtype=np.int64)
-        n[left] += hit @ m[right]
-        if two:
-            n[right] += hit.T @ m[left]
-        # a spanning forest of the hits: breadth first, each row points at where it came from
-        came = np.full(len(rows), -1)
+    def close(rows: pd.DataFrame) -> pd.DataFrame:
+        two = not rows["own"].iloc[0]
+        a = rows[rows["side"] == 0]
+        b = rows[rows["side"] == 1] if two else a
+        if not len(a) or not len(b):
+            return pd.DataFrame({"rep": [], "n": [], "other": []}, dtype="int64")
+        first = _tree(a)
+        hit, _ = meet(first, _tree(b) if two else first, cosine)
+        ma, mb = a["m"].to_numpy(), b["m"].to_numpy()
+        n, rep = hit @ mb, a["rep"].to_numpy()
+        near = {i: np.flatnonzero(hit[i]) + (len(a) if two else 0)
+                for i in np.flatnonzero(hit.any(axis=1)).tolist()}
         if two:
-            near = [right[h] for h in hit] + [left[h] for h in hit.T]
-            order = np.concatenate([left, right])
-        else:
-            near, order = [right[h] for h in hit], left
-        reach = dict(zip(order.tolist(), near, strict=True))
-        for i in order.tolist():
-            if came[i] < 0 and n[i]:
+            n, rep = np.concatenate([n, hit.T @ ma]), np.concatenate([rep, b["rep"].to_numpy()])
+            near |= {len(a) + j: np.flatnonzero(hit[:, j])
+                     for j in np.flatnonzero(hit.any(axis=0)).tolist()}
+        # a spanning forest of the hits: each row points at where it came from
+        came = np.full(len(rep), -1)
+        for i in near:
+            if came[i] < 0:
                 came[i], todo = i, [i]
                 while todo:
                     at = todo.pop()
-                    fresh = reach[at][came[reach[at]] < 0]
+                    fresh = near[at][came[near[at]] < 0]
                     came[fresh] = at
                     todo += fresh.tolist()
         some = np.flatnonzero(n)
@@ -191,17 +288,40 @@ def _compare(cosine: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unit, held = None, []
         for pdf in batches:
-            for row in pdf[["unit", "side", "rep", "m", "vec"]].itertuples(index=False, name=None):
-                if row[0] != unit:
-                    if len(held) > 1:
-                        yield close(held)
-                    unit, held = row[0], []
-                held.append(row)
-        if len(held) > 1:
-            yield close(held)
+            for name, part in pdf.groupby("unit", sort=False):
+                if name != unit and held:
+                    yield close(pd.concat(held, ignore_index=True))
+                    held = []
+                unit = name
+                held.append(part)
+        if held:
+            yield close(pd.concat(held, ignore_index=True))
     return run
 
 
+def _units(nested: DataFrame, far: DataFrame) -> DataFrame:
+    """One unit per pair of blocks of an unsettled leaf pair: the rows of both sides."""
+    blocks = lambda n: F.ceil(F.col(n) / F.lit(LEAF)).cast("int")
+    row = ("rep", "m", "vec", "at", "path", "dist")
+    as_a = nested.join(far.withColumnRenamed("a", "node"), "node").select(
+        F.col("node").alias("a"), "b", "i", *row,
+        F.explode(F.sequence(F.lit(0), blocks("bn") - 1)).alias("j"))
+    same = as_a.where("a = b").select(
+        F.concat_ws("|", "a", "b", F.least("i", "j"), F.greatest("i", "j")).alias("unit"),
+        F.when(F.col("i") <= F.col("j"), 0).otherwise(1).alias("side"),
+        (F.col("i") == F.col("j")).alias("own"), *row)
+    first = as_a.where("a != b").select(
+        F.concat_ws("|", "a", "b", "i", "j").alias("unit"), F.lit(0).alias("side"),
+        F.lit(False).alias("own"), *row)
+    second = nested.withColumnRenamed("i", "j").join(
+        far.where("a != b").withColumnRenamed("b", "node"), "node").select(
+        "a", F.col("node").alias("b"), "j", *row,
+        F.explode(F.sequence(F.lit(0), blocks("an") - 1)).alias("i")).select(
+        F.concat_ws("|", "a", "b", "i", "j").alias("unit"), F.lit(1).alias("side"),
+        F.lit(False).alias("own"), *row)
+    return same.unionByName(first).unionByName(second)
+
+
 def _leaf_links(members: DataFrame, pairs: DataFrame, cosine: float) -> DataFrame:
     """(rep, n, other) of all leaf pairs."""
     limit = float(np.sqrt(2 - 2 * cosine))
@@ -223,24 +343,14 @@ def _leaf_links(members: DataFrame, pairs: DataFrame, cosine: float) -> DataFram
                                     F.col("af").alias("other"), F.lit(False).alias("self")))
     included = members.join(sides, "node").select(
         "rep", (F.col("k") - F.when(F.col("self"), F.col("m")).otherwise(0)).alias("n"), "other")
-    # the rest: blocks of at most about LEAF members, one unit per pair of blocks
-    far = sized.where("not whole")
-    blocks = lambda n: F.ceil(F.col(n) / F.lit(LEAF)).cast("int")
-    block = lambda n: F.pmod(F.xxhash64("rep"), blocks(n)).cast("int")
-    as_a = members.join(far.withColumnRenamed("a", "node"), "node").select(
-        F.col("node").alias("a"), "b", "rep", "m", "vec", block("an").alias("i"),
-        F.explode(F.sequence(F.lit(0), blocks("bn") - 1)).alias("j"))
-    same = as_a.where("a = b").select(
-        F.concat_ws("|", "a", "b", F.least("i", "j"), F.greatest("i", "j")).alias("unit"),
-        F.when(F.col("i") <= F.col("j"), 0).otherwise(1).alias("side"), "rep", "m", "vec")
-    first = as_a.where("a != b").select(F.concat_ws("|", "a", "b", "i", "j").alias("unit"),
-                                        F.lit(0).alias("side"), "rep", "m", "vec")
-    second = members.join(far.where("a != b").withColumnRenamed("b", "node"), "node").select(
-        "a", F.col("node").alias("b"), "rep", "m", "vec", block("bn").alias("j"),
-        F.explode(F.sequence(F.lit(0), blocks("an") - 1)).alias("i")).select(
-        F.concat_ws("|", "a", "b", "i", "j").alias("unit"), F.lit(1).alias("side"),
+    # the rest: members in blocks of at most about LEAF, each with its nested levels
+    dealt = members.join(leaves.select("node", "n"), "node").select(
+        "node", F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / F.lit(LEAF))).cast("int").alias("i"),
         "rep", "m", "vec")
-    units = same.unionByName(first).unionByName(second)
+    nested = save(dealt.groupBy("node", "i").applyInPandas(
+        _nested(radii_for(limit)), "node string, i int, rep long, m long, vec array<double>, "
+                                   "at int, path array<int>, dist array<double>"), "nested")
+    units = _units(nested, sized.where("not whole"))
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     compared = units.repartitionByRange(n, "unit").sortWithinPartitions("unit").mapInPandas(
         _compare(cosine), "rep long, n long, other long")

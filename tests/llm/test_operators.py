@@ -451,6 +451,64 @@ def test_embeddings_against_all_pairs(spark, monkeypatch):
     assert cover_tree.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_nested_levels_cover_and_separate():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(40, 6)).repeat(5, axis=0) + rng.normal(size=(200, 6)) * 0.1
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    radii = cover_tree.radii_for(0.2)
+    assert radii == [1.0, 0.5, 0.25, 0.125, 0.0625]
+    path, dist = cover_tree.nest(x, radii)
+    for level, radius in enumerate(radii):
+        assert np.allclose(dist[:, level], np.linalg.norm(x - x[path[:, level]], axis=1))
+        assert dist[:, level].max() <= radius
+        above = path[:, level - 1] if level else np.zeros(len(x), dtype=int)
+        for parent in set(above):
+            centres = x[sorted(set(path[above == parent, level]))]
+            apart = np.linalg.norm(centres[:, None] - centres[None], axis=2)
+            assert (apart[~np.eye(len(centres), dtype=bool)] > radius).all()
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_dual_traversal_prunes_and_takes_whole(same):
+    rng = np.random.default_rng(9)
+    radii = cover_tree.radii_for(0.2)
+
+    def block(seed, spread):
+        centres = np.random.default_rng(4).normal(size=(30, 16))
+        x = np.concatenate([c + np.random.default_rng(seed).normal(size=(10, 16)) * spread
+                            for c in centres])
+        x = x[rng.permutation(len(x))]
+        return x, cover_tree.Tree(x, np.arange(len(x)), *cover_tree.nest(
+            x / np.linalg.norm(x, axis=1, keepdims=True), radii))
+
+    for spread, most in ((0.001, 0), (0.1, 0.12)):      # tight copies need no comparison
+        x, a = block(1, spread)
+        y, b = (x, a) if same else block(2, spread)
+        hit, compared = cover_tree.meet(a, b, 0.98)
+        cos = (x @ y.T) / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1))
+        want = cos >= 0.98
+        if same:
+            np.fill_diagonal(want, False)
+        assert (hit == want).all() and want.any()
+        assert compared <= most * len(x) * len(y)
+
+
+def test_upper_levels_prune_blocks(spark, monkeypatch):
+    """Rows sent to the compare stage stay few where vectors have structure."""
+    monkeypatch.setattr(cover_tree, "LEAF", 32)
+    sent = []
+    units = cover_tree._units
+    monkeypatch.setattr(cover_tree, "_units",
+                        lambda *a: sent.append(units(*a).count()) or units(*a))
+    rng = np.random.default_rng(6)
+    x = [(c + rng.normal(size=8) * 0.05).tolist() for c in rng.normal(size=(20, 8))
+         for _ in range(20)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>, label int")
+    assert cover_tree.near_duplicates(df).count() == len(x)
+    assert len(sent) == 1 and sent[0] < 8 * len(x)      # 400 / 32 blocks without pruning
+
+
 def _edited(text, share, rng):
     return " ".join("zz" + str(rng.randint(0, 9999)) if rng.random() < share else w
                     for w in text.split())
