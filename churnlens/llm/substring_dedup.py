@@ -1,14 +1,16 @@
 """Operator 1 — substring deduplication by content-defined chunking.
 
 A gear rolling hash runs over the UTF-8 bytes; a chunk ends after a space or line
-break where the hash falls below a bound (about one in ``WORDS_PER_CHUNK``), and,
-far more rarely, at any other character boundary, so texts without spaces are cut
-too. The hash sees only the last 16 bytes and there is no minimum or maximum
-length: a cut depends on nothing but the bytes just before it, so chunks line up
-again right after an insertion.
+break where the hash falls below a bound (about one in ``WORDS_PER_CHUNK``). Beyond the
+first ``BYTES_PER_WORD`` bytes of a word it may end at any character, about one in
+``BYTES_PER_CUT`` bytes, so texts without spaces are cut too. The hash sees only the last
+16 bytes and there is no minimum or maximum length: a cut depends on nothing but the bytes
+just before it, so chunks line up again right after an insertion.
 
 What is compared are passages: from each chunk on, and back from each chunk, the fewest
-neighbouring chunks that hold ``MIN_WORDS`` words. A passage gets a 64-bit digest of
+neighbouring chunks that hold ``MIN_WORDS`` words, where a word (or what a cut leaves of it
+in a chunk) counts once more for each further ``BYTES_PER_WORD`` bytes: about 640 bytes without
+a space are 20 words. A passage gets a 64-bit digest of
 its chunks' digests. A digest found in more than one document is a repeat; so is a
 second occurrence inside a document that does not overlap the first one. The copy in
 the document with the smallest doc_id (there the first one) is the original. In all
@@ -46,8 +48,10 @@ from churnlens.llm.common import save
 WORDS_PER_CHUNK = 5
 MIN_WORDS = 20
 _WINDOW = 16
-#: Where no space helps, about one cut in so many bytes.
-_BYTES_PER_CUT = 4096
+#: A word of so many bytes or more counts as several and can be cut.
+BYTES_PER_WORD = 32
+#: There, about one cut in so many bytes.
+BYTES_PER_CUT = 128
 
 #: Gear table: one 16-bit value per byte, from a hash of the byte.
 _GEAR = np.array([xxhash.xxh32_intdigest(bytes([i]), 7) & 0xFFFF for i in range(256)],
@@ -81,10 +85,12 @@ def cut_points(data: bytes, words_per_chunk: int = WORDS_PER_CHUNK) -> np.ndarra
     after = np.empty(len(raw), dtype=np.uint8)      # the byte that would start a chunk
     after[:-1], after[-1] = raw[1:], 0
     boundary = (after & 0xC0) != 0x80
+    at = np.arange(len(raw))
+    in_word = at - np.maximum.accumulate(np.where(_SPACE[raw], at, -1))     # bytes since a space
     # a cut after the last of several spaces, so a chunk starts with a word
     word_end = _SPACE[raw] & ~_SPACE[after]
     cut = (word_end & (h < np.uint16(2 ** 16 // words_per_chunk))) | (
-        boundary & ~_SPACE[raw] & (h < np.uint16(2 ** 16 // _BYTES_PER_CUT)))
+        boundary & (in_word >= BYTES_PER_WORD) & (h < np.uint16(2 ** 16 // BYTES_PER_CUT)))
     cut[-1] = True
     return np.flatnonzero(cut) + 1
 
@@ -96,12 +102,14 @@ def _passages(data: bytes, ends: np.ndarray, min_words: int) -> list[tuple[int,
         return []
     raw = np.frombuffer(data, dtype=np.uint8)
     text = ~_SPACE[raw]
-    inside = np.zeros(len(raw), dtype=bool)          # not the first byte of its word
-    inside[1:] = text[1:] & text[:-1]
-    begun = np.concatenate([[0], np.cumsum(text & ~inside)])
     starts = np.concatenate([[0], ends[:-1]])
-    # words of chunks i to j: words begun there, and the one that a cut before i left
-    before, until = begun[starts] - inside[starts], begun[ends]
+    first_byte = text.copy()                         # of a word or of its rest in a chunk
+    first_byte[1:] &= ~text[:-1]
+    first_byte[starts] = text[starts]
+    at = np.arange(len(raw))
+    offset = at - np.maximum.accumulate(np.where(first_byte, at, 0))
+    counted = np.concatenate([[0], np.cumsum(text & (offset % BYTES_PER_WORD == 0))])
+    before, until = counted[starts], counted[ends]   # words before and up to each chunk
     n = np.arange(len(ends))
     last = np.searchsorted(until, before + min_words)
     first = np.searchsorted(before, until - min_words, side="right") - 1

@@ -135,6 +135,30 @@ def test_only_contiguous_repeats_go(spark):
             assert text[r["start"]:r["start"] + r["length"]].split() == own[at:at + r["words"]]
 
 
+def test_texts_without_spaces(spark):
+    def run_of(seed, n):
+        rng = random.Random(seed)
+        return "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(n))
+
+    whole, passage = run_of(1, 20_000), run_of(2, 900)
+    rows = [(i, whole, "zh", "a", 1) for i in (1, 2, 3)]
+    rows += [(10 + i, run_of(20 + i, 700 + 37 * i) + passage + run_of(40 + i, 500), "zh", "a", 1)
+             for i in range(3)]
+    rows += [(30, run_of(60, 3_000), "zh", "a", 1), (31, run_of(61, 100), "zh", "a", 1),
+             (32, run_of(61, 100), "zh", "a", 1)]       # under 640 bytes: no passage
+    got = {r["doc_id"]: r for r in substring_dedup.repeats(spark.createDataFrame(rows, DOCS)).collect()}
+    assert {i for i, r in got.items() if r["changed"]} == {2, 3, 11, 12}
+    assert got[2]["text"] == got[3]["text"] == ""
+    for i, text, *_ in rows[4:6]:
+        begin = text.index(passage)
+        taken = set()
+        for r in got[i]["removed"]:
+            assert r["original"] == 10
+            taken |= set(range(r["start"], r["start"] + r["length"]))
+        assert taken <= set(range(begin, begin + len(passage))) and len(taken) > 450
+        assert got[i]["text"] == "".join(c for k, c in enumerate(text) if k not in taken)
+
+
 def test_originals_that_overlap_their_repeat_stay():
     text = " ".join(["the same words again and again in a row, ten of them"] * 12) + " "
     new, gone = substring_dedup.cut_runs(text, {}, 20)
@@ -149,8 +173,12 @@ def test_passages_are_the_shortest_from_both_ends():
         ends = substring_dedup.cut_points(data)
         starts, n = [0, *ends[:-1].tolist()], len(ends)
 
-        def words(i, j, data=data, starts=starts, ends=ends):
-            return len(data[starts[i]:ends[j]].split())
+        # a word, or its rest after a cut, counts once for each 32 bytes begun
+        count = [sum(-(-len(w) // 32) for w in data[a:b].split())
+                 for a, b in zip(starts, ends, strict=True)]
+
+        def words(i, j, count=count):
+            return sum(count[i:j + 1])
 
         for least in (3, 20):
             want = {(i, j) for i in range(n) for j in range(i, n) if words(i, j) >= least and (
