@@ -8,7 +8,10 @@ conversation, perspective and part: ``parts`` are consecutive runs of at most
 whole without ever being gathered into one row.
 
 Format of a message: ``<|assistant|>`` or ``<|user:NAME|>``, newline, the text,
-``<|end|>``, newline. ``spans`` lists start and length, in characters of
+``<|end|>``, newline. Marks inside texts and names are escaped, so no message can forge
+another one: a backslash goes in after each ``<`` that backslashes, if any, and ``|``
+follow, and in a name also after each ``|`` that backslashes and ``>`` follow; taking one
+out again restores the text. ``spans`` lists start and length, in characters of
 ``rendered``, of what the perspective's own messages contribute (text and end
 mark, not the header); ``n_trained`` is their sum.
 
@@ -33,9 +36,14 @@ from pyspark.sql import functions as F
 TURNS_PER_PART = 256
 
 
+def _escaped(text: Column) -> Column:
+    return F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|")
+
+
 def _header(is_self: Column, name: Column) -> Column:
     return F.when(is_self, F.lit("<|assistant|>\n")).otherwise(
-        F.concat(F.lit("<|user:"), name, F.lit("|>\n")))
+        F.concat(F.lit("<|user:"), F.regexp_replace(_escaped(name), r"\|(\\*)>", r"|\\$1>"),
+                 F.lit("|>\n")))
 
 
 def rotate(conversations: DataFrame, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
@@ -56,7 +64,7 @@ def rotate(conversations: DataFrame, turns_per_part: int = TURNS_PER_PART) -> Da
         "conv_id", "perspective", "part",
         F.transform("said", lambda m: F.struct(
             _header(own(m), m["role"]).alias("head"),
-            F.concat(m["text"], F.lit("<|end|>\n")).alias("body"),
+            F.concat(_escaped(m["text"]), F.lit("<|end|>\n")).alias("body"),
             own(m).alias("own"))).alias("m"))
     start = F.struct(F.lit(0).cast("long").alias("at"),
                      F.expr("cast(array() as array<struct<start:bigint,length:bigint>>)")

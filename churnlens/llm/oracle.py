@@ -9,7 +9,7 @@ _STOP = """'a','an','and','are','as','at','be','by','for','from','he','her','his
 'ich','im','ist','mit','nicht','sich','sie','und','von','zu','al','como','con','de','del','el',
 'en','las','lo','los','no','o','para','por','su','una','y'"""
 
-CHAT = """
+CHAT = r"""
 WITH said AS (
   SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
          coalesce(CAST(floor(turn / 256.0) AS BIGINT), -1) AS part
@@ -18,8 +18,9 @@ who AS (SELECT DISTINCT conv_id, role AS perspective FROM said),
 msg AS (
   SELECT conv_id, perspective, part, turn, role, text, role = perspective AS own,
          CASE WHEN role = perspective THEN '<|assistant|>' || chr(10)
-              ELSE '<|user:' || role || '|>' || chr(10) END AS head,
-         text || '<|end|>' || chr(10) AS body
+              ELSE '<|user:' || regexp_replace(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'),
+                                               '\|(\\*)>', '|\\\1>', 'g') || '|>' || chr(10) END AS head,
+         regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|end|>' || chr(10) AS body
   FROM said JOIN who USING (conv_id)),
 put AS (
   SELECT *, row_number() OVER w AS k,
