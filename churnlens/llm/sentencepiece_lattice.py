@@ -6,20 +6,23 @@ model's identity normaliser does; then it is cut into words: runs of letters wit
 the marks before them, other runs, line breaks. No piece of the model spans such a
 cut (checked when the model is read), so words can be encoded on their own.
 
-1. Distinct words of each hash block of documents (dropped within an Arrow batch, then
-   pre-aggregated), and of those the distinct words of the whole table.
-2. Lattice: every word explodes into its substrings of at most the longest piece
+1. The ``COMMON_WORDS`` most frequent words of a bounded part of the documents go through the
+   lattice first. They are only told beforehand: what is common stays out of the shuffles, and a
+   word that is not among them takes the way below.
+2. The other distinct words of each hash block of documents (dropped within a task, then
+   grouped by word with the blocks that hold them).
+3. Lattice: every word explodes into its substrings of at most the longest piece
    (starts, then sizes, so both explodes and the join run as generated code);
    an equi-join with the piece table (broadcast: a fixed vocabulary of checked
    size) keeps the edges. A character without a piece is an edge of its UTF-8
    bytes with the unknown score.
-3. Edges are grouped by word — the partitioning of the distinct words, no further
+4. Edges are grouped by word — the partitioning of the distinct words, no further
    shuffle — and
    a higher-order ``aggregate`` folds them by end position into the best path
    (highest sum of scores; ties go to the longer last piece).
-4. Documents and the words they hold meet by a hash block of bounded text size;
-   each block encodes its documents by looking its words up; ids stay in flat
-   integer arrays.
+5. Documents (packed and compressed per block, once) and the words they hold meet by a hash
+   block of bounded text size; each block encodes its documents by looking its words up; ids
+   stay in flat integer arrays.
 
 The result is the best-scoring segmentation (Viterbi). The vocabulary file at hand
 was made for merge-order encoding, whose segmentation can differ; ids, byte
@@ -34,7 +37,7 @@ result; extra columns are ignored. Decoding skips ids outside the vocabulary.
 from __future__ import annotations
 
 import re
-from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -52,10 +55,18 @@ MARK = "▁"
 MAX_WORD = 2_000
 MAX_PIECES = 1_000_000
 NO_PIECE = -1
-#: Distinct words in a partition of the lattice, about.
-PARTITION_WORDS = 50_000
+#: Common words, or else characters of text, for each partition of the lattice.
+PARTITION_WORDS = 12_500
+PARTITION_CHARS = 10_000_000
 #: Characters of text in a block; a block's texts, words and ids are held by one Python worker.
 BLOCK_CHARS = 16_000_000
+#: Words encoded beforehand and held by every Python worker, and the characters of text they are
+#: counted in, about.
+COMMON_WORDS = 100_000
+COUNTED_CHARS = 20_000_000
+#: Words (step 2) or bytes of rows (step 5) a task holds before it passes them on.
+HELD_WORDS = 300_000
+HELD_BYTES = 32_000_000
 WORD = rf"\n|{MARK}*[\p{{L}}\p{{M}}]+|{MARK}*[^{MARK}\n\p{{L}}\p{{M}}]+|{MARK}+"
 
 
@@ -106,33 +117,94 @@ def _piece_table(spark: SparkSession, v: Vocabulary) -> DataFrame:
                                  .astype({"id": "int32"}), "piece string, id int, score double")
 
 
-def cut_words(text: str, word) -> Iterator[str]:
+def cut_words(text: str | None, word) -> list[str]:
     """The words of a text: a mark in front, marks for spaces, ``MAX_WORD`` characters at most."""
-    for w in word.findall(MARK + text.replace(" ", MARK)) if text else ():
-        if len(w) <= MAX_WORD:
-            yield w
-        else:
-            yield from (w[k:k + MAX_WORD] for k in range(0, len(w), MAX_WORD))
+    words = word.findall(MARK + text.replace(" ", MARK)) if text else []
+    if words and max(map(len, words)) > MAX_WORD:
+        words = [w[k:k + MAX_WORD] for w in words for k in range(0, len(w), MAX_WORD)]
+    return words
 
 
-def _distinct_words(pattern: str):
-    """(block, word) of (block, text), once per batch."""
+def _count_words(pattern: str):
+    """(word, n) of (text), once per batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from collections import Counter
+
         import regex
 
         word = regex.compile(pattern)
         for batch in batches:
-            told: dict[int, set[str]] = {}
-            for block, text in zip(batch.column("block"), batch.column("text"), strict=True):
-                if text.is_valid:
-                    told.setdefault(block.as_py(), set()).update(cut_words(text.as_py(), word))
-            for block, words in told.items():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(words), pa.int64()), pa.array(words, pa.string())],
-                    names=["block", "word"])
+            n: Counter[str] = Counter()
+            for text in batch.column("text").to_pylist():
+                n.update(cut_words(text, word))
+            yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()),
+                                              pa.array(n.values(), pa.int64())], names=["word", "n"])
     return run
 
 
+def _distinct_words(pattern: str, common: dict[str, bytes]):
+    """(word, blocks) of (block, text), without the common words, about once per task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        word = regex.compile(pattern)
+        told: dict[str, list[int]] = defaultdict(list)
+
+        def out() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays(
+                [pa.array(told.keys(), pa.string()), pa.array(told.values(), pa.list_(pa.int32()))],
+                names=["word", "blocks"])
+            told.clear()
+            return made
+
+        for batch in batches:
+            for block, text in zip(batch.column("block").to_pylist(), batch.column("text"),
+                                   strict=True):
+                for w in set(cut_words(text.as_py(), word)).difference(common):
+                    blocks = told[w]
+                    if block not in blocks:
+                        blocks.append(block)
+            if len(told) > HELD_WORDS:
+                yield out()
+        yield out()
+    return run
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, packed) of rows with a column ``block``: the rows a task holds of it, compressed."""
+    held: list[pa.RecordBatch] = []
+
+    def out() -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        held.clear()
+        table = table.take(pc.sort_indices(table.column("block")))
+        blocks = table.column("block").to_numpy()
+        rows = table.drop_columns(["block"])
+        starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
+        for a, b in zip(starts, [*starts[1:], len(blocks)], strict=True):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=options) as w:
+                w.write_table(rows.slice(a, b - a).combine_chunks())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([blocks[a]], pa.int32()), pa.array([sink.getvalue().to_pybytes()],
+                                                             pa.binary())],
+                names=["block", "packed"])
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(x.nbytes for x in held) > HELD_BYTES:
+            yield from out()
+    if held:
+        yield from out()
+
+
+def _unpack(packed: pa.ChunkedArray) -> Iterator[pa.RecordBatch]:
+    for part in packed:
+        yield from pa.ipc.open_stream(part.as_buffer())
+
+
 def _byte_ids(char: Column, v: Vocabulary) -> Column:
     """Ids of the bytes of one character."""
     code = F.hex(F.encode(char, "UTF-8"))
@@ -144,20 +216,24 @@ def _byte_ids(char: Column, v: Vocabulary) -> Column:
 
 
 def encode_words(words: DataFrame, v: Vocabulary) -> DataFrame:
-    """(word, ids) for the distinct words of a one-column table ``word``."""
+    """``words`` (distinct in its column ``word``, other columns kept) with the ids of each."""
     spark = words.sparkSession
-    starts = words.select("word", F.explode(
+    kept = [c for c in words.columns if c != "word"]
+    # a number per word: edges are sorted by it where they are grouped, not by the text
+    numbered = words.withColumn("_n", F.monotonically_increasing_id())
+    starts = numbered.select("*", F.explode(
         F.sequence(F.lit(0), F.length("word") - 1)).alias("s"))
-    spans = starts.select("word", "s", F.explode(F.sequence(
+    spans = starts.select("*", F.explode(F.sequence(
         F.lit(1), F.least(F.lit(v.longest), F.length("word") - F.col("s")))).alias("size"))
-    edges = spans.select("word", "s", (F.col("s") + F.col("size")).alias("e"),
+    edges = spans.select("_n", "word", *kept, "s", (F.col("s") + F.col("size")).alias("e"),
                          F.substring("word", F.col("s") + 1, F.col("size")).alias("piece"))
     # fixed vocabulary, size checked on reading
     edges = edges.join(F.broadcast(_piece_table(spark, v)), "piece", "left") \
         .where("id is not null or e = s + 1")
     edge = F.struct("e", "s", F.coalesce("score", F.lit(v.unknown_score)).alias("score"),
                     F.coalesce("id", F.lit(NO_PIECE)).alias("id"))
-    lattice = edges.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    lattice = edges.groupBy("_n", "word").agg(F.sort_array(F.collect_list(edge)).alias("edges"),
+                                              *[F.first(c).alias(c) for c in kept])
 
     # state: best[p] = (score of the best path to p, start and id of its last edge)
     kind = "struct<score:double,s:int,id:int>"
@@ -185,49 +261,70 @@ def encode_words(words: DataFrame, v: Vocabulary) -> DataFrame:
         down = F.sequence(F.size(best), F.lit(2), F.lit(-1))    # the start is no edge
         return F.aggregate(down, first, walk, lambda acc: F.flatten(F.reverse(acc["ids"])))
 
-    folded = lattice.select("word", F.aggregate("edges", start.cast(f"array<{kind}>"), step)
+    folded = lattice.select("word", *kept, F.aggregate("edges", start.cast(f"array<{kind}>"), step)
                             .alias("best"))
-    return folded.select("word", back(F.col("best")).alias("ids"))
+    return folded.select("word", *kept, back(F.col("best")).alias("ids"))
 
 
-def _encode_block(pattern: str):
+def _encode_block(pattern: str, common: dict[str, bytes]):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         import regex
 
         word = regex.compile(pattern)
-        lists = right.column("ids").combine_chunks()
-        flat = array("i", lists.flatten().to_numpy(zero_copy_only=False).astype("int32").tobytes())
-        ends = pc.cumulative_sum(pc.list_value_length(lists)).to_pylist()
-        end_of = dict(zip(right.column("word").to_pylist(),
-                          zip([0, *ends], ends, strict=False), strict=True))
-        ids, offsets = array("i"), array("i", [0])
-        for text in left.column("text"):
-            for w in cut_words(text.as_py() or "", word):
-                a, b = end_of[w]
-                ids.extend(flat[a:b])
-            offsets.append(len(ids))
-        made = pa.ListArray.from_arrays(
-            pa.array(np.frombuffer(offsets, "int32")), pa.array(np.frombuffer(ids, "int32")),
-            mask=pc.is_null(left.column("text")).combine_chunks())
-        return pa.table({"doc_id": left.column("doc_id"), "ids": made})
+        known: dict[str, bytes] = dict(common)
+        for batch in _unpack(right.column("packed")):
+            lists = batch.column("ids")
+            ends = lists.offsets.to_pylist()
+            flat = lists.values.to_numpy(zero_copy_only=False).astype("<i4").tobytes()
+            known |= {w: flat[4 * a:4 * b] for w, a, b in zip(
+                batch.column("word").to_pylist(), ends, ends[1:], strict=False)}
+        doc_ids, made, offsets, null = [], [], [0], []
+        for batch in _unpack(left.column("packed")):
+            doc_ids.append(batch.column("doc_id"))
+            for text in batch.column("text"):
+                text = text.as_py()
+                ids = b"".join(map(known.__getitem__, cut_words(text, word)))
+                made.append(ids)
+                offsets.append(offsets[-1] + len(ids) // 4)
+                null.append(text is None)
+        ids = pa.ListArray.from_arrays(
+            pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(made), "<i4")),
+            mask=pa.array(null, pa.bool_()))
+        return pa.table({"doc_id": pa.chunked_array(doc_ids, pa.int64()), "ids": ids})
     return run
 
 
+def _common_words(rows: DataFrame, chars: int, v: Vocabulary) -> dict[str, bytes]:
+    """Ids of the most frequent words in every k-th document, by hash; at most ``COMMON_WORDS``."""
+    counted = rows.where(F.pmod(F.xxhash64("doc_id", "text"),
+                                F.lit(chars // COUNTED_CHARS + 1)) == 0)
+    top = counted.select("text").mapInArrow(_count_words(WORD), "word string, n long") \
+        .groupBy("word").agg(F.sum("n").alias("n")) \
+        .orderBy(F.desc("n"), "word").limit(COMMON_WORDS).select("word")
+    words = save(top, "common")
+    encoded = encode_words(words.repartition(COMMON_WORDS // PARTITION_WORDS + 1, "word"), v)
+    return {r["word"]: np.array(r["ids"], "<i4").tobytes()
+            for r in encoded.select("word", "ids").collect()}
+
+
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, ids — one row per input row."""
     v = read_vocabulary(path or model_path())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chars // BLOCK_CHARS + 1)).alias("block")
-    told = save(rows.select(block, "text").mapInArrow(
-        _distinct_words(WORD), "block long, word string").distinct(), "block-words")
+    common = _common_words(rows, chars, v)
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chars // BLOCK_CHARS + 1)) \
+        .cast("int").alias("block")
+    told = rows.select(block, "text").mapInArrow(_distinct_words(WORD, common),
+                                                 "word string, blocks array<int>")
     # word partitions of bounded size: the edges of each are grouped in memory
-    n_words = told.agg(F.approx_count_distinct("word")).first()[0]
-    words = told.select("word").repartition(n_words // PARTITION_WORDS + 1, "word").distinct()
-    table = save(encode_words(words, v), "words")
-    known = told.join(table, "word").select("block", "word", "ids")
-    return rows.select("doc_id", "text", block).groupBy("block").cogroup(
-        known.groupBy("block")).applyInArrow(_encode_block(WORD), "doc_id long, ids array<int>")
+    words = told.repartition(chars // PARTITION_CHARS + 1, "word").groupBy("word").agg(
+        F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("blocks"))
+    known = encode_words(words, v).select(F.explode("blocks").alias("block"), "word", "ids")
+    packed = "block int, packed binary"
+    return rows.select(block, "doc_id", "text").mapInArrow(_pack, packed).groupBy("block").cogroup(
+        known.mapInArrow(_pack, packed).groupBy("block")).applyInArrow(
+        _encode_block(WORD, common), "doc_id long, ids array<int>")
 
 
 def _decode(bytes_of: dict[int, bytes]):

@@ -627,3 +627,32 @@ def test_classifier_without_rules(spark):
     assert len(got) == 200 and len({r["score"] for r in got}) == 1
     assert abs(got[0]["score"] - 0.75) < 0.08 and {r["predicted"] for r in got} == {1}
     assert quality_classifier.filter_documents(docs, labels).count() == 200
+
+
+def test_sentencepiece_packed_and_rare_words(spark, monkeypatch):
+    """Words told beforehand or not, rows packed at once or one by one: the same ids; packing a
+    block's rows takes fewer bytes than the rows."""
+    import pyarrow as pa
+
+    texts = ["one  two ", " three▁four five", "six,\nseven six", "", None, "a \nb é\u0301x 12.5 12.5",
+             "▁", "  ", "\n", "word " * 300, "漢字 and 🙂"]
+    rows = spark.createDataFrame([(i % 9, t) for i, t in enumerate(texts)],
+                                 "doc_id long, text string")
+
+    def encoded():
+        return sorted(((r["doc_id"], r["ids"]) for r in sentencepiece_lattice.encode(rows).collect()),
+                      key=str)
+
+    told = encoded()
+    monkeypatch.setattr(sentencepiece_lattice, "COMMON_WORDS", 2)
+    monkeypatch.setattr(sentencepiece_lattice, "BLOCK_CHARS", 100)
+    assert encoded() == told and len(told) == len(texts)
+    back = sentencepiece_lattice.decode(sentencepiece_lattice.encode(rows)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in back), key=str) == \
+        sorted(((i % 9, t and t.replace("▁", " ")) for i, t in enumerate(texts)), key=str)
+    batch = pa.record_batch([pa.array([1, 0] * 500, pa.int32()),
+                             pa.array([f"some words of text {k}" for k in range(1000)])],
+                            names=["block", "text"])
+    packed = list(sentencepiece_lattice._pack(iter([batch])))
+    assert [b.column("block").to_pylist() for b in packed] == [[0], [1]]
+    assert sum(b.nbytes for b in packed) < batch.nbytes / 2
