@@ -18,6 +18,7 @@ from churnlens.plans import core as core_plans
 from churnlens.plans import (lifecycle, marts, metrics, present, quality, reconcile,
                              responses, triage, verified)
 from churnlens.plans.layers import layers_for
+from churnlens.sources.readers import load_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -582,7 +583,8 @@ def _docs(spark, sf):
 
 
 def _star(spark, sf):
-    return layers_for(spark, sf).star
+    """The given tables; what reads only them does not build the layers."""
+    return load_star(spark, sf)
 
 
 @register("json_safe_parse")

@@ -121,6 +121,11 @@ def triage(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def triage_summary(questions: DataFrame) -> DataFrame:
-    """Questions per category, over the whole texts."""
-    q = triage(questions)
+    """Questions per category, over the whole texts.
+
+    The rules cost far more than reading the texts, and a table of short rows is one file split
+    for millions of them, so the texts are dealt out first.
+    """
+    n = int(questions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    q = triage(questions.repartition(n))
     return q.groupBy("category", "needs_sql").agg(F.count(F.lit(1)).alias("questions"))
