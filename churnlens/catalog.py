@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from churnlens.plans import core as core_plans
 from churnlens.plans import (lifecycle, marts, metrics, present, quality, reconcile,
                              responses, triage, verified)
-from churnlens.plans.layers import layers_for
+from churnlens.plans.layers import layers_for, raw_for
 from churnlens.sources.readers import load_star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,7 +137,7 @@ def q_churn_by_tenure_segment(spark, sf):
 # --- RAW data quality (S1-S2, D1-D12) and CORE validation (V1-V5) -------------
 
 def _raw(spark, sf):
-    return layers_for(spark, sf).raw
+    return raw_for(spark, sf)
 
 
 @register("raw_load_counts")

@@ -65,29 +65,24 @@ class ChurnLayers:
         return cls(raw, profile, location, services, snapshot, c360, star or {})
 
     @classmethod
-    def from_star(cls, spark: SparkSession, sf_dir: str, *,
-                  checkpoint: bool = True) -> "ChurnLayers":
+    def from_star(cls, spark: SparkSession, sf_dir: str, *, checkpoint: bool = True,
+                  written: "tuple | None" = None) -> "ChurnLayers":
         """Adapter → raw → CORE → 360 from the star schema.
 
         The adapter's rows are written once (Parquet). When customer ids are
         verified unique and non-NULL (one aggregate over the ids), the 360 is a
         single projection of those rows (``core.customer_360_single``) —
         no joins, no wide shuffle — and the ids are flagged unique for the
-        marts. Otherwise the generic joined path of ``from_raw`` is used.
+        marts. Otherwise the generic joined path of ``from_raw`` is used. ``written``: what
+        ``write_flat`` gave for the same input, if the rows are there already.
         """
-        star = load_star(spark, sf_dir)
-        wide = adapter.customer_wide(star)
         if not checkpoint:
-            flat = adapter.raw_flat(wide)
+            star = load_star(spark, sf_dir)
+            flat = adapter.raw_flat(adapter.customer_wide(star))
             return cls.from_raw(adapter.raw_tables(flat, star["supplier"]), checkpoint=False,
                                 star=star)
-        ensure_checkpoint_dir(spark)
-        # unique per build: a second build of the same input must not overwrite files an
-        # earlier build's DataFrames still read
-        tag = (hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:8] + "-"
-               + uuid.uuid4().hex[:8])
-        flat = materialize(adapter.raw_flat(wide), f"flat-{tag}")
-        raw = adapter.raw_tables(flat, star["supplier"])
+        star, flat, raw = written or write_flat(spark, sf_dir)
+        tag = _tag(sf_dir)
         if not _ids_unique(flat):
             return cls.from_raw(raw, checkpoint=checkpoint, star=star)
         # population is grouped by ZIP (nation) in the adapter, so the ZIP join cannot fan out
@@ -101,6 +96,20 @@ class ChurnLayers:
         return cls(raw, profile, location, services, snapshot, c360, star)
 
 
+def _tag(sf_dir: str) -> str:
+    """Unique per build: a second build of the same input must not overwrite files an earlier
+    build's DataFrames still read."""
+    return hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:8] + "-" + uuid.uuid4().hex[:8]
+
+
+def write_flat(spark: SparkSession, sf_dir: str) -> tuple:
+    """Star tables, the adapter's rows (written once), the raw tables that are projections of them."""
+    star = load_star(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
+    flat = materialize(adapter.raw_flat(adapter.customer_wide(star)), f"flat-{_tag(sf_dir)}")
+    return star, flat, adapter.raw_tables(flat, star["supplier"])
+
+
 def _ids_unique(df: DataFrame, col: str = "customer_id") -> bool:
     """One aggregate over the ids (a one-row result): unique and non-NULL?"""
     r = df.agg((F.count(col) - F.count_distinct(col)
@@ -109,13 +118,26 @@ def _ids_unique(df: DataFrame, col: str = "customer_id") -> bool:
 
 
 _CACHE: dict[tuple[str, str], ChurnLayers] = {}
+_WRITTEN: dict[tuple[str, str], tuple] = {}
+
+
+def _written(spark: SparkSession, sf_dir: str) -> tuple:
+    key = (application_id(spark), sf_dir.rstrip("/"))
+    if key not in _WRITTEN:
+        _WRITTEN[key] = write_flat(spark, sf_dir)
+    return _WRITTEN[key]
+
+
+def raw_for(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw tables alone: the 360 and its quartile are not built for them."""
+    return _written(spark, sf_dir)[2]
 
 
 def layers_for(spark: SparkSession, sf_dir: str) -> ChurnLayers:
     """The layers of one input directory, built once per Spark application."""
     key = (application_id(spark), sf_dir.rstrip("/"))
     if key not in _CACHE:
-        _CACHE[key] = ChurnLayers.from_star(spark, sf_dir)
+        _CACHE[key] = ChurnLayers.from_star(spark, sf_dir, written=_written(spark, sf_dir))
     return _CACHE[key]
 
 

@@ -46,3 +46,15 @@ def test_star_with_duplicate_customer_falls_back_to_the_joins(spark):
     assert k.total_customers == n                 # COUNT(DISTINCT) survives the fan-out
     dup = layers.c360.groupBy("customer_id").count().filter(F.col("count") > 1).count()
     assert dup == 1
+
+
+def test_raw_queries_build_no_360(spark, monkeypatch):
+    """The raw checks read the adapter's rows; the 360 is built for those who read it, from the same."""
+    from churnlens import catalog
+    from churnlens.plans import layers
+
+    monkeypatch.setattr(layers, "_CACHE", {})
+    got = catalog.REGISTRY["dq_churn_nulls"](spark, "/root/testdata/sf0.001").collect()
+    assert got and not layers._CACHE
+    built = layers.layers_for(spark, "/root/testdata/sf0.001")
+    assert built.raw is layers.raw_for(spark, "/root/testdata/sf0.001")
