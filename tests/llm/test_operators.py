@@ -656,3 +656,22 @@ def test_sentencepiece_packed_and_rare_words(spark, monkeypatch):
     packed = list(sentencepiece_lattice._pack(iter([batch])))
     assert [b.column("block").to_pylist() for b in packed] == [[0], [1]]
     assert sum(b.nbytes for b in packed) < batch.nbytes / 2
+
+
+def test_sentencepiece_cuts_each_text_once(spark, monkeypatch, tmp_path):
+    """The texts' exchange is read twice, not made twice; passing words on early changes no ids."""
+    rows = spark.createDataFrame([(i, f"word{'abcdefgh'[i % 8] * (i % 5)} é🙂 w{i}\n") for i in range(60)]
+                                 + [(1, None), (2, "")], "doc_id long, text string")
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+
+    def encoded():
+        df = sentencepiece_lattice.encode(rows)
+        return sorted(map(tuple, df.collect()), key=str), df._jdf.queryExecution().executedPlan().toString()
+
+    got = encoded()[0]
+    assert len(got) == 62
+    for name, value in {"COMMON_WORDS": 3, "HELD_WORDS": 4, "HELD_ROWS": 7, "BLOCK_CHARS": 200}.items():
+        monkeypatch.setattr(sentencepiece_lattice, name, value)
+    again, plan = encoded()
+    assert again == got and "ReusedExchange" in plan
